@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-TOPICS = ["orders", "signin"]
+TOPICS = ["orders", "signin", "events", "outliers"]
 
 
 def _load() -> None:

@@ -55,3 +55,9 @@ def r6(expr: str, name: str | None = None) -> str:
 
 def big(expr: str, name: str | None = None) -> str:
     return f"CAST({expr} AS BIGINT) AS {name or expr}"
+
+
+def mean3(expr: str, name: str) -> str:
+    """SQL counterpart of ``mean_score``: half-up rounding of an exact mean, in integers."""
+    total = f"sum(CAST(round({expr} * 1000000000) AS HUGEINT))"
+    return f"((2 * {total} + 1000000 * count(*)) // (2000000 * count(*))) / CAST(1000 AS DOUBLE) AS {name}"

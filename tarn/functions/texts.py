@@ -28,10 +28,11 @@ def word_count(c: str | Column) -> Column:
     return F.size(F.split(_col(c), r"\s+"))
 
 
-def contains_any(c: str | Column, words: Sequence[str]) -> Column:
-    """Case-insensitive substring test for any of the words; NULL text is no match."""
-    any_word = "|".join(rf"\Q{w.lower()}\E" for w in words)
-    return F.coalesce(F.rlike(F.lower(_col(c)), F.lit(any_word)), F.lit(False))
+def contains_any(c: str | Column, words: Sequence[str], ignore_case: bool = True) -> Column:
+    """Substring test for any of the words; NULL text is no match."""
+    text = F.lower(_col(c)) if ignore_case else _col(c)
+    any_word = "|".join(rf"\Q{w.lower() if ignore_case else w}\E" for w in words)
+    return F.coalesce(F.rlike(text, F.lit(any_word)), F.lit(False))
 
 
 def parse_bool(c: str | Column) -> Column:

@@ -7,7 +7,7 @@ across the cuts. No task ever holds all events of one key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,14 +29,13 @@ def with_previous(df: DataFrame, columns: Sequence[str], key: str = "user_id", t
     """
     names = [prefix + c for c in columns]
     event = F.struct(*[F.col(c).alias(n) for c, n in zip(columns, names)])
-    chunked = df.withColumn("_chunk", _chunk(ts, chunk_seconds))
-    inside = Window.partitionBy(key, "_chunk").orderBy(ts, tie)
-    last_in_chunk = chunked.groupBy(key, "_chunk").agg(F.max_by(event, F.struct(ts, tie)).alias("_last"))
+    # a one-field struct lets NULL keys meet each other in a plain equality join
+    chunked = df.withColumns({"_key": F.struct(F.col(key).alias("k")), "_chunk": _chunk(ts, chunk_seconds)})
+    inside = Window.partitionBy("_key", "_chunk").orderBy(ts, tie)
+    last_in_chunk = chunked.groupBy("_key", "_chunk").agg(F.max_by(event, F.struct(ts, tie)).alias("_last"))
     carried = last_in_chunk.select(
-        F.col(key).alias("_key"), F.col("_chunk").alias("_in"),
-        F.lag("_last").over(Window.partitionBy(key).orderBy("_chunk")).alias("_carried"))
-    joined = chunked.select("*", F.lag(event).over(inside).alias("_prev")).join(
-        carried, F.col(key).eqNullSafe(F.col("_key")) & F.col("_chunk").eqNullSafe(F.col("_in")), "left")
+        "_key", "_chunk", F.lag("_last").over(Window.partitionBy("_key").orderBy("_chunk")).alias("_carried"))
+    joined = chunked.withColumn("_prev", F.lag(event).over(inside)).join(carried, ["_key", "_chunk"], "left")
     before = F.coalesce("_prev", "_carried")
     return joined.select(*df.columns, *[before.getField(n).alias(n) for n in names])
 
@@ -89,18 +88,42 @@ def latest_per_key(df: DataFrame, key: Sequence[str], ts: str) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def rolling_z(df: DataFrame, column: str, order: str = "bucket_ts", rows: int = 864, min_rows: int = 288,
-              partition: Sequence[str] = (), name: str | None = None) -> DataFrame:
-    """z of a value against the last ``rows`` rows, itself included; 0 when undefined.
+def rolling_z(df: DataFrame, columns: Mapping[str, str], order: str = "bucket_ts", rows: int = 864,
+              min_rows: int = 288, partition: Sequence[str] = ()) -> DataFrame:
+    """z of each column (name -> new name) against the last ``rows`` rows, itself included; 0 when undefined.
 
     For regular series: one row per time step, so a partition grows with the time
-    span, not with the events. Sample standard deviation.
+    span, not with the events. A sliding frame would be re-summed for every row, so
+    the series is cut into blocks of ``rows``: a window is the tail of one block plus
+    the head of the next, and both have running moments that are merged. Sample
+    standard deviation.
     """
-    base = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
-    w = base.orderBy(order).rowsBetween(-(rows - 1), 0)
-    mean, std, n = F.avg(column).over(w), F.stddev_samp(column).over(w), F.count(column).over(w)
-    z = F.when((n >= min_rows) & (std > FLAT), (F.col(column) - mean) / std)
-    return df.withColumn(name or f"{column}_z", F.coalesce(z, F.lit(0.0)))
+    series = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
+    in_order = series.orderBy(order)
+    out = df.withColumn("_i", F.row_number().over(in_order) - 1).withColumn("_block", F.floor(F.col("_i") / rows))
+    head = Window.partitionBy(*partition, "_block").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    tail = Window.partitionBy(*partition, "_block").orderBy(F.desc("_i")).rowsBetween(Window.unboundedPreceding, 0)
+
+    def moments(c: str, w) -> Column:
+        n = F.count(c).over(w)
+        return F.struct(n.alias("n"), F.coalesce(F.avg(c).over(w), F.lit(0.0)).alias("mean"),
+                        F.coalesce(F.var_pop(c).over(w) * n, F.lit(0.0)).alias("m2"))
+
+    out = out.withColumns({f"_h_{c}": moments(c, head) for c in columns})
+    out = out.withColumns({f"_t_{c}": moments(c, tail) for c in columns})
+    out = out.withColumns({f"_t_{c}": F.lag(f"_t_{c}", rows - 1).over(in_order) for c in columns})
+    whole = (F.col("_i") < rows) | (F.col("_i") % rows == rows - 1)
+    scores = {}
+    for c, name in columns.items():
+        h, t = F.col(f"_h_{c}"), F.col(f"_t_{c}")
+        nt = F.when(whole, F.lit(0)).otherwise(t["n"])
+        n = h["n"] + nt
+        gap = F.when(nt > 0, t["mean"] - h["mean"]).otherwise(F.lit(0.0))
+        mean = h["mean"] + gap * F.try_divide(nt, n)
+        m2 = h["m2"] + F.when(nt > 0, t["m2"] + gap * gap * F.try_divide(h["n"] * nt, n)).otherwise(F.lit(0.0))
+        std = F.sqrt(F.try_divide(m2, n - 1))
+        scores[name] = F.coalesce(F.when((n >= min_rows) & (std > FLAT), (F.col(c) - mean) / std), F.lit(0.0))
+    return out.withColumns(scores).drop("_i", "_block", *[f"_{k}_{c}" for k in "ht" for c in columns])
 
 
 def top_k(df: DataFrame, by: str, k: int, tie: str, ascending: bool = False) -> DataFrame:

@@ -64,10 +64,9 @@ def scored_timeline(events: DataFrame, seconds: int = BUCKET_SECONDS, segment: s
         out = stl_residual(out, SCORED_METRICS, period, segment)
     else:
         out = out.withColumns({f"{m}_resid": F.col(m).cast("double") for m in SCORED_METRICS})
-    for m in SCORED_METRICS:
-        if digits is not None:
-            out = out.withColumn(f"{m}_resid", F.round(f"{m}_resid", digits))
-        out = rolling_z(out, f"{m}_resid", "bucket_ts", days * period, period, part, f"{m}_z")
-        if digits is not None:
-            out = out.withColumn(f"{m}_z", F.round(f"{m}_z", digits))
+    if digits is not None:
+        out = out.withColumns({f"{m}_resid": F.round(f"{m}_resid", digits) for m in SCORED_METRICS})
+    out = rolling_z(out, {f"{m}_resid": f"{m}_z" for m in SCORED_METRICS}, "bucket_ts", days * period, period, part)
+    if digits is not None:
+        out = out.withColumns({f"{m}_z": F.round(f"{m}_z", digits) for m in SCORED_METRICS})
     return bucket_score(out).drop(*[f"{m}_resid" for m in SCORED_METRICS])
