@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarn.operators.tails import join_by_value
-from tarn.session import cut_lineage
+from tarn.session import cut_lineage, spread
 
 BLOCK_ROWS = 2048
 MAX_PIVOTS = 256
@@ -96,7 +96,7 @@ def vector_neighbours(vectors: DataFrame, k: int, seed: int = 42, block_rows: in
         return pd.DataFrame({"vid": ids, "vec": pdf["vec"], "cell": pdf["cell"], "radius": pdf["radius"],
                              "block": pdf["block"], "reach": reach})
 
-    bounded = cut_lineage(placed.groupBy("block").applyInPandas(
+    bounded = cut_lineage(spread(placed, "block").groupBy("block").applyInPandas(
         at_home, "vid long, vec array<double>, cell int, radius double, block string, reach double"))
 
     # Which cells can hold neighbours of which cells: p rows of bounds, p x p pivot distances.
@@ -125,7 +125,8 @@ def vector_neighbours(vectors: DataFrame, k: int, seed: int = 42, block_rows: in
     queries = bounded.select(F.col("block").alias("home"), "vid", "vec", "reach").join(pairs, "home")
     other = bounded.select(F.col("block").alias("to_target"), *[F.col(c).alias(c) for c in ("vid", "vec", "cell", "radius")])
     targets = other.join(pairs.select(F.col("home").alias("to_home"), F.col("target").alias("to_target")), "to_target")
-    found = queries.groupBy("home", "target").cogroup(targets.groupBy("to_home", "to_target")).applyInPandas(
+    met = spread(queries, "home", "target").groupBy("home", "target")
+    found = met.cogroup(spread(targets, "to_home", "to_target").groupBy("to_home", "to_target")).applyInPandas(
         meet, "vid long, nbr long, dist double")
     best = Window.partitionBy("vid").orderBy("dist", "nbr")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

@@ -2,17 +2,40 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """All hour and weekday rules are defined in UTC."""
+    """All hour and weekday rules are defined in UTC; tasks get this package."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors once per application, so tasks can import it anywhere."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tarn_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="tarn-package-"), "tarn"), "zip", root, "tarn")
+    sc.addPyFile(archive)
+    sc._tarn_shipped = True
+
+
+def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """Hash-partition by key for compute-heavy grouped tasks.
+
+    Adaptive execution merges small partitions by bytes, which would put many
+    expensive groups into one task; an explicit partition count is left alone.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Point the session at a checkpoint folder that every executor can reach.
 
