@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-TOPICS = ["orders", "signin", "events", "outliers", "models", "streams"]
+TOPICS = ["orders", "signin", "events", "outliers", "models", "texts", "streams"]
 
 
 def _load() -> None:

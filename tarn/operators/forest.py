@@ -157,7 +157,8 @@ class _PerUser:
         w = Window.partitionBy(self.user).orderBy(F.xxhash64(F.col(self.id_col), F.lit(self.seed)), self.id_col)
         thin = thin.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= limit)
         spread = thin.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
-        return spread.select(F.col(self.user).alias("_user"), F.col("_chunk").alias("_part"), "_rn", *self.columns)
+        return spread.select(F.col(self.user).alias("_user"), F.col("_chunk").alias("_part"), "_rn",
+                             *[F.col(c).alias(c) for c in self.columns])
 
     def run(self, rows: DataFrame, work, schema: str) -> DataFrame:
         """``work(forest, x) -> dict of columns`` for the rows of every chunk."""
