@@ -55,8 +55,7 @@ class Corpus:
         return cut_lineage(tk.document_rows(self.tfidf()))
 
     def vectors(self):
-        """Count vectors straight from the stored counts would need a dense step; terms go to the vectorizer instead."""
-        return cut_lineage(tp.count_vectors(tk.with_terms(self.docs), "terms", self.vocab).select("email_id", "features"))
+        return cut_lineage(tp.count_vectors(tk.term_lists(self.matrix), "terms", self.vocab).select("email_id", "features"))
 
 
 @query("tx_tokens_ngrams", f"WITH {TERMS} SELECT email_id, count(*) AS n_terms, count(DISTINCT term) AS n_distinct,"

@@ -20,28 +20,26 @@ STOP_WORDS = (
 MIN_DOCS, MAX_SHARE, MAX_TERMS = 5, 0.85, 5000
 
 
-def words(text: str | Column) -> Column:
-    """Words of two or more characters without stop words, in order."""
-    parts = F.split(clean_text(text), " ")
-    return F.filter(parts, lambda w: (F.length(w) >= 2) & ~w.isin(STOP_WORDS))
-
-
-def _grams(w: str, n: int) -> Column:
-    out = [F.col(w)]
-    for size in range(2, n + 1):
-        starts = F.when(F.size(w) >= size, F.sequence(F.lit(1), F.size(w) - (size - 1))).otherwise(F.array().cast("array<int>"))
-        out.append(F.transform(starts, lambda i, size=size: F.array_join(F.slice(w, i, size), " ")))
-    return F.concat(*out)
-
-
-def with_terms(df: DataFrame, text: str = "body", n: int = 2, name: str = "terms") -> DataFrame:
-    """All 1- to n-grams of the words left after stop-word removal, as one list per text."""
-    return df.withColumn("_words", words(text)).withColumn(name, _grams("_words", n)).drop("_words")
+def words(df: DataFrame, id_col: str = "email_id", text: str = "body") -> DataFrame:
+    """(id, pos, word): words of two or more characters without stop words."""
+    split = df.select(id_col, F.posexplode(F.split(clean_text(text), " ")).alias("pos", "word"))
+    return split.filter((F.length("word") >= 2) & ~F.col("word").isin(STOP_WORDS))
 
 
 def tokens(df: DataFrame, id_col: str = "email_id", text: str = "body", n: int = 2) -> DataFrame:
-    """(id, term), one row per occurrence."""
-    return with_terms(df, text, n).select(id_col, F.explode("terms").alias("term"))
+    """(id, term), one row per occurrence of every run of 1 to n words left after stop-word removal.
+
+    One shuffle by document serves the runs and, later, the counts and the norms.
+    """
+    kept = words(df, id_col, text)
+    if n == 1:
+        return kept.select(id_col, F.col("word").alias("term"))
+    in_order = Window.partitionBy(id_col).orderBy("pos")
+    followed = kept.select(id_col, "word", *[F.lead("word", k).over(in_order).alias(f"w{k}") for k in range(1, n)])
+    runs = [F.col("word")]
+    for size in range(2, n + 1):
+        runs.append(F.concat("word", *[x for k in range(1, size) for x in (F.lit(" "), F.col(f"w{k}"))]))
+    return followed.select(id_col, F.explode(F.array(*runs)).alias("term")).filter(F.col("term").isNotNull())
 
 
 def term_counts(tok: DataFrame, id_col: str = "email_id") -> DataFrame:
@@ -89,5 +87,10 @@ def document_rows(weights: DataFrame, id_col: str = "email_id", value: str = "tf
     return pairs.select(id_col, F.col("p.term_id").alias("idx"), F.col("p.v").alias("val"))
 
 
+def term_lists(matrix: DataFrame, id_col: str = "email_id") -> DataFrame:
+    """(id, terms): every vocabulary term as often as it occurs, for the MLlib vectorizer."""
+    return matrix.groupBy(id_col).agg(F.flatten(F.collect_list(F.array_repeat("term", F.col("tf").cast("int")))).alias("terms"))
+
+
 def stop_word_sql() -> str:
     return ", ".join(f"'{w}'" for w in STOP_WORDS)
