@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarn.operators.tokens import tokens
@@ -39,13 +39,14 @@ def embed_hashed(df: DataFrame, id_col: str = "email_id", text: str = "body", wi
     slot = F.pmod(F.xxhash64(word, F.lit("slot")), F.lit(width)).cast("int")
     sign = F.when(F.pmod(F.xxhash64(word, F.lit("sign")), F.lit(2)) == 0, 1.0).otherwise(-1.0)
     sums = tokens(df, id_col, text, 1).groupBy(id_col, slot.alias("slot")).agg(F.sum(sign).alias("v"))
-    packed = sums.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("slot", "v"))).alias("m"))
+    # lengths are taken on the long rows: inside a list expression they would be recomputed per element
+    norm = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy(id_col)))
+    unit = sums.withColumn("u", F.when(norm > 0, F.col("v") / norm).otherwise(F.lit(0.0)))
+    packed = unit.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("slot", "u"))).alias("m"))
+    every = df.select(id_col).join(packed, id_col, "left").withColumn(
+        "m", F.coalesce("m", F.create_map().cast("map<int,double>")))
     dense = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(0.0)))
-    out = df.select(id_col).join(packed, id_col, "left").withColumn("_v", F.when(F.col("m").isNotNull(), dense).otherwise(
-        F.array_repeat(F.lit(0.0), width)))
-    norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda s, v: s + v * v))
-    unit = F.when(norm > 0, F.transform("_v", lambda v: v / norm)).otherwise(F.col("_v"))
-    return out.select(id_col, unit.cast("array<float>").alias("embedding"))
+    return every.select(id_col, dense.cast("array<float>").alias("embedding"))
 
 
 def project(df: DataFrame, id_col: str, vec: str, k: int = 2) -> DataFrame:
