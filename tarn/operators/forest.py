@@ -19,6 +19,7 @@ NODE_SCHEMA = ("tree_id int, node_id int, parent int, feature int, threshold dou
                "size long, depth int, psi int")
 CHUNK_ROWS = 200_000
 MIN_USER_ROWS = 20
+EMPTY = {"string": object, "double": float, "bigint": "int64", "long": "int64", "int": "int32"}
 
 
 def unit_hash(*cols: Column) -> Column:
@@ -167,7 +168,7 @@ class _PerUser:
 
         def task(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if not len(left):
-                return pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
+                return pd.DataFrame({n: pd.Series(dtype=EMPTY[t]) for n, t in (c.split() for c in schema.split(", "))})
             sample = right.sort_values("_rn")[columns].to_numpy(dtype=float)
             rng = np.random.default_rng([seed, zlib.crc32(str(left[user].iloc[0]).encode())])
             psi = min(n_sub, len(sample))
@@ -175,7 +176,8 @@ class _PerUser:
             return pd.DataFrame({id_col: left[id_col], **work(forest, left[columns].to_numpy(dtype=float))})
 
         parts = spread(self.chunked(rows).select(id_col, user, "_chunk", *columns), user, "_chunk")
-        samples = spread(self.samples(), "_user", "_part")
+        busy = parts.select(F.col(user).alias("_user"), F.col("_chunk").alias("_part")).distinct()
+        samples = spread(self.samples().join(busy, ["_user", "_part"], "left_semi"), "_user", "_part")
         return parts.groupBy(user, "_chunk").cogroup(samples.groupBy("_user", "_part")).applyInPandas(task, schema)
 
 

@@ -56,7 +56,7 @@ def test_neighbours_with_copies_equal_brute_force(spark):
     x = np.round(rng.normal(size=(150, 3)), 3)
     x[50:100] = x[50]                      # a third of the rows are copies
     ids = np.arange(150)
-    df = spark.createDataFrame(pd.DataFrame({"id": ids, "v": list(x)}))
+    df = spark.createDataFrame(list(zip(ids.tolist(), x.tolist())), "id long, v array<double>")
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
     order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, :5]
