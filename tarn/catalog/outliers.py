@@ -295,11 +295,11 @@ def _(spark, d):
     return evl.best_threshold(cut_lineage(sweep(spark, d)), 20)
 
 
-@query("ev_feedback_join", f"WITH {SIGNINS}, fb AS (SELECT login_id, _anomaly_type <> 'normal' AS verdict FROM signins WHERE login_id % 10 = 0)"
+@query("ev_feedback_join", f"WITH {SIGNINS}, fb AS (SELECT login_id, _anomaly_type <> 'normal' AS verdict FROM signins WHERE failed_attempts_before > 0)"
        " SELECT s.login_id, verdict FROM signins s LEFT JOIN fb ON fb.login_id = s.login_id")
 def _(spark, d):
     s = signins(spark, d)
-    feedback = s.filter("login_id % 10 = 0").select(
+    feedback = s.filter("failed_attempts_before > 0").select(
         "login_id", F.lit("analyst").alias("analyst_id"), F.explode(F.array(F.col("ts"), F.col("ts") + F.expr("INTERVAL 1 DAY"))).alias("review_timestamp"),
         "_anomaly_type", "ts").withColumn(
         "is_true_positive", F.when(F.col("review_timestamp") > F.col("ts"), F.col("_anomaly_type") != "normal").otherwise(F.lit(False)))
