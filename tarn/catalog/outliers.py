@@ -13,7 +13,7 @@ from tarn.operators import evaluation as evl
 from tarn.operators import joins as jn
 from tarn.operators import neighbours as nb
 from tarn.operators import sequences as seq
-from tarn.operators.quantiles import flag_quantile
+from tarn.operators.quantiles import flag_quantile, flag_quantiles
 from tarn.operators.scaling import apply_minmax, apply_standard, fit_minmax, fit_standard
 from tarn.operators.tails import tail_scores
 from tarn.plans import events as ev
@@ -116,7 +116,7 @@ def _(spark, d):
        f" {r6('round(sum(x) * 100.0 / count(*), 1)', 'rate_pct')} FROM l GROUP BY _anomaly_type, method")
 def _(spark, d):
     s = scored(spark, d)
-    s = flag_quantile(flag_quantile(s, "ecod", 0.95, name="ecod_label"), "copod", 0.95, name="copod_label")
+    s = flag_quantiles(s, {"ecod": "ecod_label", "copod": "copod_label"}, 0.95)
     return agg.detection_rates(s, ["ecod_label", "copod_label"])
 
 
@@ -127,8 +127,8 @@ f AS (SELECT login_id, _anomaly_type, CAST(ecod > (SELECT quantile_cont(ecod, 0.
 
 def layers(spark, d):
     s = scored(spark, d)
-    a = flag_quantile(s, "ecod", 0.95, name="is_anomaly").select("login_id", "is_anomaly")
-    b = flag_quantile(s, "copod", 0.95, name="per_user_anomaly").select("login_id", "per_user_anomaly")
+    flagged = cut_lineage(flag_quantiles(s, {"ecod": "is_anomaly", "copod": "per_user_anomaly"}, 0.95))
+    a, b = flagged.select("login_id", "is_anomaly"), flagged.select("login_id", "per_user_anomaly")
     return jn.compare_layers(b, a, s.select("login_id", "_anomaly_type"))
 
 
@@ -204,10 +204,7 @@ def four(spark, d):
 
 
 def four_labels(spark, d):
-    out = four(spark, d)
-    for c in DETECTORS:
-        out = flag_quantile(out, c, 0.95, name=f"{c}_label")
-    return cut_lineage(out)
+    return cut_lineage(flag_quantiles(four(spark, d), {c: f"{c}_label" for c in DETECTORS}, 0.95))
 
 
 @query("od_agreement_count", f"WITH {_FOUR} SELECT ecod_label + copod_label + knn_label + lof_label AS n_detectors_flagged,"

@@ -8,7 +8,7 @@ size is therefore ranked by many tasks, and the result is exact.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,6 +78,14 @@ def flag_quantile(df: DataFrame, value: str, prob: float, side: str = "above", n
     return df.withColumn(name, F.when(beyond, 1).otherwise(0))
 
 
+def flag_quantiles(df: DataFrame, names: Mapping[str, str], prob: float) -> DataFrame:
+    """``flag_quantile`` (above) for several columns (column -> flag name) in one set of passes."""
+    edges = exact_quantiles(unpivot(df, list(names)), "value", [prob], ["feature"]).agg(
+        F.map_from_entries(F.collect_list(F.struct("feature", "quantile"))).alias("m")).scalar()
+    flags = {name: F.when(F.col(c) > F.col("_edges")[F.lit(c)], 1).otherwise(0) for c, name in names.items()}
+    return df.withColumn("_edges", edges).withColumns(flags).drop("_edges")
+
+
 def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max per column, all exact."""
     long = unpivot(df, columns)

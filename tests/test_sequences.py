@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tarn.operators import sequences as seq
-from tarn.operators.quantiles import exact_quantiles, flag_quantile, ranked, value_counts
+from tarn.operators.quantiles import exact_quantiles, flag_quantile, flag_quantiles, ranked, value_counts
 from tarn.operators.tails import join_by_value
 
 
@@ -71,6 +71,12 @@ def test_quantiles_with_hot_values(spark):
     assert flag_quantile(df, "v", 0.9).agg(F.sum("is_flagged")).first()[0] == int((pdf["v"] > one).sum())
 
 
+def test_flags_of_several_columns(spark):
+    df = spark.createDataFrame([(float(i), float(-i)) for i in range(101)], "a double, b double")
+    got = flag_quantiles(df, {"a": "fa", "b": "fb"}, 0.95).agg(F.sum("fa"), F.sum("fb"), F.sum(F.col("fa") * F.col("fb"))).first()
+    assert tuple(got) == (5, 5, 0)
+
+
 def test_quantiles_of_nothing(spark):
     empty = spark.createDataFrame([], "v double")
     assert exact_quantiles(empty, "v", [0.5]).collect() == []
