@@ -33,3 +33,10 @@ def _(spark, d):
     out = remove_repeats(documents(spark, d))
     return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_setsketch")
+def _(spark, d):
+    from tarn.llm.setsketch import near_duplicates
+
+    return near_duplicates(documents(spark, d))
