@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm.common import documents
+from tarn.llm.common import documents, table
 from tarn.session import ship_package
 
 QUERIES: dict = {}
@@ -40,3 +40,11 @@ def _(spark, d):
     from tarn.llm.setsketch import near_duplicates
 
     return near_duplicates(documents(spark, d))
+
+
+@query("op6_decontaminate")
+def _(spark, d):
+    from tarn.llm.decontaminate import find_passages
+
+    return find_passages(documents(spark, d), table(spark, d, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
