@@ -48,3 +48,14 @@ def _(spark, d):
 
     return find_passages(documents(spark, d), table(spark, d, "benchmark")).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op8_token_files")
+def _(spark, d):
+    from tarn.llm.token_files import token_index, write_tokens
+    from tarn.llm.tokens import word_bpe
+    from tarn.session import scratch_path
+
+    path = scratch_path(spark, "tokens")
+    write_tokens(documents(spark, d), path, word_bpe())
+    return token_index(spark, path)
