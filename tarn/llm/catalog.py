@@ -59,3 +59,12 @@ def _(spark, d):
     path = scratch_path(spark, "tokens")
     write_tokens(documents(spark, d), path, word_bpe())
     return token_index(spark, path)
+
+
+@query("op3_quality_rules")
+def _(spark, d):
+    from tarn.llm.quality import STATS, judged
+
+    out = judged(documents(spark, d).select("doc_id", "text"), table(spark, d, "labels"))
+    counts = [f"{STATS}.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return out.select("doc_id", *counts, F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
