@@ -68,3 +68,10 @@ def _(spark, d):
     out = judged(documents(spark, d).select("doc_id", "text"), table(spark, d, "labels"))
     counts = [f"{STATS}.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return out.select("doc_id", *counts, F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
+
+
+@query("op7_mix_sources")
+def _(spark, d):
+    from tarn.llm.mixing import mixture
+
+    return mixture(documents(spark, d)).drop("text_hash")
