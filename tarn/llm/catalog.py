@@ -75,3 +75,10 @@ def _(spark, d):
     from tarn.llm.mixing import mixture
 
     return mixture(documents(spark, d)).drop("text_hash")
+
+
+@query("op4_toxicity")
+def _(spark, d):
+    from tarn.llm.toxicity import scored
+
+    return scored(documents(spark, d), table(spark, d, "labels"))
