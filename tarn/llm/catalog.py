@@ -82,3 +82,10 @@ def _(spark, d):
     from tarn.llm.toxicity import scored
 
     return scored(documents(spark, d), table(spark, d, "labels"))
+
+
+@query("op5_html_text")
+def _(spark, d):
+    from tarn.llm.html_text import visible_text
+
+    return visible_text(table(spark, d, "pages"))
