@@ -89,3 +89,11 @@ def _(spark, d):
     from tarn.llm.html_text import visible_text
 
     return visible_text(table(spark, d, "pages"))
+
+
+@query("op9_licences")
+def _(spark, d):
+    from tarn.llm.licences import scan
+
+    return scan(documents(spark, d)).select("doc_id", "n_statements", F.array_join("families", ",").alias("families"), "licence",
+                                            F.round("probability", 3).alias("probability"))
