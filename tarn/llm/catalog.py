@@ -26,6 +26,23 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_token_counts")
+def _(spark, d):
+    """All documents are inserted, texts with markup are recounted without it, and documents of fewer than five words are taken out."""
+    from tarn.llm import token_counts as tc
+    from tarn.llm.common import stored
+    from tarn.llm.tokens import word_bpe
+    from tarn.session import scratch_path
+
+    rows = stored(tc.counted(documents(spark, d), word_bpe(), "word-bpe-49k"), "counts")
+    ledger = tc.Ledger(spark, scratch_path(spark, "token-counts"))
+    ledger.commit("load", tc.inserts(rows))
+    ledger.commit("load", tc.inserts(rows))  # a replay changes nothing
+    ledger.commit("clean", tc.revisions(rows.filter("marked").withColumnsRenamed({"n_tokens": "old_tokens", "clean_tokens": "n_tokens"})))
+    ledger.commit("junk", tc.deletes(rows.filter("n_words < 5").drop("n_tokens").withColumnRenamed("clean_tokens", "n_tokens")))
+    return ledger.totals()
+
+
 @query("op2_suffix_dedup")
 def _(spark, d):
     from tarn.llm.substrings import remove_repeats

@@ -186,15 +186,9 @@ def _open_pairs(least: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``.
-
-    Documents are linked if their sets of ``words``-word shingles (lower-cased A-Z) have a Jaccard similarity of ``threshold``
-    percent or more; component_id is the smallest doc_id reachable, kept marks its document. Null and empty texts have
-    no shingles and no links. Null doc_ids take part but never name a component; such rows are kept only if their
-    component holds no doc_id. Repeated rows are copies with the same id, and all of those are kept or not. Other
-    columns are ignored.
-    """
+def groups(docs: DataFrame, words: int = 4, threshold: int = 80) -> DataFrame:
+    """(row_id, row_hash, doc_id, n_shingles, component_id, label): as ``near_duplicates``, with a label of each component (null
+    without shingles) and the keys of ``row_keys``."""
     share = threshold / 100
     keyed = docs.select("doc_id", *row_keys(), F.col("text").cast("binary").alias("body"))
     kind = dict(docs.dtypes)["doc_id"]
@@ -254,7 +248,34 @@ def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 80) -> Dat
 
     named = stored(classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).select(*same, "first_id", "label"), "named")
     smallest = named.groupBy("label").agg(F.min("first_id").alias("smallest"))
-    named = stored(named.join(smallest, "label").select(*same, F.col("smallest").alias("found_id"), F.lit(True).alias("has")), "named")
-    out = sketches.select("doc_id", *same).join(named, same, "left")
-    component = F.when(F.col("has"), F.col("found_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    named = stored(named.join(smallest, "label").select(*same, F.col("smallest").alias("found_id"), "label"), "named")
+    out = sketches.select("row_id", "row_hash", "doc_id", *same).join(named, same, "left")
+    component = F.when(F.col("label").isNotNull(), F.col("found_id")).otherwise(F.col("doc_id"))
+    return out.select("row_id", "row_hash", "doc_id", "n_shingles", component.alias("component_id"), "label")
+
+
+def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``.
+
+    Documents are linked if their sets of ``words``-word shingles (lower-cased A-Z) have a Jaccard similarity of ``threshold``
+    percent or more; component_id is the smallest doc_id reachable, kept marks its document. Null and empty texts have
+    no shingles and no links. Null doc_ids take part but never name a component; such rows are kept only if their
+    component holds no doc_id. Repeated rows are copies with the same id, and all of those are kept or not. Other
+    columns are ignored.
+    """
+    out = groups(docs, words, threshold)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFrame:
+    """One row of each group of near-duplicates, with the columns of ``docs``: the one with the smallest doc_id, or by text hash if
+    no row of the group has an id. Rows without shingles all stay; of repeated rows one stays."""
+    rows = stored(groups(docs, words, threshold), "groups")
+    order = F.struct(F.col("doc_id").isNull(), "row_id", "row_hash")
+    first = rows.filter("label IS NOT NULL").groupBy("label").agg(F.min(order).alias("first")).select("first.row_id", "first.row_hash")
+    kept = stored(first.union(rows.filter("label IS NULL").select("row_id", "row_hash")).distinct(), "kept")
+    row_id, row_hash = row_keys()
+    keyed = docs.select("*", row_id.alias("_row_id"), row_hash.alias("_row_hash"))
+    kept = kept.withColumnsRenamed({"row_id": "_row_id", "row_hash": "_row_hash"})
+    one = keyed.join(kept, ["_row_id", "_row_hash"], "left_semi")
+    return one.dropDuplicates(["_row_id", "_row_hash"]).select(*docs.columns)

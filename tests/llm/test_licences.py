@@ -34,7 +34,7 @@ def test_statements_and_clean_texts(spark, model):
 def test_whole_table_against_plain_search(spark, model):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r.doc_id for r in li.scan(docs, model).collect() if r.licence}
-    assert got == {r.doc_id for r in docs.filter("text rlike '(?i)licensed under|released under'").collect()}
+    assert got == {r.doc_id for r in docs.filter("text rlike '(?i)licensed under|released under|all rights reserved'").collect()}
 
 
 def test_empty_table(spark, model):

@@ -83,3 +83,14 @@ def test_sketches_merge_and_estimate():
         names = r.integers(0, 1 << 63, 1100, dtype=np.uint64)
         errors.append(s.estimate(s.registers(names[:1000])[None], s.registers(names[100:])[None], np.array([1000.0]), np.array([1000.0]))[0] - 900 / 1100)
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.03
+
+
+def test_one_row_of_each_group_stays(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(3, text, "a"), (2, text + " tail", "b"), (2, text + " tail", "b"), (None, text, "c"), (7, "other words stand here now", "d"),
+            (8, None, "e"), (9, "", "f"), (None, "null ids only in this group", "g"), (None, "Null ids only in this group", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    got = s.keep_one(docs)
+    assert got.columns == docs.columns
+    kept = sorted((r.label for r in got.collect()))
+    assert kept[:5] == ["b", "d", "e", "f", "g"] or kept == ["b", "d", "e", "f", "h"]
