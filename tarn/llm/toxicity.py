@@ -24,6 +24,7 @@ from tarn.llm.common import map_batches, stored
 
 SAMPLE = 20_000
 FEATURES = 4096
+CANDIDATES = 40_000
 VOTERS = 256
 BEGINNINGS = (4, 5, 6, 7)
 LEAST_GAIN = 6.0
@@ -92,8 +93,7 @@ def fit_label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 60, refi
             p = new
             if done:
                 break
-        expected = np.where(p[:, None] > 0.5, model.chances[None, :, 1], model.chances[None, :, 0])
-        rest = votes - expected
+        rest = votes - np.where(p[:, None] > 0.5, model.chances[None, :, 1], model.chances[None, :, 0]).astype(np.float32)
         spread = np.sqrt((rest ** 2).mean(axis=0)) + 1e-9
         correlations = rest.T @ rest / n / np.outer(spread, spread)
         np.fill_diagonal(correlations, 0)
@@ -132,12 +132,17 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(raw, -40, 40)))
 
 
-def _labelled_counts(batch: pa.RecordBatch):
-    counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-        counts[toxic].update(text_features(text))
-    names = list(counts[1])  # a feature of clean texts only is of no use
-    yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([counts[1][f] for f in names], pa.int64())], names=["feature", "n_toxic"])
+def _counts(known=None):
+    """Per batch, in how many texts each feature is found; only those of the broadcast set, if one is given."""
+    def run(batch: pa.RecordBatch):
+        counts: Counter = Counter()
+        for text in batch.column("text").to_pylist():
+            found = text_features(text)
+            counts.update(found if known is None else found & known.value)
+        names = list(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([counts[f] for f in names], pa.int64())], names=["feature", "n"])
+
+    return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
@@ -147,21 +152,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     rows = stored(docs.filter("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "labelled")
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
     base = float(np.clip((size["toxic"] or 0) / max(size["n"], 1), 1e-3, 0.5))
-    toxic = stored(map_batches(rows.filter("toxic = 1").repartition(12), _labelled_counts, "feature binary, n_toxic long")
-                   .groupBy("feature").agg(F.sum("n_toxic").alias("n_toxic")).filter("n_toxic >= 2"), "toxic-features")
-    # how often clean texts hold them: candidates are bounded before they are sent out
-    best = toxic.orderBy(F.desc("n_toxic"), "feature").limit(16 * FEATURES).collect()
-    known = {bytes(r["feature"]): r["n_toxic"] for r in best}
-    handle = docs.sparkSession.sparkContext.broadcast(frozenset(known))
 
-    def incidence(batch: pa.RecordBatch):
-        found = [sorted(text_features(t) & handle.value) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic").cast(pa.int32()), pa.array(found, pa.list_(pa.binary()))],
-                                         names=["doc_id", "toxic", "features"])
+    def counted(of: DataFrame, known=None) -> DataFrame:
+        return map_batches(of.select("text"), _counts(known), "feature binary, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
-    held = stored(map_batches(rows, incidence, f"doc_id {dict(docs.dtypes)['doc_id']}, toxic int, features array<binary>"), "incidence")
-    clean = held.filter("toxic = 0").select(F.explode("features").alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
-    n_clean = {bytes(r["feature"]): r["n"] for r in clean.collect()}
+    # candidates are bounded before they are sent out and looked for in clean texts
+    best = counted(rows.filter("toxic = 1")).filter("n >= 2").orderBy(F.desc("n"), "feature").limit(CANDIDATES).collect()
+    known = {bytes(r["feature"]): r["n"] for r in best}
+    sc = docs.sparkSession.sparkContext
+    n_clean = {bytes(r["feature"]): r["n"] for r in counted(rows.filter("toxic = 0"), sc.broadcast(frozenset(known))).collect()}
 
     def gain(f: bytes) -> float:
         p, n = known[f], n_clean.get(f, 0)
@@ -174,17 +173,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     fixed = [x.encode() for x in [*LEXICON, *PATTERNS]]
     names = list(dict.fromkeys([*names, *fixed]))
     index = {f: i for i, f in enumerate(names)}
-    r, c, y = [], [], []
-    for i, row in enumerate(held.orderBy("doc_id", "features").select("toxic", "features").toLocalIterator()):
-        y.append(row["toxic"])
-        for f in row["features"]:
-            j = index.get(bytes(f))
-            if j is not None:
-                r.append(i)
-                c.append(j)
-    if not y:
+    handle = sc.broadcast(index)
+
+    def incidence(batch: pa.RecordBatch):
+        places = handle.value
+        found = [sorted(places[f] for f in text_features(t) & places.keys()) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic").cast(pa.int32()), pa.array(found, pa.list_(pa.int32()))],
+                                         names=["doc_id", "toxic", "features"])
+
+    held = map_batches(rows, incidence, f"doc_id {dict(docs.dtypes)['doc_id']}, toxic int, features array<int>").orderBy("doc_id", "features").toPandas()
+    y = held["toxic"].to_numpy()
+    if not len(y):
         return Scorer({}, float(np.log(base / (1 - base))))
-    r, c, y = np.array(r, np.int64), np.array(c, np.int64), np.array(y)
+    r = np.repeat(np.arange(len(y)), [len(f) for f in held["features"]])
+    c = np.concatenate([np.asarray(f, np.int64) for f in held["features"]]).astype(np.int64)
     voters = [index[f] for f in dict.fromkeys([*mined, *fixed])]
     column = np.full(len(names), -1)
     column[voters] = np.arange(len(voters))
