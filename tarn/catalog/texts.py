@@ -52,10 +52,11 @@ class Corpus:
         return tk.tfidf(self.matrix, F.lit(self.n))
 
     def rows(self):
-        return cut_lineage(tk.document_rows(self.tfidf()))
+        return cut_lineage(tk.every_document(tk.document_rows(self.tfidf()), self.docs))
 
     def vectors(self):
-        return cut_lineage(tp.count_vectors(tk.term_lists(self.matrix), "terms", self.vocab).select("email_id", "features"))
+        lists = tk.every_document(tk.term_lists(self.matrix), self.docs)
+        return cut_lineage(tp.count_vectors(lists, "terms", self.vocab).select("email_id", "features"))
 
 
 @query("tx_tokens_ngrams", f"WITH {TERMS} SELECT email_id, count(*) AS n_terms, count(DISTINCT term) AS n_distinct,"
@@ -108,8 +109,8 @@ def _(spark, d):
 @query("tp_nmf_sweep")
 def _(spark, d):
     c = Corpus(spark, d)
-    fits = tp.nmf_sweep(c.rows(), range(2, 16), c.vocab.count(), iters=8)
-    return tp.sweep_table(spark, fits, c.vocab).drop("seconds")
+    fits = tp.nmf_sweep(c.rows(), range(2, 16), c.vocab.count())
+    return tp.sweep_table(spark, fits, c.vocab)
 
 
 @query("tp_topic_words")
@@ -123,10 +124,16 @@ def _(spark, d):
 def _(spark, d):
     c = Corpus(spark, d)
     v = c.vectors()
-    model = tp.lda_fit(v, K, passes=20)
+    model = tp.lda_fit(v, K)
     return tp.topic_entropy(tp.lda_topics(model, v))
 
 
+@query("tp_lda_quality")
+def _(spark, d):
+    v = Corpus(spark, d).vectors()
+    return tp.lda_quality(tp.lda_fit(v, K), v)
+
+
 _W = ("w AS (SELECT vec_id, label, list_transform(list_slice(CAST(embedding AS DOUBLE[]), 1, 6), lambda x: round(abs(x), 6)) AS w,"
       " list_transform(list_slice(CAST(embedding AS DOUBLE[]), 7, 12), lambda x: round(abs(x), 6)) AS v FROM embeddings),"
       " p AS (SELECT vec_id, label, w, v, list_transform(w, lambda x: x / list_sum(w)) AS probs FROM w)")
@@ -176,7 +183,7 @@ def _(spark, d):
 
 def clustered(spark, d):
     planar = cut_lineage(cl.project(cl.embed_hashed(emails(spark, d)), "email_id", "embedding"))
-    return cl.density_cluster(planar, eps=0.03, min_samples=15, min_size=40)
+    return cl.density_cluster(planar, eps=0.03, min_samples=15, min_size=80)
 
 
 @query("em_density_cluster")
@@ -264,7 +271,7 @@ def _(spark, d):
     fit = tp.nmf_fit(rows, K, c.vocab.count())
     topics = tp.dominant_topic(tp.nmf_transform(rows, fit["h"])).drop("weights")
     v = c.vectors()
-    mix = tp.topic_entropy(tp.lda_topics(tp.lda_fit(v, K, passes=20), v)).drop("probs")
+    mix = tp.topic_entropy(tp.lda_topics(tp.lda_fit(v, K), v)).drop("probs")
     base = emails(spark, d).select("email_id", "ts", "size_mb", "has_attachment")
     joined = base.join(topics, "email_id", "left").join(mix, "email_id", "left").join(clustered(spark, d), "email_id", "left")
     filled = cut_lineage(joined.fillna({"dominant_topic": -1, "topic_confidence": 0.0, "lda_entropy": 0.0}))
@@ -276,18 +283,17 @@ def _(spark, d):
 def labelled(spark, d):
     c = Corpus(spark, d)
     y = read_table(spark, d, "labels").select(F.col("doc_id").alias("email_id"), F.col("quality").alias("label"))
-    return cut_lineage(c.vectors().join(y.filter(F.col("label").isNotNull()), "email_id")), c.vocab
+    return cut_lineage(c.vectors().join(y.filter(F.col("label").isNotNull()), "email_id")), c.vocab, tk.idf_weights(c.vocab, c.n)
 
 
 @query("su_train_eval")
 def _(spark, d):
-    data, _ = labelled(spark, d)
-    _, f1, scored = sv.supervised(data, "label", "email_id")
+    data, _, idf = labelled(spark, d)
+    _, f1, scored = sv.supervised(data, "label", "email_id", idf)
     return sv.class_report(scored, "label").withColumn("cv_weighted_f1", F.lit(f1))
 
 
 @query("su_importance")
 def _(spark, d):
-    data, vocab = labelled(spark, d)
-    model, _, _ = sv.supervised(data, "label", "email_id", model="forest", folds=2)
-    return sv.importance(model, vocab)
+    data, vocab, idf = labelled(spark, d)
+    return sv.importance(sv.fit_forest(data, "label", "email_id", idf), vocab)

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IDF, Normalizer
+from pyspark.ml.feature import ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarn.session import cut_lineage
+
 
 def stratified_split(df: DataFrame, label: str, id_col: str, share: float = 0.8, seed: int = 42) -> DataFrame:
     """Adds ``is_train``: within every class, the rows below the class's hash quantile."""
@@ -22,22 +25,28 @@ def stratified_split(df: DataFrame, label: str, id_col: str, share: float = 0.8,
     return lookup(drawn, edges, [label]).withColumn("is_train", F.col("_draw") < F.col("_edge")).drop("_draw", "_edge")
 
 
-def supervised(data: DataFrame, label: str, id_col: str, features: str = "features", folds: int = 5, seed: int = 42,
-               model: str = "logistic"):
+def _stages(idf: list[float], features: str) -> list:
+    """Counts times the smoothed inverse document frequency, scaled to length 1."""
+    return [ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol=features, outputCol="idf"), Normalizer(inputCol="idf", outputCol="unit", p=2.0)]
+
+
+def supervised(data: DataFrame, label: str, id_col: str, idf: list[float], features: str = "features", folds: int = 5, seed: int = 42):
     """(fitted pipeline, cross-validated weighted F1, scored test rows). Labels are 0, 1, 2, ..."""
-    split = stratified_split(data, label, id_col, seed=seed).withColumn(label, F.col(label).cast("double")).persist()
-    train, test = split.filter("is_train"), split.filter("NOT is_train")
-    if model == "forest":
-        learner = RandomForestClassifier(labelCol=label, featuresCol="unit", numTrees=30, maxDepth=6, seed=seed)
-        grid = ParamGridBuilder().build()
-    else:
-        learner = LogisticRegression(labelCol=label, featuresCol="unit", maxIter=30, regParam=0.01)
-        grid = ParamGridBuilder().build()
-    pipe = Pipeline(stages=[IDF(inputCol=features, outputCol="idf"), Normalizer(inputCol="idf", outputCol="unit", p=2.0), learner])
+    split = cut_lineage(stratified_split(data, label, id_col, seed=seed).withColumn(label, F.col(label).cast("double")))
+    learner = LogisticRegression(labelCol=label, featuresCol="unit", maxIter=30, regParam=0.01)
+    pipe = Pipeline(stages=[*_stages(idf, features), learner])
     judge = MulticlassClassificationEvaluator(labelCol=label, metricName="weightedFMeasure")
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=seed, parallelism=2)
-    fitted = cv.fit(train)
-    return fitted.bestModel, float(fitted.avgMetrics[0]), fitted.bestModel.transform(test).select(id_col, label, "prediction")
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=ParamGridBuilder().build(), evaluator=judge, numFolds=folds, seed=seed, parallelism=2)
+    fitted = cv.fit(split.filter("is_train"))
+    scored = fitted.bestModel.transform(split.filter("NOT is_train")).select(id_col, label, "prediction")
+    return fitted.bestModel, float(fitted.avgMetrics[0]), scored
+
+
+def fit_forest(data: DataFrame, label: str, id_col: str, idf: list[float], features: str = "features", trees: int = 200, seed: int = 42):
+    """One forest at its full size on the training part; importances need no folds."""
+    train = stratified_split(data, label, id_col, seed=seed).filter("is_train").withColumn(label, F.col(label).cast("double"))
+    learner = RandomForestClassifier(labelCol=label, featuresCol="unit", numTrees=trees, maxDepth=6, seed=seed)
+    return Pipeline(stages=[*_stages(idf, features), learner]).fit(train)
 
 
 def class_report(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

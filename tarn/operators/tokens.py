@@ -20,26 +20,24 @@ STOP_WORDS = (
 MIN_DOCS, MAX_SHARE, MAX_TERMS = 5, 0.85, 5000
 
 
-def words(df: DataFrame, id_col: str = "email_id", text: str = "body") -> DataFrame:
-    """(id, pos, word): words of two or more characters without stop words."""
-    split = df.select(id_col, F.posexplode(F.split(clean_text(text), " ")).alias("pos", "word"))
-    return split.filter((F.length("word") >= 2) & ~F.col("word").isin(STOP_WORDS))
+def word_list(text: str = "body") -> Column:
+    """Words of two or more characters without stop words, in order."""
+    return F.filter(F.split(clean_text(text), " "), lambda w: (F.length(w) >= 2) & ~w.isin(STOP_WORDS))
 
 
 def tokens(df: DataFrame, id_col: str = "email_id", text: str = "body", n: int = 2) -> DataFrame:
     """(id, term), one row per occurrence of every run of 1 to n words left after stop-word removal.
 
-    One shuffle by document serves the runs and, later, the counts and the norms.
+    Runs are zipped from the row's own word list, so nothing is shuffled before terms are counted.
     """
-    kept = words(df, id_col, text)
-    if n == 1:
-        return kept.select(id_col, F.col("word").alias("term"))
-    in_order = Window.partitionBy(id_col).orderBy("pos")
-    followed = kept.select(id_col, "word", *[F.lead("word", k).over(in_order).alias(f"w{k}") for k in range(1, n)])
-    runs = [F.col("word")]
+    listed = df.select(id_col, word_list(text).alias("_words"))
+    runs = grown = F.col("_words")
     for size in range(2, n + 1):
-        runs.append(F.concat("word", *[x for k in range(1, size) for x in (F.lit(" "), F.col(f"w{k}"))]))
-    return followed.select(id_col, F.explode(F.array(*runs)).alias("term")).filter(F.col("term").isNotNull())
+        left = F.slice(grown, F.lit(1), F.greatest(F.size("_words") - (size - 1), F.lit(0)))
+        right = F.slice(F.col("_words"), F.lit(size), F.greatest(F.size("_words") - (size - 1), F.lit(0)))
+        grown = F.zip_with(left, right, lambda a, b: F.concat(a, F.lit(" "), b))
+        runs = F.concat(runs, grown)
+    return listed.select(id_col, F.explode(runs).alias("term"))
 
 
 def term_counts(tok: DataFrame, id_col: str = "email_id") -> DataFrame:
@@ -69,6 +67,12 @@ def tfidf(matrix: DataFrame, n_docs: int | Column, id_col: str = "email_id") ->
     return raw.withColumn("tfidf", F.col("_w") / norm).select(id_col, "term_id", "term", "tf", "tfidf")
 
 
+def idf_weights(vocab: DataFrame, n_docs: int) -> list[float]:
+    """ln((1+n)/(1+df)) + 1 of every vocabulary term, in term order (at most ``max_terms`` numbers)."""
+    idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0
+    return [r["idf"] for r in vocab.select("term_id", idf.alias("idf")).orderBy("term_id").collect()]
+
+
 def matrix_shape(matrix: DataFrame, n_docs: int | Column, vocab: DataFrame) -> DataFrame:
     terms = vocab.agg(F.count(F.lit(1)).alias("n")).scalar()
     out = matrix.agg(F.count(F.lit(1)).alias("non_zero")).select(F.lit(n_docs).cast("long").alias("n_docs"), terms.alias("n_terms"), "non_zero")
@@ -81,6 +85,12 @@ def top_terms(weights: DataFrame, n_docs: int | Column, k: int = 30) -> DataFram
     return mean.orderBy(F.desc("mean_tfidf"), "term").limit(k)
 
 
+def every_document(rows: DataFrame, docs: DataFrame, id_col: str = "email_id") -> DataFrame:
+    """``rows`` plus an empty row for each document without vocabulary terms."""
+    lists = {f.name: F.coalesce(f.name, F.array().cast(f.dataType)).alias(f.name) for f in rows.schema.fields if f.name != id_col}
+    return docs.select(id_col).join(rows, id_col, "left").select(id_col, *lists.values())
+
+
 def document_rows(weights: DataFrame, id_col: str = "email_id", value: str = "tfidf") -> DataFrame:
     """(id, idx, val): one sparse row per document, at most one entry per vocabulary term."""
     pairs = weights.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("term_id", F.col(value).cast("double").alias("v")))).alias("p"))

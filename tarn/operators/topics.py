@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.operators.sequences import top_per_group
-from tarn.session import spread
 
 
 def _row_factors(pdf: pd.DataFrame, h: np.ndarray, sweeps: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -50,13 +49,15 @@ def _term_factors(a: np.ndarray, b: np.ndarray, h: np.ndarray, sweeps: int = 5)
     return h
 
 
-def nmf_sweep(rows: DataFrame, ks: Sequence[int], n_terms: int, iters: int = 10, seed: int = 42,
-              factors: dict[int, np.ndarray] | None = None) -> dict[int, dict[str, object]]:
+def nmf_sweep(rows: DataFrame, ks: Sequence[int], n_terms: int, iters: int = 500, seed: int = 42,
+              factors: dict[int, np.ndarray] | None = None, tolerance: float = 1e-4) -> dict[int, dict[str, object]]:
     """Factors, error and error history for every K, all K fitted in the same passes.
 
     A pass solves every document row against the broadcast factors and sums WtX and
-    WtW; only those sums (K x terms numbers per partition, then per model) leave the
-    tasks. Rows are solved afresh, so the error cannot rise between passes.
+    WtW; the sums are added in the JVM by (k, topic, column), so no task holds the
+    numbers of many partitions. Rows are solved afresh, so the error cannot rise
+    between passes. A model is done when its error drops by less than
+    ``tolerance`` of its first error, or after ``iters`` passes.
     """
     spark = rows.sparkSession
     norm2 = rows.select(F.sum(F.aggregate("val", F.lit(0.0), lambda s, v: s + v * v)).alias("x")).first()["x"] or 0.0
@@ -64,39 +65,44 @@ def nmf_sweep(rows: DataFrame, ks: Sequence[int], n_terms: int, iters: int = 10,
     h = {k: (factors or {}).get(k, rng.random((k, n_terms)) + 0.01) for k in ks}
     history: dict[int, list[float]] = {k: [] for k in ks}
     spent = dict.fromkeys(ks, 0.0)
-    for _ in range(iters + 1):
-        shared = spark.sparkContext.broadcast(h)
+    active = list(ks)
+    while active:
+        shared = spark.sparkContext.broadcast({k: h[k] for k in active})
 
-        def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            a = {k: np.zeros((k, n_terms)) for k in ks}
-            b = {k: np.zeros((k, k)) for k in ks}
+        def sums(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            a = {k: np.zeros((k, n_terms)) for k in shared.value}
+            b = {k: np.zeros((k, k)) for k in shared.value}
             for pdf in batches:
-                for k in ks:
+                for k in shared.value:
                     w, idx, val, doc = _row_factors(pdf, shared.value[k])
                     b[k] += w.T @ w
                     for j in range(k):
                         a[k][j] += np.bincount(idx, weights=val * w[doc, j], minlength=n_terms)
-            yield pd.DataFrame([{"k": k, "topic": j, "a": a[k][j], "b": b[k][j]} for k in ks for j in range(k)])
+            for k in shared.value:
+                both = np.hstack([a[k], b[k]])  # columns beyond the terms are WtW
+                topic, column = np.nonzero(both)
+                yield pd.DataFrame({"k": np.full(len(topic), k), "topic": topic, "col": column, "value": both[topic, column]})
 
-        def add(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame([{"k": pdf["k"].iloc[0], "topic": pdf["topic"].iloc[0],
-                                  "a": np.sum(pdf["a"].tolist(), axis=0), "b": np.sum(pdf["b"].tolist(), axis=0)}])
-
-        schema = "k int, topic int, a array<double>, b array<double>"
         start = time.monotonic()
-        got = spread(rows.mapInPandas(sums, schema), "k", "topic").groupBy("k", "topic").applyInPandas(add, schema).toPandas()
-        for k in ks:
-            mine = got[got["k"] == k].sort_values("topic")
-            a, b = np.array(mine["a"].tolist()), np.array(mine["b"].tolist())
+        got = rows.mapInPandas(sums, "k int, topic int, col int, value double").groupBy("k", "topic", "col").agg(F.sum("value").alias("value")).toPandas()
+        shared.unpersist()
+        for k in list(active):
+            mine = got[got["k"] == k]
+            both = np.zeros((k, n_terms + k))
+            both[mine["topic"], mine["col"]] = mine["value"]
+            a, b = both[:, :n_terms], both[:, n_terms:]
             err2 = norm2 - 2 * float((a * h[k]).sum()) + float((b * (h[k] @ h[k].T)).sum())
             history[k].append(float(np.sqrt(max(err2, 0.0))))
-            if len(history[k]) <= iters:
+            spent[k] += (time.monotonic() - start) / len(active)
+            e = history[k]
+            if len(e) > iters or len(e) > 1 and e[-2] - e[-1] < tolerance * e[0]:
+                active.remove(k)
+            else:
                 h[k] = _term_factors(a, b, h[k])
-            spent[k] += (time.monotonic() - start) / len(ks)
     return {k: {"h": h[k], "error": history[k][-1], "history": history[k], "seconds": spent[k]} for k in ks}
 
 
-def nmf_fit(rows: DataFrame, k: int, n_terms: int, iters: int = 10, seed: int = 42) -> dict[str, object]:
+def nmf_fit(rows: DataFrame, k: int, n_terms: int, iters: int = 500, seed: int = 42) -> dict[str, object]:
     return nmf_sweep(rows, [k], n_terms, iters, seed)[k]
 
 
@@ -149,15 +155,25 @@ def count_vectors(df: DataFrame, terms: str, vocab: DataFrame, name: str = "feat
 
 
 def lda_fit(vectors: DataFrame, k: int = 6, passes: int = 50, seed: int = 42):
-    """Online LDA with the priors and offset of the reference run."""
-    lda = LDA(k=k, maxIter=passes, optimizer="online", docConcentration=[0.1] * k, topicConcentration=0.01,
-              learningOffset=50.0, seed=seed, featuresCol="features")
+    """Online LDA with fixed priors; every iteration sees all texts, so ``passes`` is the number of passes over them."""
+    lda = LDA(k=k, maxIter=passes, subsamplingRate=1.0, optimizer="online", optimizeDocConcentration=False,
+              docConcentration=[0.1] * k, topicConcentration=0.01, learningOffset=50.0, seed=seed, featuresCol="features")
     return lda.fit(vectors)
 
 
 def lda_topics(model, vectors: DataFrame, id_col: str = "email_id") -> DataFrame:
-    """(id, probs): topic mix of every document."""
-    return model.transform(vectors).select(id_col, vector_to_array("topicDistribution").alias("probs"))
+    """(id, probs): topic mix of every document; one without vocabulary terms has the symmetric prior's even mix."""
+    probs = vector_to_array("topicDistribution")
+    k = len(model.getDocConcentration())
+    even = F.array_repeat(F.lit(1.0 / k), k)
+    return model.transform(vectors).select(id_col, F.when(F.array_max(probs) > 0, probs).otherwise(even).alias("probs"))
+
+
+def lda_quality(model, vectors: DataFrame) -> DataFrame:
+    """(log_likelihood, log_perplexity, perplexity): MLlib's variational bounds over the texts with terms."""
+    seen = vectors.filter(F.size(F.filter(vector_to_array("features"), lambda x: x > 0)) > 0)
+    bound, rate = model.logLikelihood(seen), model.logPerplexity(seen)
+    return vectors.sparkSession.createDataFrame([(bound, rate, float(np.exp(rate)))], "log_likelihood double, log_perplexity double, perplexity double")
 
 
 def topic_entropy(df: DataFrame, probs: str = "probs") -> DataFrame:
