@@ -144,7 +144,8 @@ def _(spark, d):
     return agg.disagreement(layers(spark, d))
 
 
-@query("join_label_backfill", f"WITH {SCORED} SELECT login_id, {r6('ecod')}, _anomaly_type FROM scored")
+@query("join_label_backfill", f"WITH {SCORED} SELECT login_id, {r6('ecod')}, _anomaly_type FROM scored"
+       .replace("mat AS (", "mat AS MATERIALIZED (").replace("cnt AS (", "cnt AS MATERIALIZED ("))
 def _(spark, d):
     return jn.scores_with_label(tails(spark, d).select("login_id", "ecod"), signins(spark, d))
 

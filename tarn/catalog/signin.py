@@ -227,6 +227,6 @@ def _(spark, d):
     return seq.distinct_values(signins(spark, d), "location_name")
 
 
-@query("srt_seeded_sample")
+@query("srt_seeded_sample", f"WITH {SIGNINS} SELECT login_id, user_id, device FROM signins ORDER BY md5(concat(login_id, '-42')), login_id LIMIT 100")
 def _(spark, d):
     return seq.hash_sample(signins(spark, d), "login_id", 100).select("login_id", "user_id", "device")

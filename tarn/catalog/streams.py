@@ -103,7 +103,7 @@ def _(spark, d):
 
 
 @query("st_user_features", f"WITH {FEATURES} SELECT login_id, user_id, {r6('minutes_since_last_login')}, {r6('distance_from_prev_km')},"
-       f" {r6('geo_velocity_kmh')}, CAST(logins_last_hour AS BIGINT) AS logins_last_hour FROM feat")
+       f" {r6('geo_velocity_kmh')}, CAST(logins_last_hour AS BIGINT) AS logins_last_hour, CAST(is_new_device AS BIGINT) AS is_new_device FROM feat")
 def _(spark, d):
     source, out = scratch_path(spark, "signins"), scratch_path(spark, "features")
     rows = signins(spark, d)
@@ -111,7 +111,7 @@ def _(spark, d):
     stream = user_state.user_features_stream(fl.stream_table(spark, source, rows.schema), CUTOFF)
     ingest.stream_to(stream, out, scratch_path(spark, "ckpt"))
     return spark.read.parquet(out).select("login_id", "user_id", "minutes_since_last_login", "distance_from_prev_km",
-                                          "geo_velocity_kmh", "logins_last_hour")
+                                          "geo_velocity_kmh", "logins_last_hour", "is_new_device")
 
 
 @query("st_score_new", "SELECT doc_id AS event_id, count(*) OVER () AS n_rows FROM documents")

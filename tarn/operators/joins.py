@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.functions.times import bucket_start
+from tarn.session import cut_lineage
 
 BROADCAST_ROWS = 100_000
 SALTS = 32
@@ -22,6 +23,7 @@ def lookup(facts: DataFrame, reference: DataFrame, on: Sequence[str], how: str =
     reference rows are repeated per salt.
     """
     on = list(on)
+    reference = cut_lineage(reference)  # read twice: counted, then joined
     if reference.limit(max_rows + 1).count() <= max_rows:
         return facts.join(F.broadcast(reference), on, how)
     row_hash = F.xxhash64(*[F.col(c) for c in facts.columns])
@@ -69,16 +71,19 @@ def triage(buckets: DataFrame, events: DataFrame, ts: str = "ts", seconds: int =
            tiers: Sequence[str] = ("high", "critical")) -> DataFrame:
     """Events inside high-tier buckets, rolled up per bucket, worst first.
 
-    The interval condition is rewritten to equality on the bucket start. Events are
-    rolled up per bucket before the join, so a bucket with a third of all events is
-    one row when it meets its score.
+    The interval condition is rewritten to equality on the bucket start. The ``n`` worst
+    buckets that have events are chosen first, so only their events are rolled up.
     """
-    rolled = with_bucket(events, ts, seconds).groupBy("bucket_ts").agg(
+    placed = with_bucket(events, ts, seconds)
+    high = buckets.filter(F.col("tier").isin(list(tiers))).select("bucket_ts", "tier", "anomaly_score", "top_signal")
+    chosen = high.join(placed.select("bucket_ts").distinct(), "bucket_ts", "left_semi").orderBy(F.desc("anomaly_score"), "bucket_ts").limit(n)
+    chosen = cut_lineage(chosen)
+    inside = placed.join(F.broadcast(chosen.select("bucket_ts").distinct()), "bucket_ts")
+    rolled = inside.groupBy("bucket_ts").agg(
         F.count(F.lit(1)).alias("n_events"), F.countDistinct("user_id").alias("n_users"),
         F.countDistinct("ip_address").alias("n_ips"),
         F.round(F.avg("failed_attempts_before"), 1).alias("avg_failed"),
         F.array_sort(F.collect_set("_anomaly_type")).alias("anomaly_types_in_bucket"))
-    chosen = buckets.filter(F.col("tier").isin(list(tiers))).select("bucket_ts", "tier", "anomaly_score", "top_signal")
     return chosen.join(rolled, "bucket_ts").orderBy(F.desc("anomaly_score"), "bucket_ts").limit(n)
 
 

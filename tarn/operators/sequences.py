@@ -140,8 +140,8 @@ def around_peak(df: DataFrame, score: str = "anomaly_score", ts: str = "bucket_t
 
 
 def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows chosen by a seeded hash of the id: the same rows on every run."""
-    return df.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col).limit(n)
+    """n rows chosen by a seeded hash of the id: the same rows on every run, and in any engine that has MD5."""
+    return df.orderBy(F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"-{seed}")).cast("binary")), id_col).limit(n)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

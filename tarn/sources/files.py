@@ -42,9 +42,14 @@ def infer_json_schema(spark: SparkSession, path: str, schema_path: str, sampling
 
 
 def json_stream_inferred(spark: SparkSession, path: str, schema_path: str, sampling_ratio: float = 1.0) -> DataFrame:
+    """New JSON-lines files with the remembered schema; a record that doesn't parse or has other fields is also kept whole."""
     schema = infer_json_schema(spark, path, schema_path, sampling_ratio)
-    return (spark.readStream.schema(schema)
-            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    names = F.array(*[F.lit(f.name) for f in schema.fields])
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    other = F.size(F.array_except(F.json_object_keys("value"), names)) > 0
+    lines = spark.readStream.text(path).filter(F.trim("value") != "").withColumn("_parsed", parsed)
+    kept = F.coalesce(F.col(f"_parsed.{CORRUPT}"), F.when(other, F.col("value")))
+    return lines.select(*[kept.alias(CORRUPT) if f.name == CORRUPT else F.col(f"_parsed.`{f.name}`") for f in schema.fields])
 
 
 def with_lineage(df: DataFrame) -> DataFrame:

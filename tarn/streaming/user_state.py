@@ -15,20 +15,21 @@ OUTPUT = ("login_id long, user_id long, ts timestamp, minutes_since_last_login d
 STATE = "last_s long, last_lat double, last_lon double, recent array<long>, devices array<string>"
 
 
-def _km(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
-    a, b, c, d = np.radians([lat1, lon1, lat2, lon2])
-    h = np.sin((c - a) / 2) ** 2 + np.cos(a) * np.cos(c) * np.sin((d - b) / 2) ** 2
-    return float(2 * RADIUS * np.arcsin(np.sqrt(min(1.0, h))))
+def _km(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+    """Distance of each position from the one before it."""
+    a, b = np.radians(lat), np.radians(lon)
+    h = np.sin(np.diff(a) / 2) ** 2 + np.cos(a[:-1]) * np.cos(a[1:]) * np.sin(np.diff(b) / 2) ** 2
+    return 2 * RADIUS * np.arcsin(np.sqrt(np.minimum(1.0, h)))
 
 
-def user_features_stream(df: DataFrame, cutoff: str, idle_days: float | None = None, delay: str = "1 hour") -> DataFrame:
+def user_features_stream(df: DataFrame, cutoff: str, idle_days: float | None = 30.0, delay: str = "1 hour") -> DataFrame:
     """Gap, distance, speed, events in the last hour and new-device flag of every event, in arrival order.
 
     State per user: last position and time, the times of the last hour, the devices
     seen before ``cutoff``. Within a micro-batch events are put in (time, id) order,
-    so results equal the batch features when batches arrive in time order. Two events
-    in one second both count in the hour only from the second one on. With
-    ``idle_days`` a silent user's state is dropped by event time.
+    so results equal the batch features when batches arrive in time order. Events of
+    one second count for each other, as in the batch features. A user's state is
+    dropped after ``idle_days`` of silence in event time (None: never).
     """
     until = pd.Timestamp(cutoff)
 
@@ -38,22 +39,26 @@ def user_features_stream(df: DataFrame, cutoff: str, idle_days: float | None = N
             return
         rows = pd.concat(list(batches)).sort_values(["ts", "login_id"])
         last_s, lat, lon, recent, devices = state.get if state.exists else (None, None, None, [], [])
-        recent, known = list(recent), set(devices)
-        out = []
-        for r in rows.itertuples(index=False):
-            now = int(r.ts.value // 1_000_000_000)
-            gap = (now - last_s) / 60.0 if last_s is not None else None
-            km = _km(lat, lon, r.latitude, r.longitude) if last_s is not None else None
-            recent = [t for t in recent if t >= now - 3600] + [now]
-            if r.ts < until:
-                known.add(r.device)
-            out.append((r.login_id, r.user_id, r.ts, gap, km, km / (gap / 60.0) if gap else None, len(recent),
-                        0 if r.device in known else 1))
-            last_s, lat, lon = now, r.latitude, r.longitude
-        state.update((last_s, lat, lon, recent, sorted(known)))
+        now = rows["ts"].to_numpy("datetime64[s]").astype(np.int64)
+        # the event before the first one: of an earlier batch, or none
+        times = np.concatenate(([np.nan if last_s is None else last_s], now))
+        lats = np.concatenate(([np.nan if lat is None else lat], rows["latitude"].to_numpy(float)))
+        lons = np.concatenate(([np.nan if lon is None else lon], rows["longitude"].to_numpy(float)))
+        gap, km = np.diff(times) / 60.0, _km(lats, lons)
+        speed = np.divide(km, gap / 60.0, out=np.full(len(gap), np.nan), where=gap > 0)
+        seen = np.sort(np.concatenate((np.asarray(list(recent), np.int64), now)))
+        in_hour = np.searchsorted(seen, now, "right") - np.searchsorted(seen, now - 3600, "left")
+        early = rows.loc[rows["ts"] < until, "device"]
+        known = set(devices) | set(early.dropna())
+        last_s = int(now[-1])
+        state.update((last_s, float(lats[-1]), float(lons[-1]), [int(t) for t in seen[seen >= last_s - 3600]], sorted(known)))
         if idle_days is not None:
             state.setTimeoutTimestamp(max(int((last_s + idle_days * 86_400) * 1000), state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT.split(", ")])
+        out = pd.DataFrame({"login_id": rows["login_id"], "user_id": rows["user_id"], "ts": rows["ts"], "minutes_since_last_login": gap,
+                            "distance_from_prev_km": km, "geo_velocity_kmh": speed, "logins_last_hour": in_hour,
+                            "is_new_device": (~rows["device"].isin(known)).astype("int32")})
+        numbers = ["minutes_since_last_login", "distance_from_prev_km", "geo_velocity_kmh"]
+        yield out.assign(**{c: pd.array([None if np.isnan(v) else v for v in out[c]], dtype="Float64") for c in numbers})
 
     timeout = GroupStateTimeout.NoTimeout if idle_days is None else GroupStateTimeout.EventTimeTimeout
     source = df.select("login_id", "user_id", "ts", "latitude", "longitude", "device")
