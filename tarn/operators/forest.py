@@ -31,22 +31,22 @@ def iforest_fit(df: DataFrame, columns: Sequence[str], id_col: str = "login_id",
                 seed: int = 42) -> DataFrame:
     """Node table of the forest.
 
-    Rows reach their trees by seeded hashes: a thin candidate layer is cut out first,
-    so one pass over the data and a shuffle of about n_trees x n_sub rows is enough.
-    With few rows every tree draws its own sample.
+    Each row draws how many trees it goes to and, by seeded hashes, one tree from
+    each of as many equal ranges of trees; only these (row, tree) pairs are made.
+    A tree keeps the first ``n_sub`` of its rows. The scheme is the same for any
+    number of rows, and a shuffle of about 1.6 x n_trees x n_sub rows is enough.
     """
     columns = list(columns)
     n = df.count()
     psi = min(n_sub, n)
     rows = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in columns])
     key, s = F.col(id_col), F.lit(seed)
-    if n > 2 * n_trees * n_sub:
-        drawn = rows.filter(unit_hash(key, s) < 1.3 * n_trees * n_sub / n)
-        drawn = drawn.withColumn("tree_id", F.pmod(F.xxhash64(key, s, F.lit("tree")), F.lit(n_trees)).cast("int"))
-    else:
-        trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-        drawn = rows.withColumn("tree_id", F.explode(trees)).filter(
-            unit_hash(key, s, F.col("tree_id")) < (1.5 * psi + 30) / max(n, 1))
+    expected = min(1.0, (1.5 * psi + 30) / max(n, 1)) * n_trees  # trees per row
+    count = F.floor(F.lit(expected) + unit_hash(key, s, F.lit("count"))).cast("int")
+    drawn = rows.withColumn("_m", F.least(F.lit(n_trees), count)).filter("_m > 0")
+    ranges = F.transform(F.sequence(F.lit(0), F.col("_m") - 1), lambda j: F.floor(
+        (j + unit_hash(key, s, j)) * n_trees / F.col("_m")).cast("int"))
+    drawn = drawn.withColumn("tree_id", F.explode(F.array_distinct(ranges))).drop("_m")
     w = Window.partitionBy("tree_id").orderBy(F.xxhash64(key, s, F.col("tree_id")), id_col)
     drawn = drawn.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= psi)
 
@@ -155,7 +155,8 @@ class _PerUser:
         limit = self.n_trees * self.n_sub
         draw = unit_hash(F.col(self.id_col), F.lit(self.seed))
         thin = self.rows.filter((F.col("_n") >= MIN_USER_ROWS) & ((F.col("_n") <= limit) | (draw < 1.2 * limit / F.col("_n"))))
-        w = Window.partitionBy(self.user).orderBy(F.xxhash64(F.col(self.id_col), F.lit(self.seed)), self.id_col)
+        # the first rows by draw: the filter above only spares the window rows that can't be among them
+        w = Window.partitionBy(self.user).orderBy(draw, self.id_col)
         thin = thin.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= limit)
         spread = thin.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
         return spread.select(F.col(self.user).alias("_user"), F.col("_chunk").alias("_part"), "_rn",

@@ -1,9 +1,10 @@
 """Exact ranks and quantiles without collecting a group.
 
-Equal values are counted first. The distinct values are spread over equal-width
-bins between minimum and maximum; a short table of bin totals gives the number of
-rows before each bin, and only inside a bin are values ordered. A group of any
-size is therefore ranked by many tasks, and the result is exact.
+Equal values are counted first. The distinct values are dealt to bins whose edges
+are approximate quantiles of them, so far values do not crowd the rest into one
+bin; a short table of bin totals gives the number of rows before each bin, and only
+inside a bin are values ordered. A group of any size is therefore ranked by many
+tasks, and the result is exact whatever the edges.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 4096
+BINS = 512
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -26,16 +27,19 @@ def _binned(counts: DataFrame, by: Sequence[str], bins: int) -> DataFrame:
     from tarn.operators.joins import lookup
 
     by = list(by)
-    span = counts.groupBy(*by).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"),
-                                   F.sum("n").alias("total"))
+    bits = max(1, (bins - 1).bit_length())
+    shares = [i / 2 ** bits for i in range(1, 2 ** bits)]
+    span = counts.groupBy(*by).agg(F.percentile_approx("value", shares, 10 * 2 ** bits).alias("_edges"), F.sum("n").alias("total"))
     if by:
         placed = lookup(counts, span, by)
     else:
-        bounds = span.select(F.struct("_lo", "_hi", "total").alias("s")).scalar()
-        placed = counts.withColumn("_s", bounds).select("*", "_s._lo", "_s._hi", "_s.total").drop("_s")
-    width = F.col("_hi") - F.col("_lo")
-    share = F.when(width > 0, (F.col("value") - F.col("_lo")) / width).otherwise(F.lit(0.0))
-    return placed.withColumn("_bin", F.floor(share * bins).cast("int")).drop("_lo", "_hi")
+        bounds = span.select(F.struct("_edges", "total").alias("s")).scalar()
+        placed = counts.withColumn("_s", bounds).select("*", "_s._edges", "_s.total").drop("_s")
+    placed = placed.withColumn("_bin", F.lit(0))
+    for bit in range(bits - 1, -1, -1):  # binary search: the number of edges up to the value
+        ahead = F.col("_bin") + 2 ** bit
+        placed = placed.withColumn("_bin", F.when(F.get("_edges", ahead - 1) <= F.col("value"), ahead).otherwise(F.col("_bin")))
+    return placed.drop("_edges")
 
 
 def ranked(counts: DataFrame, by: Sequence[str] = (), bins: int = BINS) -> DataFrame:
