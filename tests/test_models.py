@@ -151,3 +151,37 @@ def test_decomposition():
     r = residual(y, 288)
     assert abs(r[1000] - 8) < 0.5 and np.abs(np.delete(r, 1000)).max() < 0.5
     assert (residual(np.full(1000, 3.0), 288) == 0).all()
+
+
+def test_documents_without_terms_keep_a_row(spark):
+    from tarn.operators import tokens as tk
+
+    rows = [(i, "alpha beta gamma delta alpha" if i % 2 else "omega sigma theta omega kappa") for i in range(12)] + [(90, ""), (91, None), (92, "zzz")]
+    docs = spark.createDataFrame(rows, "email_id long, body string")
+    counts = tk.term_counts(tk.tokens(docs))
+    vocab = tk.vocabulary(counts, len(rows))
+    matrix = tk.count_matrix(counts, vocab)
+    sparse = tk.every_document(tk.document_rows(tk.tfidf(matrix, len(rows))), docs)
+    assert {r["email_id"]: len(r["idx"]) for r in sparse.collect()}[90] == 0 and sparse.count() == len(rows)
+    fit = tp.nmf_fit(sparse, 2, vocab.count())
+    assert len(fit["history"]) < 100 and fit["history"][-2] - fit["history"][-1] < 1e-4 * fit["history"][0]
+    weights = {r["email_id"]: list(r["weights"]) for r in tp.nmf_transform(sparse, fit["h"]).collect()}
+    assert len(weights) == len(rows) and weights[92] == [0.0, 0.0]
+    v = tp.count_vectors(tk.every_document(tk.term_lists(matrix), docs), "terms", vocab).select("email_id", "features").cache()
+    model = tp.lda_fit(v, 2, passes=10)
+    probs = {r["email_id"]: list(r["probs"]) for r in tp.lda_topics(model, v).collect()}
+    assert probs[91] == [0.5, 0.5] and len(probs) == len(rows)
+    assert max(probs[1]) > 0.6 and np.argmax(probs[1]) == np.argmax(probs[3]) != np.argmax(probs[2])
+    q = tp.lda_quality(model, v).first()
+    assert q["log_likelihood"] < 0 and q["perplexity"] == pytest.approx(np.exp(q["log_perplexity"]))
+
+
+def test_forest_sampling_is_one_scheme(spark):
+    from tarn.operators.forest import iforest_fit
+
+    small = spark.range(400).selectExpr("id as login_id", "cast(id % 17 as double) as x", "cast(id % 5 as double) as y")
+    large = spark.range(4000).selectExpr("id as login_id", "cast(id % 17 as double) as x", "cast(id % 5 as double) as y")
+    for df, n in ((small, 400), (large, 4000)):
+        nodes = iforest_fit(df, ["x", "y"], n_trees=20, n_sub=32).toPandas()
+        roots = nodes[nodes["parent"] < 0]
+        assert sorted(roots["tree_id"]) == list(range(20)) and (roots["size"] == 32).all()

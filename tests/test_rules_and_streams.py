@@ -147,3 +147,35 @@ def test_typed_empty_table_and_counts(spark, tmp_path):
     assert tb.ensure_table(spark, path, "a int, b string").count() == 1
     with pytest.raises(Exception, match="row count of t"):
         tb.check_counts({"t": spark.read.parquet(path)}, {"t": 2}).collect()
+
+
+def test_fields_outside_the_remembered_schema_are_kept(spark, tmp_path):
+    from tarn.sources.files import json_stream_inferred
+    from tarn.streaming.ingest import stream_to
+
+    source, schema, out, ckpt = (str(tmp_path / x) for x in ("in", "schema", "out", "ckpt"))
+    spark.createDataFrame([('{"id":1,"v":"x"}',)], "value string").write.text(source)
+    stream_to(json_stream_inferred(spark, source, schema), out, ckpt)
+    line = '{"id":2,"v":"y","extra":"z"}'
+    spark.createDataFrame([(line,), ('{"id":3,"v":"w"}',), ("not json",)], "value string").write.mode("append").text(source)
+    stream_to(json_stream_inferred(spark, source, schema), out, ckpt)
+    got = {r["id"]: r["_raw_record"] for r in spark.read.parquet(out).collect()}
+    assert got == {1: None, 2: line, 3: None, None: "not json"}
+
+
+def test_stream_counts_events_of_one_second_for_each_other(spark, tmp_path):
+    import datetime as dt
+
+    from tarn.streaming.ingest import stream_to
+    from tarn.streaming.user_state import user_features_stream
+
+    t = dt.datetime(2024, 1, 1, 10)
+    rows = [(1, 7, t, 1.0, 2.0, "a"), (2, 7, t, 1.0, 2.0, "b"), (3, 7, t + dt.timedelta(minutes=30), 2.0, 2.0, "a"), (4, 7, t + dt.timedelta(hours=2), 2.0, 2.0, "c")]
+    schema = "login_id long, user_id long, ts timestamp, latitude double, longitude double, device string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    stream = user_features_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "2024-01-01 11:00:00")
+    stream_to(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    got = {r["login_id"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert [got[i]["logins_last_hour"] for i in (1, 2, 3, 4)] == [2, 2, 3, 1]
+    assert [got[i]["is_new_device"] for i in (1, 2, 3, 4)] == [0, 0, 0, 1]
+    assert got[1]["minutes_since_last_login"] is None and got[2]["geo_velocity_kmh"] is None and got[3]["minutes_since_last_login"] == 30.0

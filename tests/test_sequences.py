@@ -88,3 +88,13 @@ def test_ranks_and_value_join(spark):
     assert {(r["value"], r["below"], r["upto"]) for r in ranks.collect()} == {(0.0, 0, 1), (1.0, 1, 2), (2.0, 2, 3), (3.0, 3, 3000)}
     joined = join_by_value(df, ranks.select("feature", "value", "n", "total", "upto"), ["feature", "value"])
     assert joined.count() == 3000 and joined.filter("upto IS NULL").count() == 0
+
+
+def test_a_far_value_does_not_crowd_the_others(spark):
+    from tarn.operators.quantiles import _binned, exact_quantiles, value_counts
+
+    values = [float(i) / 50 for i in range(5000)] + [1e12, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    sizes = [r["count"] for r in _binned(value_counts(df, "v"), [], 512).groupBy("_bin").count().collect()]
+    assert max(sizes) < 60
+    assert exact_quantiles(df, "v", [0.5]).first()["quantile"] == sorted(values)[2500] * 0.5 + sorted(values)[2501] * 0.5
