@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarn.catalog.adapters_sql import CUTOFF, FEATURES, ORDERS, SIGNINS
+from tarn.catalog.adapters_sql import CUTOFF, EVENTS, FEATURES, ORDERS, SIGNINS
 from tarn.catalog.orders import EVENT_ROWS, ORDER_COLUMNS, event_rows
 from tarn.catalog.registry import query, r6
 from tarn.catalog.signin import signins
@@ -114,7 +114,7 @@ def _(spark, d):
                                           "geo_velocity_kmh", "logins_last_hour", "is_new_device")
 
 
-@query("st_score_new", "SELECT doc_id AS event_id, count(*) OVER () AS n_rows FROM documents")
+@query("st_score_new", f"WITH {EVENTS} SELECT event_id, {r6('risk_score')}, risk_tier, count(*) OVER () AS n_rows FROM email_scores")
 def _(spark, d):
     """Two increments give every row one score, as a single run would."""
     out = scratch_path(spark, "scores")
@@ -124,4 +124,4 @@ def _(spark, d):
     increments.score_increment(events, out, ev.email_scores, "timestamp")
     increments.score_increment(events, out, ev.email_scores, "timestamp")
     done = spark.read.parquet(out)
-    return done.select("event_id", done.agg(F.count(F.lit(1)).alias("n")).scalar().alias("n_rows"))
+    return done.select("event_id", "risk_score", "risk_tier", done.agg(F.count(F.lit(1)).alias("n")).scalar().alias("n_rows"))

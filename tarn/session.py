@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -49,7 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if configured:
         sc.setCheckpointDir(configured)
     elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tarn-checkpoint-"))
+        folder = tempfile.mkdtemp(prefix="tarn-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)  # a local session's own scratch data ends with it
+        sc.setCheckpointDir(folder)
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 

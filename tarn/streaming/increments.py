@@ -25,14 +25,3 @@ def score_increment(source: DataFrame, path: str, score: Callable[[DataFrame], D
         return False
     write_table(score(new), path, "append")
     return True
-
-
-def score_stream(df: DataFrame, path: str, checkpoint: str, score: Callable[[DataFrame], DataFrame]):
-    """The same on a stream, one append per micro-batch. Batch ids already written are skipped, so a retry is safe."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        score(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    started = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    started.awaitTermination()
-    return started

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tarn.operators.quality import observed
-from tarn.plans.medallion import ORDER_RULES, silver_orders, typed_orders
+from tarn.operators.quality import expect, observed
+from tarn.plans.medallion import ORDER_RULES, typed_orders
 from tarn.sources.files import json_stream, stream_table, with_lineage
 
 
@@ -30,13 +30,4 @@ def silver_orders_stream(spark: SparkSession, source: str, schema: str | T.Struc
     """Raw order rows of an append-only table to typed, checked orders; violations are observed per micro-batch."""
     raw = stream_table(spark, source, schema)
     counted = observed(typed_orders(raw), ORDER_RULES, "order_rules")
-    kept = counted
-    for rule in ORDER_RULES:
-        if rule.action == "drop":
-            kept = kept.filter(rule.holds())
-    return stream_to(kept, path, checkpoint)
-
-
-def silver_orders_view(spark: SparkSession, source: str, schema: str | T.StructType) -> DataFrame:
-    """The same transformation as an unstarted stream."""
-    return silver_orders(stream_table(spark, source, schema))
+    return stream_to(expect(counted, ORDER_RULES), path, checkpoint)
