@@ -16,26 +16,28 @@ CHUNK_SECONDS = 3600
 FLAT = 1e-9  # a spread below this counts as none
 
 
-def _chunk(ts: str, seconds: int) -> Column:
-    return F.floor(F.unix_timestamp(ts) / seconds)
-
-
 def with_previous(df: DataFrame, columns: Sequence[str], key: str = "user_id", ts: str = "ts", tie: str = "login_id",
                   chunk_seconds: int = CHUNK_SECONDS, prefix: str = "prev_") -> DataFrame:
     """Values of the key's previous event (by time, then ``tie``) as ``prev_*`` columns.
 
-    Same rows as ``lag`` over the whole key, computed per (key, chunk) plus the
-    last event of the key's previous non-empty chunk.
+    Same rows as ``lag`` over the whole key. Events are windowed per (key, second); the
+    last event of each second, one small row, is carried to the key's next second,
+    and the last one of each chunk to its next chunk. A busy hour of one key is
+    therefore at most ``chunk_seconds`` rows in one task.
     """
     names = [prefix + c for c in columns]
     event = F.struct(*[F.col(c).alias(n) for c, n in zip(columns, names)])
-    # a one-field struct lets NULL keys meet each other in a plain equality join
-    chunked = df.withColumns({"_key": F.struct(F.col(key).alias("k")), "_chunk": _chunk(ts, chunk_seconds)})
-    inside = Window.partitionBy("_key", "_chunk").orderBy(ts, tie)
-    last_in_chunk = chunked.groupBy("_key", "_chunk").agg(F.max_by(event, F.struct(ts, tie)).alias("_last"))
-    carried = last_in_chunk.select(
-        "_key", "_chunk", F.lag("_last").over(Window.partitionBy("_key").orderBy("_chunk")).alias("_carried"))
-    joined = chunked.withColumn("_prev", F.lag(event).over(inside)).join(carried, ["_key", "_chunk"], "left")
+    # a one-field struct lets NULL keys and times meet each other in a plain equality join
+    timed = df.withColumns({"_key": F.struct(F.col(key).alias("k")), "_second": F.struct(F.unix_timestamp(ts).alias("s"))})
+    inside = Window.partitionBy("_key", "_second").orderBy(ts, tie)
+    seconds = timed.groupBy("_key", "_second").agg(F.max_by(event, F.struct(ts, tie)).alias("_last"))
+    seconds = seconds.withColumn("_chunk", F.struct(F.floor(F.col("_second.s") / chunk_seconds).alias("c")))
+    chunks = seconds.groupBy("_key", "_chunk").agg(F.max_by("_last", "_second").alias("_end"))
+    ends = chunks.select("_key", "_chunk", F.lag("_end").over(Window.partitionBy("_key").orderBy("_chunk")).alias("_carried"))
+    before_second = F.lag("_last").over(Window.partitionBy("_key", "_chunk").orderBy("_second"))
+    carried = (seconds.withColumn("_before", before_second).join(ends, ["_key", "_chunk"], "left")
+               .select("_key", "_second", F.coalesce("_before", "_carried").alias("_carried")))
+    joined = timed.withColumn("_prev", F.lag(event).over(inside)).join(carried, ["_key", "_second"], "left")
     before = F.coalesce("_prev", "_carried")
     return joined.select(*df.columns, *[before.getField(n).alias(n) for n in names])
 
@@ -52,18 +54,19 @@ def minutes_between(earlier: str, later: str) -> Column:
 
 def count_recent(df: DataFrame, seconds: int = 3600, key: str = "user_id", ts: str = "ts",
                  name: str = "logins_last_hour") -> DataFrame:
-    """Events of the key in the last ``seconds``, the current one included.
+    """Events of the key in the last ``seconds``, the current one included; NULL without a time.
 
-    Each event is also sent, as context only, to the next chunk when it can still
-    be inside a window there; chunks are as long as the window, so one step is enough.
+    Events are counted per (key, second) first: the frame sees peers alike, so it
+    holds at most 2 x ``seconds`` rows however many events there are. A second is
+    also sent, as context only, to the next chunk, where it can still be inside a
+    window; chunks are as long as the window, so one step is enough.
     """
-    epoch = F.unix_timestamp(ts)
-    home = F.floor(epoch / seconds)
-    spread = df.withColumns({"_epoch": epoch, "_home": home}).withColumn(
-        "_chunk", F.explode(F.array(F.col("_home"), F.col("_home") + 1)))
-    w = Window.partitionBy(key, "_chunk").orderBy("_epoch").rangeBetween(-seconds, 0)
-    counted = spread.withColumn(name, F.count(F.lit(1)).over(w))
-    return counted.filter(F.col("_chunk") == F.col("_home")).drop("_epoch", "_home", "_chunk")
+    timed = df.withColumns({"_key": F.struct(F.col(key).alias("k")), "_epoch": F.unix_timestamp(ts)})
+    per_second = timed.groupBy("_key", "_epoch").agg(F.count(F.lit(1)).alias("_n")).withColumn("_home", F.floor(F.col("_epoch") / seconds))
+    spread = per_second.withColumn("_chunk", F.explode(F.array(F.col("_home"), F.col("_home") + 1)))
+    w = Window.partitionBy("_key", "_chunk").orderBy("_epoch").rangeBetween(-seconds, 0)
+    counted = spread.withColumn(name, F.sum("_n").over(w)).filter(F.col("_chunk") == F.col("_home")).select("_key", "_epoch", name)
+    return timed.join(counted, ["_key", "_epoch"], "left").select(*df.columns, name)
 
 
 def dedup(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -40,6 +40,16 @@ def test_recent_equals_range_frame(events):
     assert got == want
 
 
+def test_one_user_with_all_events_in_one_hour(spark):
+    rows = spark.range(3000).selectExpr("id as login_id", "7L as user_id", "timestamp_seconds(1704067200 + (id * 37) % 1700) as ts", "cast(id as double) as v").cache()
+    w = Window.partitionBy("user_id").orderBy("ts", "login_id")
+    want = rows.select("login_id", F.lag("v").over(w).alias("prev_v")).collect()
+    assert sorted(map(str, seq.with_previous(rows, ["v"]).select("login_id", "prev_v").collect())) == sorted(map(str, want))
+    frame = Window.partitionBy("user_id").orderBy(F.unix_timestamp("ts")).rangeBetween(-3600, 0)
+    want = rows.select("login_id", F.count(F.lit(1)).over(frame).alias("n")).collect()
+    assert sorted((r["login_id"], r["logins_last_hour"]) for r in seq.count_recent(rows).collect()) == sorted((r["login_id"], r["n"]) for r in want)
+
+
 def test_rolling_z_equals_pandas(spark):
     rng = np.random.default_rng(1)
     y = np.r_[rng.normal(size=70), np.zeros(40), rng.normal(size=33)]
