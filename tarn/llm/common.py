@@ -34,13 +34,21 @@ def row_keys(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
             F.xxhash64(F.col(text), F.col(doc_id).isNull()).alias("row_hash")]
 
 
+def slices(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``most`` bytes, so that Python objects made from it stay few at a time."""
+    step = max(1, int(batch.num_rows * most / max(batch.nbytes, 1)))
+    for first in range(0, batch.num_rows, step):
+        yield batch.slice(first, step)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch | pa.Table]], schema: str) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch; it may give any number of batches or tables."""
+    """Apply ``fn`` to each Arrow batch, a piece at a time; it may give any number of batches or tables."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                for out in fn(batch):
+            for piece in slices(batch):
+                for out in fn(piece):
                     yield from (out.to_batches() if isinstance(out, pa.Table) else [out])
+        pa.default_memory_pool().release_unused()  # workers live on between tasks
 
     return df.mapInArrow(run, schema)
 

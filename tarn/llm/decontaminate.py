@@ -60,7 +60,7 @@ def _scan(handle):
             state["windows"] = {n: dict(d) for n, d in by_length.items()}
         bodies = batch.column("body").to_pylist()
         counts, hits, items = [], [], []
-        for part in batches_of([len(b or b"") for b in bodies], 1 << 21):
+        for part in batches_of([len(b or b"") for b in bodies], 1 << 20):
             data, starts, ends, words, first = _words(bodies[part])
             found: dict[int, list] = defaultdict(list)
             for n, known in state["names"].items():

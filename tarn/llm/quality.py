@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarn.llm.common import slices
 from tarn.llm.kernels import SPACES, U64, batches_of, chained_names, join_texts, mix, prefix_names, substring_names, word_bounds
 
 SAMPLE = 20_000
@@ -56,7 +57,7 @@ def _repeats(names: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def text_counts(bodies: list[bytes | None]) -> np.ndarray:
     """One row of COUNTS for each text."""
     rows = [np.zeros((0, len(COUNTS)), np.int64)]
-    for part in batches_of([len(b or b"") for b in bodies], 1 << 21):
+    for part in batches_of([len(b or b"") for b in bodies], 1 << 20):
         data, offsets = join_texts(bodies[part])
         n = len(offsets) - 1
         starts, ends = word_bounds(data, SPACES)
@@ -92,11 +93,11 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     names = docs.columns
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                counts = text_counts(batch.column(text).cast(pa.binary()).to_pylist())
-                stats = pa.StructArray.from_arrays([pa.array(counts[:, i]) for i in range(len(COUNTS))], names=COUNTS)
-                yield pa.RecordBatch.from_arrays([*batch.columns, stats], names=[*names, STATS])
+        for batch in (piece for whole in batches for piece in slices(whole)):
+            counts = text_counts(batch.column(text).cast(pa.binary()).to_pylist())
+            stats = pa.StructArray.from_arrays([pa.array(counts[:, i]) for i in range(len(COUNTS))], names=COUNTS)
+            yield pa.RecordBatch.from_arrays([*batch.columns, stats], names=[*names, STATS])
+        pa.default_memory_pool().release_unused()
 
     schema = T.StructType([*docs.schema.fields, T.StructField(STATS, T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))])
     return docs.mapInArrow(run, schema)

@@ -43,7 +43,7 @@ def shingle_sets(texts: list[bytes | None], words: int) -> list[np.ndarray]:
     """Sorted distinct shingle names of each text; a text of fewer words is one shingle, none without words."""
     out: list[np.ndarray] = []
     bodies = [(t or b"").translate(LOWER) for t in texts]
-    for part in batches_of([len(b) for b in bodies], 1 << 21):
+    for part in batches_of([len(b) for b in bodies], 1 << 20):
         data, offsets = join_texts(bodies[part])
         starts, ends = word_bounds(data, SPACES)
         names = substring_names(prefix_names(data), starts, ends)

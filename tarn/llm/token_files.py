@@ -10,8 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm.common import map_batches
-from tarn.llm.kernels import batches_of
+from tarn.llm.common import map_batches, slices
 from tarn.llm.tokens import encoder
 
 END = 2
@@ -23,18 +22,17 @@ def _encoded(tokenizer: str, end: int):
     def run(batches):
         at = 0
         tail = np.array([end], "<u4").tobytes()
-        for batch in batches:
-            bodies = batch.column("body").to_pylist()
-            for part in batches_of([len(b or b"") for b in bodies], 1 << 21):
-                ids = [x + tail for x in encoder(tokenizer).encode(bodies[part])]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
-                ends = np.concatenate(([0], np.cumsum(n)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(part.start, len(n)), pa.array(np.full(len(n), TaskContext.get().partitionId(), np.int32)),
-                     pa.array(at + ends[:-1]), pa.array(n),
-                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<u4").view(np.int32)))],
-                    names=["doc_id", "shard", "place", "n_tokens", "ids"])
-                at += int(ends[-1])
+        for batch in (piece for whole in batches for piece in slices(whole)):
+            ids = [x + tail for x in encoder(tokenizer).encode(batch.column("body").to_pylist())]
+            n = np.array([len(x) // 4 for x in ids], np.int64)
+            ends = np.concatenate(([0], np.cumsum(n)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.full(len(n), TaskContext.get().partitionId(), np.int32)),
+                 pa.array(at + ends[:-1]), pa.array(n),
+                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<u4").view(np.int32)))],
+                names=["doc_id", "shard", "place", "n_tokens", "ids"])
+            at += int(ends[-1])
+        pa.default_memory_pool().release_unused()
 
     return run
 

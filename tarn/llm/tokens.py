@@ -7,7 +7,9 @@ import re
 
 import numpy as np
 
-CACHE = 1_000_000
+from tarn.llm.kernels import batches_of
+
+CACHE = 500_000
 #: lower-case a-z and Latin-1 letters, then punctuation that always stands apart from letters
 _PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([.,;:!?%*#$&|+]*)")
 
@@ -61,7 +63,10 @@ class Encoder:
             known[piece] = self._packed(e.ids)
 
     def encode(self, bodies: list[bytes | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+        """Ids of each text as little-endian unsigned 32-bit integers; about a megabyte of text is in hand at a time."""
+        return [ids for part in batches_of([len(b or b"") for b in bodies], 1 << 20) for ids in self._encode(bodies[part])]
+
+    def _encode(self, bodies: list[bytes | None]) -> list[bytes]:
         pieces = [[] if b is None or b"<|" in b else b.translate(self.lower).split() for b in bodies]
         if len(self.known) > CACHE:
             self.known.clear()
