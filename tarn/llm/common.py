@@ -34,6 +34,17 @@ def row_keys(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
             F.xxhash64(F.col(text), F.col(doc_id).isNull()).alias("row_hash")]
 
 
+#: what operators keep in a worker process between tasks, as functions that let go of it
+HELD: list[Callable[[], None]] = []
+
+
+def let_go() -> None:
+    """Workers outlive stages: an operator that starts frees what another one kept there."""
+    for drop in HELD:
+        drop()
+    pa.default_memory_pool().release_unused()
+
+
 def slices(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``most`` bytes, so that Python objects made from it stay few at a time."""
     step = max(1, int(batch.num_rows * most / max(batch.nbytes, 1)))
@@ -41,9 +52,13 @@ def slices(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[pa.RecordBatc
         yield batch.slice(first, step)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch | pa.Table]], schema: str) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch, a piece at a time; it may give any number of batches or tables."""
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch | pa.Table]], schema: str,
+                hold: bool = False) -> DataFrame:
+    """Apply ``fn`` to each Arrow batch, a piece at a time; it may give any number of batches or tables. With ``hold`` the worker
+    keeps what earlier tasks have left for it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not hold:
+            let_go()
         for batch in batches:
             for piece in slices(batch):
                 for out in fn(piece):

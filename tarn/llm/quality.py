@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarn.llm.common import slices
+from tarn.llm.common import let_go, slices
 from tarn.llm.kernels import SPACES, U64, batches_of, chained_names, join_texts, mix, prefix_names, substring_names, word_bounds
 
 SAMPLE = 20_000
@@ -93,6 +93,7 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     names = docs.columns
 
     def run(batches):
+        let_go()
         for batch in (piece for whole in batches for piece in slices(whole)):
             counts = text_counts(batch.column(text).cast(pa.binary()).to_pylist())
             stats = pa.StructArray.from_arrays([pa.array(counts[:, i]) for i in range(len(COUNTS))], names=COUNTS)

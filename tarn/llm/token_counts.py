@@ -32,7 +32,7 @@ def token_lengths(docs: DataFrame, tokenizer: str, columns: dict[str, str]) -> D
         counts = [[len(ids) // 4 for ids in encoder(tokenizer).encode(batch.column(c).cast(pa.binary()).to_pylist())] for c in columns.values()]
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *[pa.array(x, pa.int64()) for x in counts]], names=[*keep, *columns])
 
-    return map_batches(docs, run, ", ".join([*[f"`{c}` {kinds[c]}" for c in keep], *[f"`{n}` long" for n in columns]]))
+    return map_batches(docs, run, ", ".join([*[f"`{c}` {kinds[c]}" for c in keep], *[f"`{n}` long" for n in columns]]), hold=True)
 
 
 def inserts(rows: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 
+from tarn.llm.common import HELD
 from tarn.llm.kernels import batches_of
 
 CACHE = 500_000
@@ -80,6 +81,7 @@ class Encoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+HELD.append(_ENCODERS.clear)
 
 
 def encoder(path: str) -> Encoder:
