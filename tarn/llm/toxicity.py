@@ -24,7 +24,6 @@ from tarn.llm.common import map_batches, stored
 
 SAMPLE = 20_000
 FEATURES = 4096
-CANDIDATES = 40_000
 VOTERS = 256
 BEGINNINGS = (4, 5, 6, 7)
 LEAST_GAIN = 6.0
@@ -132,17 +131,25 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(raw, -40, 40)))
 
 
-def _counts(known=None):
-    """Per batch, in how many texts each feature is found; only those of the broadcast set, if one is given."""
-    def run(batch: pa.RecordBatch):
-        counts: Counter = Counter()
-        for text in batch.column("text").to_pylist():
-            found = text_features(text)
-            counts.update(found if known is None else found & known.value)
-        names = list(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([counts[f] for f in names], pa.int64())], names=["feature", "n"])
+def _counts(batch: pa.RecordBatch):
+    """In how many toxic and in how many clean texts of a batch each feature is found."""
+    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+        counts[toxic == 0].update(text_features(text))
+    names = list(counts[0] | counts[1])
+    yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), *[pa.array([c[f] for f in names], pa.int64()) for c in counts]], names=["feature", "p", "n"])
+
 
-    return run
+def candidates(rows: DataFrame, base: float) -> DataFrame:
+    """(feature, p, n, gain): the best ``FEATURES`` by gain among all that are found in at least two toxic texts.
+
+    The counts of toxic (p) and clean (n) texts meet in Spark, so no feature is left out before its gain is known.
+    """
+    found = map_batches(rows.select("text", "toxic"), _counts, "feature binary, p long, n long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    share = F.col("p") / (F.col("p") + F.col("n"))
+    clean = F.when(F.col("n") > 0, F.col("n") * F.log(F.greatest(1 - share, F.lit(1e-9)) / (1 - base))).otherwise(0.0)
+    gain = F.when(share > base, F.col("p") * F.log(share / base) + clean).otherwise(0.0)
+    return found.filter("p >= 2").withColumn("gain", gain).filter(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), F.desc("feature")).limit(FEATURES)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
@@ -153,23 +160,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
     base = float(np.clip((size["toxic"] or 0) / max(size["n"], 1), 1e-3, 0.5))
 
-    def counted(of: DataFrame, known=None) -> DataFrame:
-        return map_batches(of.select("text"), _counts(known), "feature binary, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-
-    # candidates are bounded before they are sent out and looked for in clean texts
-    best = counted(rows.filter("toxic = 1")).filter("n >= 2").orderBy(F.desc("n"), "feature").limit(CANDIDATES).collect()
-    known = {bytes(r["feature"]): r["n"] for r in best}
     sc = docs.sparkSession.sparkContext
-    n_clean = {bytes(r["feature"]): r["n"] for r in counted(rows.filter("toxic = 0"), sc.broadcast(frozenset(known))).collect()}
-
-    def gain(f: bytes) -> float:
-        p, n = known[f], n_clean.get(f, 0)
-        share = p / (p + n)
-        return (p * np.log(share / base) + n * np.log(max(1 - share, 1e-9) / (1 - base)) if n else p * np.log(1 / base)) if share > base else 0.0
-
-    ranked = sorted(((gain(f), f) for f in known), reverse=True)
-    names = [f for g, f in ranked[:FEATURES] if g >= LEAST_GAIN]
-    mined = [f for f in names if known[f] >= 4 * n_clean.get(f, 0)][:VOTERS]
+    best = candidates(rows, base).collect()
+    names = [bytes(r["feature"]) for r in best]
+    mined = [f for f, r in zip(names, best) if r["p"] >= 4 * r["n"]][:VOTERS]
     fixed = [x.encode() for x in [*LEXICON, *PATTERNS]]
     names = list(dict.fromkeys([*names, *fixed]))
     index = {f: i for i, f in enumerate(names)}

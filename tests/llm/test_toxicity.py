@@ -56,3 +56,13 @@ def test_without_labels_or_rows(spark):
     docs, labels = documents(spark, 20)
     assert len({x.score for x in t.scored(docs, labels.limit(0)).collect()}) == 1
     assert t.scored(docs.limit(0), labels).collect() == []
+
+
+def test_rare_toxic_words_among_many_frequent_neutral_ones(spark):
+    r = random.Random(5)
+    heads = [chr(97 + i // 576) + chr(97 + i // 24 % 24) + chr(97 + i % 24) + "q" for i in range(10_000)]
+    neutral = " ".join(h + "".join(r.choice("abcdefgh") for _ in range(4)) for h in heads)  # 50,000 features in each text
+    ids = [i for i in range(90) if zlib.crc32(str(i).encode()) % 4 != 2][:60]
+    docs = spark.createDataFrame([(i, neutral + (" zanker" if k < 3 else "")) for k, i in enumerate(ids)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(k < 6)) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    assert t.fit(docs, labels).weights[b"zanker"] > 0
