@@ -34,8 +34,16 @@ ENDS_PARAGRAPH = BLOCK - {"html", "body", "tbody", "thead", "tfoot", "tr", "td",
 SCOPE = frozenset({"table", "td", "th", "caption", "html", "button", "template"})
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-_HIDING_RULE = re.compile(r"([^{}]+)\{[^{}]*(?:display\s*:\s*none|visibility\s*:\s*hidden)[^{}]*\}", re.I)
-_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+_CSS_SKIP = re.compile(r"""/\*.*?(?:\*/|\Z)|<!--|-->|"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'""", re.S)
+_CSS_PIECE = re.compile(r"([^{};]*)([{};])")
+_SELECTOR = re.compile(r"([\w-]*)((?:[.#][\w-]+)*)")
+_INNER = re.compile(r"([\w-]*)\(([^()]*)\)")
+_RANGE = re.compile(r"(?:([\d.]+\w*)\s*([<>]=?)\s*)?(width|height)(?:\s*([<>]=?|=)\s*([\d.]+\w*))?")
+#: fixed values: the screen that at-rules are judged for, and pixels per unit
+SCREEN = {"width": 1280.0, "height": 800.0}
+UNITS = {"": 1.0, "px": 1.0, "em": 16.0, "rem": 16.0, "pt": 96 / 72, "in": 96.0, "cm": 96 / 2.54, "mm": 96 / 25.4}
+TRAITS = frozenset("color grid:0 hover hover:hover any-hover:hover pointer pointer:fine any-pointer:fine orientation:landscape prefers-color-scheme:light "
+                   "prefers-reduced-motion:no-preference prefers-contrast:no-preference scripting:enabled scripting update:fast display-mode:browser".split())
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 MAX_SPAN = 1000
 
@@ -104,32 +112,140 @@ def parse(page: str) -> Node:
     return root
 
 
-def hiding_selectors(root: Node) -> set[str]:
-    """Simple selectors (.class, #id, tag, tag.class) that a style sheet of the page hides."""
-    found: set[str] = set()
+def _pixels(length: str) -> float:
+    m = re.fullmatch(r"([\d.]+)([a-z]*)", length)
+    try:
+        return float(m[1]) * UNITS[m[2]]
+    except (KeyError, TypeError, ValueError):
+        return float("nan")
+
+
+def _feature(text: str) -> bool:
+    """Whether one feature of a media query holds on ``SCREEN``; what is not known does not."""
+    name, _, value = (x.strip() for x in text.partition(":"))
+    if name[:4] in ("min-", "max-") and name[4:] in SCREEN:
+        return _pixels(value) <= SCREEN[name[4:]] if name[:3] == "min" else _pixels(value) >= SCREEN[name[4:]]
+    if name in SCREEN:
+        return not value or _pixels(value) == SCREEN[name]
+    m = _RANGE.fullmatch(name)
+    if m is None:
+        return f"{name}:{value}" in TRAITS if value else name in TRAITS
+    holds = {"<": float.__lt__, "<=": float.__le__, ">": float.__gt__, ">=": float.__ge__, "=": float.__eq__}
+    size = SCREEN[m[3]]
+    return (m[1] is None or holds[m[2]](_pixels(m[1]), size)) and (m[5] is None or holds[m[4]](size, _pixels(m[5])))
+
+
+def _condition(words: list[str]) -> bool:
+    for joint, how in (("or", any), ("and", all)):
+        if joint in words:
+            at = words.index(joint)
+            return how((_condition(words[:at]), _condition(words[at + 1:])))
+    if words[:1] == ["not"]:
+        return not _condition(words[1:])
+    return [w for w in words if w != "only"] in (["true"], ["all"], ["screen"])
+
+
+def on_screen(query: str) -> bool:
+    """Whether a media query list holds on a wide screen."""
+    def inner(m: re.Match) -> str:
+        words = m[2].split()
+        holds = _condition(words) if words and set(words) <= {"true", "false", "and", "or", "not"} else _feature(m[2].strip())
+        return f"{m[1]} {'true' if holds and m[1] in ('', 'and', 'or', 'not') else 'false'} "
+
+    def one(q: str) -> bool:
+        n = 1
+        while n:
+            q, n = _INNER.subn(inner, q)
+        words = q.split()
+        return not _condition(words[1:]) if words[:1] == ["not"] else _condition(words)
+
+    return not query.strip() or any(one(q) for q in query.lower().split(","))
+
+
+def _applies(rule: str) -> bool:
+    """Whether the rules in the block of an at-rule count on a wide screen."""
+    m = re.match(r"@([\w-]+)(.*)", rule, re.S)
+    name, rest = (m[1].lower(), m[2]) if m else ("", "")
+    if name == "supports":
+        return not rest.strip().lower().startswith("not")
+    if name == "container":
+        return "(" in rest and on_screen(rest[rest.index("("):])
+    return on_screen(rest) if name == "media" else name == "layer"
+
+
+def declarations(text: str) -> dict[str, tuple[bool, bool]]:
+    """display and visibility of a list of declarations: (important, hides), the last of equals."""
+    out: dict[str, tuple[bool, bool]] = {}
+    for part in text.lower().split(";"):
+        name, _, value = (x.strip() for x in part.partition(":"))
+        if name in ("display", "visibility") and value and "var(" not in value:
+            value, important, _ = value.partition("!")
+            now = (bool(important), value.strip() in (("none",) if name == "display" else ("hidden", "collapse")))
+            if name not in out or important or not out[name][0]:
+                out[name] = now
+    return out
+
+
+def style_rules(css: str):
+    """(selectors, declarations) of a style sheet in order, without what is in blocks that do not apply to a wide screen."""
+    blocks: list[tuple[bool, list[str]]] = [(True, [])]
+    for text, end in _CSS_PIECE.findall(_CSS_SKIP.sub(" ", css) + "}"):
+        text, (applies, selectors) = text.strip(), blocks[-1]
+        if end == "{":
+            if text.startswith("@"):
+                blocks.append((applies and _applies(text), selectors))
+            else:
+                # a rule within a rule needs more than one element to match
+                blocks.append((applies, [] if selectors else [x.strip() for x in text.split(",")] or [""]))
+            continue
+        if text and applies and selectors and (found := declarations(text)):
+            yield selectors, found
+        if end == "}" and len(blocks) > 1:
+            blocks.pop()
+
+
+#: by one part of a selector (tag, .class or #id): all its parts, the property, its rank in the cascade, and whether it hides
+Rules = dict[str, list[tuple[frozenset[str], str, tuple, bool]]]
+
+
+def display_rules(root: Node) -> Rules:
+    """Display and visibility rules of the page's style sheets whose selector looks at one element (tag, .class, #id and their joins)."""
+    found: Rules = {}
     todo = [root]
+    order = 0
     while todo:
         node = todo.pop()
-        for c in node.children:
-            if isinstance(c, Node):
-                if c.tag == "style" and c.children:
-                    for selectors in _HIDING_RULE.findall(re.sub(r"/\*.*?\*/", "", c.children[0], flags=re.S)):
-                        found.update(s.strip() for s in selectors.split(",") if re.fullmatch(r"[\w-]*[.#]?[\w-]+", s.strip()))
-                todo.append(c)
-    return found
-
-
-def hidden(node: Node, selectors: set[str]) -> bool:
+        if node.tag == "style" and node.children and on_screen(node.attributes.get("media", "")):
+            for selectors, declared in style_rules(node.children[0]):
+                order += 1
+                for m in filter(None, map(_SELECTOR.fullmatch, selectors)):
+                    marks = re.findall(r"[.#][\w-]+", m[2])
+                    parts = [*marks, *([m[1].lower()] if m[1] else [])]
+                    ids = sum(x[0] == "#" for x in marks)
+                    for name, (important, hides) in declared.items() if parts else ():
+                        found.setdefault(parts[0], []).append((frozenset(parts), name, (important, False, ids, len(marks) - ids, bool(m[1]), order), hides))
+        todo.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    return found if any(hides for rules in found.values() for *_, hides in rules) else {}
+
+
+def hidden(node: Node, rules: Rules) -> bool:
     a = node.attributes
-    if node.tag in UNSEEN or "hidden" in a or _HIDDEN.search(a.get("style", "")):
+    if node.tag in UNSEEN or "hidden" in a:
         return True
     if node.tag == "dialog" and "open" not in a or node.tag == "input" and a.get("type", "").lower() == "hidden":
         return True
-    if selectors:
-        own = [node.tag, "#" + a.get("id", ""), node.tag + "#" + a.get("id", "")]
-        own += [x for c in a.get("class", "").split() for x in ("." + c, node.tag + "." + c)]
-        return not selectors.isdisjoint(own)
-    return False
+    best: dict[str, tuple[tuple, bool]] = {}
+    if rules and node.tag != "#root":
+        own = {node.tag, *["." + c for c in a.get("class", "").split()], *(["#" + a["id"]] if "id" in a else [])}
+        for part in own & rules.keys():
+            for parts, name, rank, hides in rules[part]:
+                if parts <= own and (name not in best or rank > best[name][0]):
+                    best[name] = (rank, hides)
+    if "style" in a:
+        for name, (important, hides) in declarations(a["style"]).items():
+            if name not in best or (important, True) > best[name][0]:
+                best[name] = ((important, True), hides)
+    return any(hides for _, hides in best.values())
 
 
 class Lines:
@@ -235,7 +351,7 @@ class Grid:
 
 
 def render(root: Node) -> str:
-    selectors = hiding_selectors(root)
+    rules = display_rules(root)
     flows, grids, lists = [Lines()], [], []
     depth_pre = 0
     todo: list[tuple[Node | str, bool]] = [(root, False)]
@@ -247,7 +363,7 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if not leaving:
-            if hidden(node, selectors):
+            if hidden(node, rules):
                 continue
             if tag == "br":
                 flow.end_line(keep=not flow.line)

@@ -67,3 +67,28 @@ def test_deep_odd_and_empty(spark):
     df = spark.createDataFrame([(1, None, "u"), (None, "<p>a", "u"), (1, None, "u"), (2, "", "u")], "page_id long, html string, text string")
     assert sorted(((r.page_id, r.text) for r in visible_text(df).collect()), key=str) == [(1, ""), (1, ""), (2, ""), (None, "a")]
     assert visible_text(df.limit(0)).collect() == []
+
+
+SHEETS = [
+    ("@media print { .nav, #menu { display: none } }", True), ("@media (max-width: 600px) { .nav{display:none} }", True), ("@media screen { .nav{display:none} }", False),
+    ("@media (min-width: 40em) and (orientation: landscape) { .nav{display:none} }", False), ("@media print, (width >= 900px) { .nav{display:none} }", False),
+    ("@media not print { .nav{display:none} }", False), ("@media not all and (max-width: 600px) { .nav{display:none} }", False), ("@media (400px < width <= 700px) { .nav{display:none} }", True),
+    ("@media print { i{color:red} .nav{display:none} } #menu{display:none}", False), ("@supports (display: grid) { @media print { .nav{display:none} } }", True),
+    ("@media (not (max-width: 600px)) { .nav{display:none} }", False), (".nav { @media print { display: none } }", True), (".nav { @media screen { display: none } }", False),
+    ("@keyframes x { i { visibility: hidden } }", True), (".nav{display:none} .nav{display:block}", True), (".nav{display:block} .nav{display:none}", False),
+    (".nav{display:none} @media (min-width: 600px) { .nav{display:flex} }", True), (".nav{display:none} @media (max-width: 600px) { .nav{display:flex} }", False),
+    (".nav{visibility:hidden} .nav{display:block}", False), (".nav{visibility:hidden;} .nav{visibility:visible}", True), (".nav{display:none !important} .nav{display:block}", False),
+    ("#menu{display:block} .nav{display:none}", True), (".nav{display:none} i{display:block}", False), (".nav{display:none} .nav.on{display:block}", True),
+    ("i::after{content:'}{ @media'} .nav{display:none}", False), ("/* } */ .nav{display:none", False), ("@import url(x.css); .nav{display:none}", False),
+]
+
+
+@pytest.mark.parametrize("sheet,seen", SHEETS)
+def test_style_rules_count_as_on_a_wide_screen(sheet, seen):
+    assert page_text(f"<style>{sheet}</style><i class='nav on' id=menu>nav</i><b>rest</b>") == ("navrest" if seen else "rest")
+
+
+def test_style_sheets_of_other_media_and_inline_styles():
+    assert page_text("<style media=print>i{display:none}</style><i>x</i>") == "x"
+    assert page_text("<style>i{display:none}</style><i style='display:inline'>x</i><i>y</i>") == "x"
+    assert page_text("<style>i{display:none!important}</style><i style='display:inline'>x</i>y") == "y"
