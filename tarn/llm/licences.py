@@ -22,6 +22,7 @@ UNKNOWN = "unknown"
 SLOTS = 1 << 14
 COPIES = 12
 SHARE = 0.6
+JOINT = "\x01"  # between lines that were joined; no part of a word
 #: fixed values: words that licence statements use and other paragraphs seldom do
 TELLING = ("licence license licensed licenses licensing licenced copyright copyrighted spdx bsd apache gnu gpl lgpl agpl affero lesser mozilla mpl "
            "creative commons cc cc0 unlicense isc eclipse epl boost warranty warranties merchantability redistribution redistributions "
@@ -55,13 +56,27 @@ TEMPLATES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain under the Unlicense.", "SPDX-License-Identifier: Unlicense", "Released under the Unlicense."],
     "Proprietary": ["Copyright 2024 Example Corporation. All rights reserved.", "All rights reserved.", "This software is proprietary and confidential. Unauthorized copying is strictly prohibited."],
 }
+#: fixed values: names and ids by which short notices call the licences
+NAMES = {
+    "MIT": ["MIT"], "Apache-2.0": ["Apache", "Apache 2.0", "Apache 2", "Apache-2.0"], "BSD": ["BSD", "BSD-3-Clause", "BSD-2-Clause", "New BSD", "Simplified BSD"],
+    "GPL": ["GPL", "GNU GPL", "GPLv3", "GPLv2", "GPL v3", "GPL-3.0"], "LGPL": ["LGPL", "GNU LGPL", "LGPLv3", "LGPL-2.1"], "AGPL": ["AGPL", "GNU AGPL", "AGPLv3", "AGPL-3.0"],
+    "MPL-2.0": ["MPL", "MPL 2.0", "MPL-2.0", "Mozilla Public"], "EPL-2.0": ["EPL", "EPL 2.0", "EPL-2.0", "Eclipse Public"], "ISC": ["ISC"], "CC0": ["CC0", "CC0 1.0"],
+    "CC-BY": ["CC BY", "CC BY 4.0"], "CC-BY-SA": ["CC BY-SA", "CC BY-SA 4.0"], "CC-BY-NC": ["CC BY-NC", "CC BY-NC 4.0"], "Unlicense": ["Unlicense"],
+}
+#: short notices of a name, and such as stand without the word licence
+NOTICES = ["{} License", "{} Licence", "License: {}", "Licence: {}", "Licensed under {}", "Released under {}", "{} licensed", "The {} License", "Under the {} License"]
+SHORT = {f: [n.format(x) for x in xs for n in NOTICES] for f, xs in NAMES.items()}
+SHORT["GPL"] += ["GNU General Public License", "General Public License"]
+SHORT["Proprietary"] = ["All rights reserved", "Proprietary and confidential"]
+BARE = {"CC0": ["CC0 1.0"], "CC-BY": ["CC BY"], "CC-BY-SA": ["CC BY-SA"], "CC-BY-NC": ["CC BY-NC"]}
 #: paragraphs that use telling words for something else
 OTHERS = ["She had to renew her driver license before the trip.", "The fishing licence costs ten pounds a year.", "Permission was granted by the council last week.", "The apache helicopters landed at dawn.",
           "Creative writing is taught on Mondays.", "The house of commons voted against the bill.", "The boost in sales was a surprise.", "A solar eclipse can be seen in May.", "The warranty of the washing machine has expired.",
           "Seats are reserved for members.", "She studied physics at MIT and moved to Boston.", "The gnu is a large antelope of the savanna.", "He is the lesser known brother.", "A patent was filed for the new engine.",
           "Human rights were discussed at length.", "He was dedicated to his garden.", "The fee was waived for students.", "This letter is confidential.", "Attribution of the painting is uncertain.", "The licensing office opens at nine.",
           "The bar lost its license to sell alcohol.", "Copyright law changed in the last century.", "The redistribution of income was debated.", "Please send one cc to the office.", "Permission denied while opening the file.",
-          "The sa and nc columns are empty.", "The commons were grazed by sheep.", "Mozilla held a conference.", "They signed a licence agreement with the band.", "The right to copyright expires.", "All seats reserved.", "The granted wish came true."]
+          "The sa and nc columns are empty.", "The commons were grazed by sheep.", "Mozilla held a conference.", "They signed a licence agreement with the band.", "The right to copyright expires.", "All seats reserved.", "The granted wish came true.",
+          "Driver license", "Fishing licence", "License agreement", "License plate", "Licensed under", "License number", "License: see below"]
 _FILLER = ("the of and to in that was on with it at as from this were we results then more people between house water field time year group small"
            " found made given light after many").split()
 
@@ -88,16 +103,19 @@ def with_sequences(lines: DataFrame) -> DataFrame:
     return lines.withColumn("_words", tokens("line")).withColumn("_features", sequences("_words")).drop("_words")
 
 
+def _lines(text: Column) -> Column:
+    return F.split(F.regexp_replace(text, r"(?<![.!?:;\n])\r?\n(?=[a-z(])", " "), r"\r?\n")
+
+
 def paragraphs(docs: DataFrame, text: str = "text", position: str = "paragraph") -> DataFrame:
     """One row per line of a text, after joining lines that are wrapped within a sentence. Only texts and lines with a telling word."""
-    joined = F.regexp_replace(F.col(text), r"(?<![.!?:;\n])\r?\n(?=[a-z(])", " ")
-    rows = docs.filter(F.col(text).rlike(telling_pattern())).select(*[c for c in docs.columns if c != text], F.posexplode(F.split(joined, r"\r?\n")).alias(position, "line"))
+    rows = docs.filter(F.col(text).rlike(telling_pattern())).select(*[c for c in docs.columns if c != text], F.posexplode(_lines(F.col(text))).alias(position, "line"))
     return rows.filter(F.col("line").rlike(telling_pattern()))
 
 
 def examples(spark: SparkSession) -> DataFrame:
     """(family, line, held): every template and every other paragraph ``COPIES`` times, with words dropped and other words around."""
-    rows = [(family, t) for family, ts in TEMPLATES.items() for t in ts] + [(UNKNOWN, t) for t in OTHERS] * 2
+    rows = [(family, t) for source in (TEMPLATES, SHORT, BARE) for family, ts in source.items() for t in ts] + [(UNKNOWN, t) for t in OTHERS] * 2
     base = spark.createDataFrame(rows, "family string, template string").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
     draw = lambda *c: F.pmod(F.xxhash64("template", "copy", *c), F.lit(1000))
     words = F.split("template", " ")
@@ -146,14 +164,34 @@ def _pairs(words: Column) -> Column:
 
 
 def confirm(lines: DataFrame, share: float = SHARE) -> DataFrame:
-    """Keep predictions of which a template of the family shares at least ``share`` of the template's or the line's word pairs (of at least three)."""
+    """Keep predictions of which a template of the family shares at least ``share`` of the template's or the line's word pairs (of at least three).
+
+    A line of fewer pairs is compared with the family's short notices by the shorter side, and must hold a whole name of it."""
     spark = lines.sparkSession
-    known = spark.createDataFrame([(f, i, t) for f, ts in TEMPLATES.items() for i, t in enumerate(ts)], "family string, number int, template string")
-    known = known.groupBy("family").agg(F.collect_list(_pairs(tokens("template"))).alias("_templates"))
-    near = lines.filter(F.col("family") != UNKNOWN).join(F.broadcast(known), "family").withColumn("_own", _pairs(tokens("line")))
-    shorter = lambda t: F.least(F.size(t), F.when(F.size("_own") >= 3, F.size("_own")).otherwise(F.size(t)))
-    overlap = F.transform("_templates", lambda t: F.size(F.array_intersect(t, F.col("_own"))) / F.greatest(F.lit(1), shorter(t)))
-    return near.withColumn("similarity", F.array_max(overlap)).filter(F.col("similarity") >= share).drop("_templates", "_own")
+    sources = [(TEMPLATES, False), (SHORT, True), (BARE, True)]
+    known = spark.createDataFrame([(f, short, t) for source, short in sources for f, ts in source.items() for t in ts], "family string, short boolean, template string")
+    known = known.groupBy("family").agg(F.collect_list(F.when(~F.col("short"), _pairs(tokens("template")))).alias("_templates"),
+                                        F.collect_list(F.when(F.col("short"), _pairs(tokens("template")))).alias("_notices"))
+    names = [(f, x) for f, xs in NAMES.items() for x in xs] + [("GPL", "General Public"), ("Proprietary", "rights reserved"), ("Proprietary", "proprietary and confidential")]
+    named = spark.createDataFrame(names, "family string, name string").groupBy("family").agg(
+        F.collect_list(F.concat(F.lit(" "), F.array_join(tokens("name"), " "), F.lit(" "))).alias("_names"))
+    near = lines.filter(F.col("family") != UNKNOWN).join(F.broadcast(known.join(named, "family")), "family").withColumn("_tokens", tokens("line"))
+    near = near.withColumn("_own", _pairs(F.col("_tokens")))
+    near = near.withColumn("_near", F.when(F.size("_own") >= 3, F.col("_templates")).when(
+        F.exists("_names", lambda n: F.contains(F.concat(F.lit(" "), F.array_join("_tokens", " "), F.lit(" ")), n)), F.concat("_templates", "_notices")))
+    overlap = F.transform("_near", lambda t: F.size(F.array_intersect(t, F.col("_own"))) / F.greatest(F.lit(1), F.least(F.size(t), F.size("_own"))))
+    return near.withColumn("similarity", F.array_max(overlap)).filter(F.col("similarity") >= share).drop("_templates", "_notices", "_names", "_tokens", "_own", "_near")
+
+
+def wrapped(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """Lines (with a telling word) that arise by joining each line without end punctuation to the next, whatever its first letter.
+
+    Lines of ``found`` (row_id, row_hash, paragraph) are statements already and stay out, so none counts twice."""
+    done = found.groupBy("row_id", "row_hash").agg(F.collect_set("paragraph").alias("_done"))
+    lines = F.transform(_lines(F.col("text")), lambda x, i: F.when(F.array_contains(F.coalesce("_done", F.array().cast("array<int>")), i), F.lit("")).otherwise(F.rtrim(x)))
+    joined = F.regexp_replace(F.array_join(lines, "\n"), r"(?<![.!?;\n])\n(?=[^\n])", JOINT)
+    rows = texts.join(done, ["row_id", "row_hash"], "left").select("row_id", "row_hash", F.explode(F.split(joined, "\n")).alias("line"))
+    return rows.filter(F.contains("line", F.lit(JOINT)) & F.col("line").rlike(telling_pattern()))
 
 
 def scan(docs: DataFrame, model: LicenceModel | None = None) -> DataFrame:
@@ -166,8 +204,9 @@ def scan(docs: DataFrame, model: LicenceModel | None = None) -> DataFrame:
     model = model or train(docs.sparkSession)
     keyed = docs.select("doc_id", *row_keys(), "text")
     texts = keyed.filter(F.col("text").rlike(telling_pattern())).select("row_id", "row_hash", "text").dropDuplicates(["row_id", "row_hash"])
-    lines = paragraphs(texts)
-    found = confirm(model.predict(lines))
+    found = stored(confirm(model.predict(paragraphs(texts))).select("row_id", "row_hash", "paragraph", "family", "probability"), "licence-lines")
+    more = confirm(model.predict(wrapped(texts, found)))
+    found = found.drop("paragraph").unionByName(more.select("row_id", "row_hash", "family", "probability"))
     per_family = found.groupBy("row_id", "row_hash", "family").agg(F.count(F.lit(1)).alias("n"), F.max("probability").alias("p"))
     per_row = per_family.groupBy("row_id", "row_hash").agg(F.sum("n").alias("n_statements"), F.array_sort(F.collect_list("family")).alias("families"),
                                                            F.min(F.struct((-F.col("n")).alias("n"), "family", "p")).alias("first"))

@@ -39,3 +39,13 @@ def test_whole_table_against_plain_search(spark, model):
 
 def test_empty_table(spark, model):
     assert li.scan(spark.createDataFrame([], "doc_id long, text string"), model).collect() == []
+
+
+def test_short_and_wrapped_notices(spark, model):
+    cases = [("MIT License", "MIT", 1), ("License: MIT", "MIT", 1), ("Licensed under MIT.", "MIT", 1), ("BSD licence", "BSD", 1), ("License: GPLv3", "GPL", 1), ("CC BY-NC", "CC-BY-NC", 1),
+             ("All rights reserved", "Proprietary", 1), ("Apache License", "Apache-2.0", 1), ("Released under the\nMIT License.", "MIT", 1), ("Licensed\r\nunder the Apache  \nLicense, Version 2.0.", "Apache-2.0", 1),
+             ("My Project\nThis work is licensed under the\nGNU\nGeneral Public License, version 3.\nEnd", "GPL", 1), ("License:\nMIT", "MIT", 1), ("MIT License\nMIT License", "MIT", 2),
+             ("Driver License", None, 0), ("License: unknown", None, 0), ("Licensed under", None, 0), ("The fishing\nLicence costs ten pounds.", None, 0), ("Apache helicopters", None, 0), ("License plate\nMIT", None, 0)]
+    docs = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: (r.licence, r.n_statements) for r in li.scan(docs, model).collect()}
+    assert {c[0]: got[i] for i, c in enumerate(cases)} == {c[0]: c[1:] for c in cases}
