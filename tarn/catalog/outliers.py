@@ -10,6 +10,7 @@ from tarn.catalog.signin import matrix, signins
 from tarn.operators import aggregates as agg
 from tarn.operators import ensemble as en
 from tarn.operators import evaluation as evl
+from tarn.operators import forest as fo
 from tarn.operators import joins as jn
 from tarn.operators import neighbours as nb
 from tarn.operators import sequences as seq
@@ -233,6 +234,20 @@ def _(spark, d):
     return en.ensemble(four(spark, d), DETECTORS).select("vec_id", "ensemble_score")
 
 
+def with_forest(spark, d):
+    """The four detector scores and the raw score of a forest fitted on the same vectors."""
+    e = embeddings(spark, d)
+    dims = [f"d{i}" for i in range(len(e.select("embedding").first()[0]))]
+    wide = cut_lineage(e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(dims)]))
+    scores = fo.iforest_score(wide, fo.iforest_fit(wide, dims, "vec_id"), dims, "vec_id")
+    return cut_lineage(four(spark, d).join(scores, "vec_id"))
+
+
+@query("od_ensemble_iforest")
+def _(spark, d):
+    return en.ensemble(with_forest(spark, d), DETECTORS, iforest="iforest").select("vec_id", "ensemble_score", "ensemble_with_iforest")
+
+
 @query("od_ensemble_stats", f"WITH {_FOUR}, e AS (SELECT ({_MEAN}) / 4 AS s FROM four) SELECT {r6('avg(s)', 'mean')}, {r6('stddev_pop(s)', 'std')},"
        f" {r6('min(s)', 'min')}, {r6('max(s)', 'max')} FROM e")
 def _(spark, d):

@@ -185,3 +185,18 @@ def test_forest_sampling_is_one_scheme(spark):
         nodes = iforest_fit(df, ["x", "y"], n_trees=20, n_sub=32).toPandas()
         roots = nodes[nodes["parent"] < 0]
         assert sorted(roots["tree_id"]) == list(range(20)) and (roots["size"] == 32).all()
+
+
+def test_ensemble_with_the_forest_of_the_same_vectors(spark, tmp_path):
+    from tarn import catalog
+
+    x = np.random.default_rng(4).normal(size=(60, 4))
+    x[7] += 12
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = catalog.queries()
+    got = found["od_ensemble_iforest"](spark, str(tmp_path)).toPandas().set_index("vec_id").sort_index()
+    plain = found["od_ensemble"](spark, str(tmp_path)).toPandas().set_index("vec_id").sort_index()
+    assert got["ensemble_score"].tolist() == plain["ensemble_score"].tolist()
+    forest = 2 * got["ensemble_with_iforest"] - got["ensemble_score"]
+    assert len(got) == 60 and forest.idxmax() == 7 and abs(forest.max() - 1) < 1e-5 and abs(forest.min()) < 1e-5
