@@ -28,14 +28,16 @@ def user_features_stream(df: DataFrame, cutoff: str, idle_days: float | None = 3
     State per user: last position and time, the times of the last hour, the devices
     seen before ``cutoff``. Within a micro-batch events are put in (time, id) order,
     so results equal the batch features when batches arrive in time order. Events of
-    one second count for each other, as in the batch features. A user's state is
-    dropped after ``idle_days`` of silence in event time (None: never).
+    one second count for each other, as in the batch features. The times of
+    the last hour are dropped after ``idle_days`` of silence in event time (None:
+    never); last position, its time and known devices stay for a user who returns.
     """
     until = pd.Timestamp(cutoff)
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            state.remove()
+            last_s, lat, lon, _, devices = state.get
+            state.update((last_s, lat, lon, [], devices))
             return
         rows = pd.concat(list(batches)).sort_values(["ts", "login_id"])
         last_s, lat, lon, recent, devices = state.get if state.exists else (None, None, None, [], [])

@@ -179,3 +179,17 @@ def test_stream_counts_events_of_one_second_for_each_other(spark, tmp_path):
     assert [got[i]["logins_last_hour"] for i in (1, 2, 3, 4)] == [2, 2, 3, 1]
     assert [got[i]["is_new_device"] for i in (1, 2, 3, 4)] == [0, 0, 0, 1]
     assert got[1]["minutes_since_last_login"] is None and got[2]["geo_velocity_kmh"] is None and got[3]["minutes_since_last_login"] == 30.0
+
+
+def test_a_user_who_returns_after_the_idle_time_is_known(spark, tmp_path):
+    from tarn.streaming.ingest import stream_to
+    from tarn.streaming.user_state import user_features_stream
+
+    t = dt.datetime(2024, 1, 1, 10)
+    schema = "login_id long, user_id long, ts timestamp, latitude double, longitude double, device string"
+    for login, user, day in [(1, 7, 0), (2, 8, 40), (3, 8, 41), (4, 7, 42)]:
+        spark.createDataFrame([(login, user, t + dt.timedelta(days=day), 1.0, 2.0, "a")], schema).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = user_features_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "2024-01-02 00:00:00")
+        stream_to(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    got = {r["login_id"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got[4]["is_new_device"] == 0 and got[4]["minutes_since_last_login"] == 42 * 1440.0 and got[4]["distance_from_prev_km"] == 0.0
