@@ -140,3 +140,50 @@ def _(spark, d):
 
     return scan(documents(spark, d)).select("doc_id", "n_statements", F.array_join("families", ",").alias("families"), "licence",
                                             F.round("probability", 3).alias("probability"))
+
+
+def _manifest_sql(levels: int = 8) -> str:
+    """Trees of up to ``8 ** levels`` leaves, level by level: ``a`` the trees, ``b`` the root tree over their roots."""
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    row = lambda text: f"sha256({' || '.join(map(field, ['doc_id', 'source', 'lang', 'n_chars', text]))})"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: [unicode(x), 0, 0, 0, 0, 0, 0, 0]))"
+    crc = f"xor(list_reduce({bits}, lambda c, e: xor(xor(c, e) >> 1, (xor(c, e) & 1) * 3988292384), 4294967295), 4294967295)"
+    parts = [f"""WITH d AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, {row('text')} AS leaf,
+  CASE WHEN {crc} % 3 = 0 THEN {row(low)} ELSE {row('text')} END AS seen FROM documents),
+a0 AS MATERIALIZED (SELECT tree, doc_id, leaf, seen, leaf AS h, count(*) OVER (PARTITION BY tree) AS n,
+  row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d)"""]
+
+    def climb(x: str) -> None:
+        for k in range(levels):
+            parts.append(f"{x}r{k} AS MATERIALIZED (SELECT tree, pos // 8 AS run, any_value(n) AS n, list(h ORDER BY pos) AS hs FROM {x}{k} GROUP BY ALL)")
+            parts.append(f"{x}{k + 1} AS MATERIALIZED (SELECT tree, run AS pos, (n + 7) // 8 AS n, CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h FROM {x}r{k})")
+
+    climb("a")
+    parts.append(f"b0 AS MATERIALIZED (SELECT '' AS tree, tree AS sub, h, h AS subroot, count(*) OVER () AS n, row_number() OVER (ORDER BY tree) - 1 AS pos FROM a{levels})")
+    climb("b")
+    parts.append("p0 AS (SELECT doc_id, leaf, a0.tree, a0.pos, b0.pos AS bpos, subroot, seen AS f, '' AS s FROM a0 JOIN b0 ON b0.sub = a0.tree)")
+    at = 0
+    for x, pos in (("a", "pos"), ("b", "bpos")):
+        for k in range(levels):
+            tree = "p.tree = r.tree" if x == "a" else "true"
+            here = f"(p.{pos} // {8 ** k})"
+            left, right = f"array_to_string(hs[1:{here} % 8], '')", f"array_to_string(hs[{here} % 8 + 2:], '')"
+            parts.append(f"""p{at + 1} AS (SELECT doc_id, leaf, p.tree, p.pos, bpos, subroot, CASE WHEN n > 1 THEN sha256({left} || f || {right}) ELSE f END AS f,
+  CASE WHEN n > 1 THEN s || {left} || {right} ELSE s END AS s FROM p{at} p JOIN {x}r{k} r ON {tree} AND r.run = p.{pos} // {8 ** (k + 1)})""")
+            at += 1
+    return ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, h AS root, sha256(s) AS proof_sha256, f AS folded_root, f = h AS verified FROM p{at}, b{levels}"""
+
+
+@query("op12_merkle_manifest", _manifest_sql())
+def _(spark, d):
+    """Manifest and proofs of all documents; a third of the leaves is recomputed from a copy in lower case, which the proofs reveal."""
+    from tarn.llm.merkle import FIELDS, build, folded, row_digest, siblings_digest
+
+    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    text = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, low).otherwise(F.col("text"))
+    seen = row_digest([text if f == "text" else F.col(f) for f in FIELDS])
+    return (build(documents(spark, d), carry={"seen": seen}).proofs()
+            .select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", siblings_digest(F.col("path")).alias("proof_sha256"), folded(F.col("seen"), F.col("path")).alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
