@@ -187,3 +187,28 @@ def _(spark, d):
     return (build(documents(spark, d), carry={"seen": seen}).proofs()
             .select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", siblings_digest(F.col("path")).alias("proof_sha256"), folded(F.col("seen"), F.col("path")).alias("folded_root"))
             .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
+_PIECES = r"string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')"
+PHRASES = rf"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest({_PIECES}), '[^\x20\x09]+') AS w FROM documents),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM p, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+x AS (SELECT lang, k, phrase, a, w, unnest(range(1, k)) AS cut FROM c),
+s AS (SELECT x.lang, x.phrase, a, cut, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score FROM x
+  JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(w[1:cut], ' ') JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+i AS (SELECT lang, a, k, w, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c)),
+o AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS a FROM i GROUP BY ALL),
+t AS (SELECT b.* FROM b LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase WHERE o.a IS NULL OR 100 * CAST(o.a AS HUGEINT) < 80 * CAST(b.a AS HUGEINT))
+SELECT t.lang, row_number() OVER (PARTITION BY t.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM t JOIN n ON n.lang = t.lang QUALIFY rank <= 2000"""
+
+
+@query("op13_phrases", PHRASES)
+def _(spark, d):
+    from tarn.llm.phrases import counted, ranked
+
+    return ranked(counted(documents(spark, d)))
