@@ -212,3 +212,10 @@ def _(spark, d):
     from tarn.llm.phrases import counted, ranked
 
     return ranked(counted(documents(spark, d)))
+
+
+@query("op11_language_id")
+def _(spark, d):
+    from tarn.llm.language import predicted
+
+    return predicted(documents(spark, d))
