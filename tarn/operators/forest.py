@@ -152,23 +152,22 @@ class _PerUser:
         return rows.withColumn("_chunk", lane)
 
     def samples(self) -> DataFrame:
+        """(_user, _rn, columns): the rows each user's forest is grown from, at most n_trees x n_sub."""
         limit = self.n_trees * self.n_sub
         draw = unit_hash(F.col(self.id_col), F.lit(self.seed))
         thin = self.rows.filter((F.col("_n") >= MIN_USER_ROWS) & ((F.col("_n") <= limit) | (draw < 1.2 * limit / F.col("_n"))))
         # the first rows by draw: the filter above only spares the window rows that can't be among them
         w = Window.partitionBy(self.user).orderBy(draw, self.id_col)
         thin = thin.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= limit)
-        spread = thin.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
-        return spread.select(F.col(self.user).alias("_user"), F.col("_chunk").alias("_part"), "_rn",
-                             *[F.col(c).alias(c) for c in self.columns])
+        return thin.select(F.col(self.user).alias("_user"), "_rn", *[F.col(c).alias(c) for c in self.columns])
 
-    def run(self, rows: DataFrame, work, schema: str) -> DataFrame:
-        """``work(forest, x) -> dict of columns`` for the rows of every chunk."""
+    def run(self, rows: DataFrame, work, schema: str, samples: DataFrame | None = None) -> DataFrame:
+        """``work(forest, x) -> dict of columns`` for the rows of every chunk, by forests grown from ``samples`` (default: of these rows)."""
         id_col, user, columns, n_trees, n_sub, seed = (
             self.id_col, self.user, self.columns, self.n_trees, self.n_sub, self.seed)
 
         def task(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            if not len(left):
+            if not len(left) or not len(right):
                 return pd.DataFrame({n: pd.Series(dtype=EMPTY[t]) for n, t in (c.split() for c in schema.split(", "))})
             sample = right.sort_values("_rn")[columns].to_numpy(dtype=float)
             rng = np.random.default_rng([seed, zlib.crc32(str(left[user].iloc[0]).encode())])
@@ -178,7 +177,7 @@ class _PerUser:
 
         parts = spread(self.chunked(rows).select(id_col, user, "_chunk", *columns), user, "_chunk")
         busy = parts.select(F.col(user).alias("_user"), F.col("_chunk").alias("_part")).distinct()
-        samples = spread(self.samples().join(busy, ["_user", "_part"], "left_semi"), "_user", "_part")
+        samples = spread((self.samples() if samples is None else samples).join(busy, "_user"), "_user", "_part")
         return parts.groupBy(user, "_chunk").cogroup(samples.groupBy("_user", "_part")).applyInPandas(task, schema)
 
 
@@ -203,6 +202,37 @@ def per_user_scores(df: DataFrame, columns: Sequence[str], id_col: str = "login_
                       "user_model_n_samples")
 
 
+def per_user_fit(df: DataFrame, columns: Sequence[str], id_col: str = "login_id", user: str = "user_id", n_trees: int = 100,
+                 n_sub: int = 256, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """What is needed to score later rows: the training sample of each user, and (user, edge, n_samples) with the contamination quantile."""
+    jobs = _PerUser(df, columns, id_col, user, n_trees, n_sub, seed)
+    samples = cut_lineage(jobs.samples())
+    id_type, user_type = dict(df.dtypes)[id_col], dict(df.dtypes)[user]
+    work = lambda f, x: {"raw": anomaly_score(f, x)}
+    raw = jobs.run(jobs.rows.filter(F.col("_n") >= MIN_USER_ROWS), work, f"{id_col} {id_type}, raw double", samples)
+    scored = cut_lineage(jobs.rows.select(id_col, user).join(raw, id_col))
+    share = F.least(F.lit(0.1), F.greatest(F.lit(0.01), F.lit(5.0) / F.col("total")))
+    edges = exact_quantiles(scored, "raw", share, [user]).select(user, F.col("quantile").alias("edge"))
+    counts = jobs.rows.select(F.col(user).cast(user_type), F.col("_n").alias("n_samples")).distinct()
+    return samples, edges.join(counts, user)
+
+
+def per_user_apply(df: DataFrame, samples: DataFrame, edges: DataFrame, columns: Sequence[str], id_col: str = "login_id",
+                   user: str = "user_id", n_trees: int = 100, n_sub: int = 256, seed: int = 42) -> DataFrame:
+    """(id, user, per_user_score, per_user_anomaly, user_model_n_samples) of new rows by the stored samples and edges.
+
+    The forest of a user comes from the stored sample and the seed alone, so a row scores the same in any batch. Users without a
+    stored model get zeros.
+    """
+    jobs = _PerUser(df, columns, id_col, user, n_trees, n_sub, seed)
+    id_type = dict(df.dtypes)[id_col]
+    raw = jobs.run(jobs.rows, lambda f, x: {"raw": anomaly_score(f, x)}, f"{id_col} {id_type}, raw double", samples)
+    out = lookup(jobs.rows.select(id_col, user), edges, [user]).join(raw, id_col, "left")
+    score = F.coalesce(F.col("raw") - F.col("edge"), F.lit(0.0))
+    return out.select(id_col, user, score.alias("per_user_score"), F.when(score < 0, 1).otherwise(0).alias("per_user_anomaly"),
+                      F.coalesce("n_samples", F.lit(0)).alias("user_model_n_samples"))
+
+
 def per_user_explain(df: DataFrame, scores: DataFrame, columns: Sequence[str], k: int = 3, id_col: str = "login_id",
                      user: str = "user_id", n_trees: int = 100, n_sub: int = 256, seed: int = 42,
                      flagged_only: bool = True) -> DataFrame:

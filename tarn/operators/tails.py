@@ -43,23 +43,43 @@ def skew_signs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.unpivot([], list(columns), "feature", "sign")
 
 
+def _contributions(ranks: DataFrame) -> DataFrame:
+    """Adds what a value contributes to both detectors; a value beyond the fitted rows counts as their outermost one."""
+    left = -F.log(F.greatest(F.col("upto"), F.lit(1)) / F.col("total"))
+    right = -F.log(F.greatest(F.col("total") - F.col("below"), F.lit(1)) / F.col("total"))
+    skewed = F.when(F.col("sign") < 0, F.col("_l")).when(F.col("sign") > 0, F.col("_r")).otherwise(F.col("_l") + F.col("_r"))
+    return ranks.withColumns({"_l": left, "_r": right}).select(
+        "feature", "value", "n", "total", "sign", F.greatest("_l", "_r", skewed).alias("ecod"),
+        F.greatest(skewed, (F.col("_l") + F.col("_r")) / 2).alias("copod"))
+
+
 def fit_tails(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature, value, n, total, ecod, copod): the contribution of every distinct value."""
+    """(feature, value, n, total, sign, ecod, copod): the contribution of every distinct value."""
     long = unpivot(df, columns)
     ranks = ranked(value_counts(long, "value", ["feature"]), ["feature"])
-    signed = ranks.join(F.broadcast(skew_signs(df, columns)), "feature")
-    left = -F.log(F.col("upto") / F.col("total"))
-    right = -F.log((F.col("total") - F.col("below")) / F.col("total"))
-    out = signed.withColumns({"_l": left, "_r": right})
-    skewed = F.when(F.col("sign") < 0, F.col("_l")).when(F.col("sign") > 0, F.col("_r")).otherwise(F.col("_l") + F.col("_r"))
-    return out.select("feature", "value", "n", "total", F.greatest("_l", "_r", skewed).alias("ecod"),
-                      F.greatest(skewed, (F.col("_l") + F.col("_r")) / 2).alias("copod"))
+    return _contributions(ranks.join(F.broadcast(skew_signs(df, columns)), "feature"))
+
+
+def with_new_values(model: DataFrame, long: DataFrame) -> DataFrame:
+    """The fitted table with rows for those values of ``long`` (feature, value) that it does not hold.
+
+    New values take their place among the fitted ones and carry no weight, so what they get does not depend on what else is scored with them.
+    """
+    new = value_counts(long, "value", ["feature"]).join(model, ["feature", "value"], "left_anti").withColumnRenamed("n", "_new")
+    every = model.select("feature", "value", "n").unionByName(new.select("feature", "value", F.lit(0).cast("long").alias("n")))
+    placed = ranked(every, ["feature"]).filter("n = 0")
+    signs = model.groupBy("feature").agg(F.max("sign").alias("sign"))
+    rows = placed.drop("n").join(new, ["feature", "value"]).withColumnRenamed("_new", "n").join(F.broadcast(signs), "feature")
+    return model.unionByName(_contributions(rows))
 
 
 def tail_scores(df: DataFrame, columns: Sequence[str], id_col: str = "login_id", model: DataFrame | None = None) -> DataFrame:
-    """(id, ecod, copod): contributions summed over the features; higher is more unusual."""
-    model = cut_lineage(fit_tails(df, columns)) if model is None else model
+    """(id, ecod, copod): contributions summed over the features; higher is more unusual.
+
+    Without a stored ``model`` the rows are scored against themselves.
+    """
     long = unpivot(df, columns, [id_col])
+    model = cut_lineage(fit_tails(df, columns) if model is None else with_new_values(model, long))
     joined = join_by_value(long, model, ["feature", "value"])
     return joined.groupBy(id_col).agg(F.sum("ecod").alias("ecod"), F.sum("copod").alias("copod"))
 
