@@ -113,7 +113,7 @@ def _(spark, d):
     rows = signins(spark, d)
     tb.write_table(rows, source)
     stream = user_state.user_features_stream(fl.stream_table(spark, source, rows.schema), CUTOFF)
-    ingest.stream_to(stream, out, scratch_path(spark, "ckpt"))
+    ingest.stream_to(stream, out, scratch_path(spark, "ckpt"), **user_state.SETTINGS)
     return spark.read.parquet(out).select("login_id", "user_id", "minutes_since_last_login", "distance_from_prev_km",
                                           "geo_velocity_kmh", "logins_last_hour", "is_new_device")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -10,13 +13,26 @@ from tarn.plans.medallion import ORDER_RULES, typed_orders
 from tarn.sources.files import json_stream, stream_table, with_lineage
 
 
-def stream_to(df: DataFrame, path: str, checkpoint: str, once: bool = True):
-    """Exactly-once append to a parquet table; with ``once`` it processes what is there and stops."""
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for a stream that starts inside: a started stream keeps those it was started with."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def stream_to(df: DataFrame, path: str, checkpoint: str, once: bool = True, **conf: str):
+    """Exactly-once append to a parquet table; with ``once`` it processes what is there and stops. ``conf`` holds for this stream only."""
     writer = df.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
-    if not once:
-        return writer.start()
-    started = writer.trigger(availableNow=True).start()
-    started.awaitTermination()
+    with settings(df.sparkSession, conf):
+        started = (writer.trigger(availableNow=True) if once else writer).start()
+    if once:
+        started.awaitTermination()
     return started
 
 

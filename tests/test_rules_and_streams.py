@@ -167,14 +167,14 @@ def test_stream_counts_events_of_one_second_for_each_other(spark, tmp_path):
     import datetime as dt
 
     from tarn.streaming.ingest import stream_to
-    from tarn.streaming.user_state import user_features_stream
+    from tarn.streaming.user_state import SETTINGS, user_features_stream
 
     t = dt.datetime(2024, 1, 1, 10)
     rows = [(1, 7, t, 1.0, 2.0, "a"), (2, 7, t, 1.0, 2.0, "b"), (3, 7, t + dt.timedelta(minutes=30), 2.0, 2.0, "a"), (4, 7, t + dt.timedelta(hours=2), 2.0, 2.0, "c")]
     schema = "login_id long, user_id long, ts timestamp, latitude double, longitude double, device string"
     spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
     stream = user_features_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "2024-01-01 11:00:00")
-    stream_to(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    stream_to(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"), **SETTINGS)
     got = {r["login_id"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert [got[i]["logins_last_hour"] for i in (1, 2, 3, 4)] == [2, 2, 3, 1]
     assert [got[i]["is_new_device"] for i in (1, 2, 3, 4)] == [0, 0, 0, 1]
@@ -183,13 +183,72 @@ def test_stream_counts_events_of_one_second_for_each_other(spark, tmp_path):
 
 def test_a_user_who_returns_after_the_idle_time_is_known(spark, tmp_path):
     from tarn.streaming.ingest import stream_to
-    from tarn.streaming.user_state import user_features_stream
+    from tarn.streaming.user_state import SETTINGS, user_features_stream
 
     t = dt.datetime(2024, 1, 1, 10)
     schema = "login_id long, user_id long, ts timestamp, latitude double, longitude double, device string"
     for login, user, day in [(1, 7, 0), (2, 8, 40), (3, 8, 41), (4, 7, 42)]:
         spark.createDataFrame([(login, user, t + dt.timedelta(days=day), 1.0, 2.0, "a")], schema).write.mode("append").parquet(str(tmp_path / "in"))
         stream = user_features_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "2024-01-02 00:00:00")
-        stream_to(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+        stream_to(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"), **SETTINGS)
     got = {r["login_id"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got[4]["is_new_device"] == 0 and got[4]["minutes_since_last_login"] == 42 * 1440.0 and got[4]["distance_from_prev_km"] == 0.0
+
+
+SEEN = "login_id long, user_id long, ts timestamp, latitude double, longitude double, device string"
+
+
+def _user_batches(spark, folder, batches, **options):
+    """Run the stream once per batch of rows."""
+    from tarn.streaming.ingest import stream_to
+    from tarn.streaming.user_state import SETTINGS, user_features_stream
+
+    for rows in batches:
+        spark.createDataFrame(rows, SEEN).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = user_features_stream(spark.readStream.schema(SEEN).parquet(f"{folder}/in"), "2024-01-02 00:00:00", **options)
+        stream_to(stream, f"{folder}/out", f"{folder}/ckpt", **SETTINGS)
+    return {r["login_id"]: r for r in spark.read.parquet(f"{folder}/out").collect()}
+
+
+def test_late_events_are_kept_and_compared_with_the_event_before(spark, tmp_path):
+    t = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    got = _user_batches(spark, tmp_path, [
+        [(1, 7, t(10), 0.0, 0.0, "a"), (5, 8, t(9), 0.0, 0.0, "x")], [(2, 7, t(14), 0.0, 3.0, "b")],
+        [(3, 7, t(11, 30), 0.0, 1.0, "b"), (4, 7, t(11, 0), 0.0, 1.0, "a")], [(6, 7, t(14, 30), None, 3.0, None), (7, 7, t(15), 0.0, 3.0, "c")]])
+    assert sorted(got) == [1, 2, 3, 4, 5, 6, 7]
+    assert [got[i]["is_late"] for i in range(1, 8)] == [0, 0, 1, 1, 0, 0, 0]
+    assert [got[i]["minutes_since_last_login"] for i in range(1, 8)] == [None, 240.0, 30.0, 60.0, None, 30.0, 30.0]
+    assert [got[i]["logins_last_hour"] for i in range(1, 8)] == [1, 1, 2, 2, 1, 2, 3]
+    assert got[4]["geo_velocity_kmh"] == pytest.approx(111.19, abs=0.05) and got[3]["distance_from_prev_km"] == 0.0
+    assert got[6]["distance_from_prev_km"] is None and got[7]["distance_from_prev_km"] is None
+
+
+def test_expired_hours_leave_the_newest_event_and_devices(spark, tmp_path):
+    import time
+
+    t = dt.datetime(2024, 1, 1, 10)
+    first = [(1, 7, t, 0.0, 0.0, "a"), (2, 7, t + dt.timedelta(minutes=10), 0.0, 1.0, "b")]
+    got = _user_batches(spark, tmp_path / "x", [first], idle_days=0.2 / 86_400)
+    time.sleep(0.5)
+    got = _user_batches(spark, tmp_path / "x", [[(3, 7, t + dt.timedelta(minutes=40), 0.0, 2.0, "a"), (4, 7, t + dt.timedelta(days=2), 0.0, 2.0, "z")]], idle_days=0.2 / 86_400)
+    assert got[3]["minutes_since_last_login"] == 30.0 and got[3]["logins_last_hour"] == 1  # the hours are gone, the newest event is not
+    assert [got[i]["is_new_device"] for i in (1, 2, 3, 4)] == [0, 0, 0, 1]
+    kept = _user_batches(spark, tmp_path / "y", [first, [(3, 7, t + dt.timedelta(minutes=40), 0.0, 2.0, "a")]], idle_days=None)
+    assert kept[3]["logins_last_hour"] == 3
+
+
+def test_many_batches_equal_one(spark, tmp_path):
+    import random
+
+    r = random.Random(3)
+    t, rows = dt.datetime(2024, 1, 1), []
+    for i in range(200):
+        t += dt.timedelta(minutes=r.choice([0, 1, 5, 30, 300]))
+        rows.append((i, r.randrange(4), t, r.uniform(-5, 5), r.uniform(-5, 5), r.choice("abcdefgh")))
+    cut = [0, 60, 61, 130, 200]
+    cut = [next(j for j in range(c, 201) if j in (0, 200) or rows[j][2] > rows[j - 1][2]) for c in cut]
+    parts = _user_batches(spark, tmp_path / "p", [rows[a:b] for a, b in zip(cut, cut[1:])], recent_hours=2)
+    whole = _user_batches(spark, tmp_path / "w", [rows])
+    for i in range(200):
+        for c in ("minutes_since_last_login", "distance_from_prev_km", "geo_velocity_kmh", "logins_last_hour"):
+            assert parts[i][c] == (pytest.approx(whole[i][c]) if whole[i][c] is not None else None), (i, c)
