@@ -10,7 +10,7 @@ from tarn.functions.texts import contains_any, parse_bool
 from tarn.functions.times import parse_ts
 from tarn.functions.values import clip, fill, filter_in, require
 from tarn.operators import sequences as seq
-from tarn.operators.quality import expect, expectation_metrics
+from tarn.operators.quality import expect, expectation_metrics, load_checked, with_warnings
 from tarn.plans import events as ev
 from tarn.plans import medallion as med
 from tarn.session import scratch_path
@@ -192,9 +192,21 @@ def _(spark, d):
     return orders(spark, d).select("order_id", "customer_id", "quantity_units")
 
 
-@query("dq_warn", f"WITH {CUSTOMERS} SELECT {CUSTOMER_COLUMNS} FROM silver_customers")
+@query("dq_warn", f"WITH {CUSTOMERS} SELECT {CUSTOMER_COLUMNS}, CASE WHEN coalesce(payment_terms_days BETWEEN 0 AND 365, false) THEN ''"
+       " ELSE 'valid_payment_terms' END AS warnings FROM silver_customers")
 def _(spark, d):
-    return customers(spark, d)
+    """All customers that are kept, with the rules that they violate."""
+    return with_warnings(customers(spark, d), med.CUSTOMER_RULES)
+
+
+@query("dq_warn_counts", f"WITH {CUSTOMERS} SELECT 'valid_payment_terms' AS rule, 'warn' AS action,"
+       " count(*) FILTER (NOT coalesce(payment_terms_days BETWEEN 0 AND 365, false)) AS violations FROM active_customers"
+       " UNION ALL SELECT 'valid_customer_id', 'drop', count(*) FILTER (customer_id IS NULL) FROM active_customers")
+def _(spark, d):
+    """Violations that the load of the customers counted on its way."""
+    out, log = scratch_path(spark, "customers"), scratch_path(spark, "violations")
+    load_checked(med.typed_customers(ad.customers_raw(spark, d)), med.CUSTOMER_RULES, out, log)
+    return spark.read.parquet(log)
 
 
 @query("dq_fail", f"WITH {ORDERS} SELECT order_id, customer_id FROM silver_orders")

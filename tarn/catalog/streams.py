@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tarn.catalog.adapters_sql import CUTOFF, EVENTS, FEATURES, MATRIX, MATRIX_COLUMNS, ORDERS, SIGNINS
 from tarn.catalog.orders import EVENT_ROWS, ORDER_COLUMNS, event_rows
-from tarn.catalog.registry import query, r6
+from tarn.catalog.registry import SQL, query, r6
 from tarn.catalog.signin import signins
 from tarn.operators.ensemble import composite_risk, fit_composite
 from tarn.operators.tails import fit_tails, tail_scores
@@ -89,6 +89,19 @@ def _(spark, d):
     return spark.read.parquet(out)
 
 
+@query("st_silver_violations", SQL["dq_metrics"])
+def _(spark, d):
+    """Violation counts of two micro-batches, kept by the listener and summed per rule."""
+    source, log = scratch_path(spark, "raw_orders"), scratch_path(spark, "violations")
+    out, ckpt = scratch_path(spark, "silver_orders"), scratch_path(spark, "ckpt")
+    raw = ad.orders_raw(spark, d)
+    half = F.pmod(F.xxhash64(*raw.columns), F.lit(2)) == 0
+    for part in (raw.filter(half), raw.filter(~half)):
+        tb.write_table(part, source, "append")
+        ingest.silver_orders_stream(spark, source, raw.schema, out, ckpt, log)
+    return spark.read.parquet(log).groupBy("rule", "action").agg(F.sum("violations").alias("violations"))
+
+
 @query("st_bucket_metrics", f"WITH {SIGNINS}, late AS (SELECT max(ts) - INTERVAL 10 MINUTES AS w FROM signins)"
        " SELECT make_timestamp(epoch_s // 300 * 300 * 1000000) AS bucket_ts, count(*) AS total_logins, count(DISTINCT user_id) AS distinct_users,"
        f" count(DISTINCT ip_address) AS distinct_ips, {r6('avg(failed_attempts_before)', 'avg_failed_attempts_before')},"

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -54,6 +54,25 @@ def observed(df: DataFrame, rules: Sequence[Rule], observation: Observation | st
     return df.observe(observation, *violation_counts(rules))
 
 
+def with_warnings(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Adds ``warnings``: the names of the warn rules that a kept row violates."""
+    names = [F.when(~r.holds(), F.lit(r.name)) for r in rules if r.action == "warn"]
+    return df.withColumn("warnings", F.array_compact(F.array(*names)) if names else F.array().cast("array<string>"))
+
+
+def load_checked(df: DataFrame, rules: Sequence[Rule], path: str, log: str) -> None:
+    """Write the rows that pass to ``path`` and the violation counts of all rows to ``log``, both from one pass over ``df``."""
+    seen = Observation()
+    expect(observed(df, rules, seen), rules).write.mode("overwrite").parquet(path)
+    write_counts(df.sparkSession, rules, seen.get, log)
+
+
+def write_counts(spark: SparkSession, rules: Sequence[Rule], counts: Mapping[str, int], log: str) -> None:
+    """One row per rule (rule, action, violations), replacing what is at ``log``."""
+    rows = [(r.name, r.action, int(counts.get(r.name) or 0)) for r in rules]
+    spark.createDataFrame(rows, "rule string, action string, violations long").coalesce(1).write.mode("overwrite").parquet(log)
+
+
 def email_quality(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("total_events"), F.count_if("_dq_missing_subject").alias("missing_subject"),

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+import threading
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from tarn.operators.quality import expect, observed
+from tarn.operators.quality import Rule, expect, observed, write_counts
 from tarn.plans.medallion import ORDER_RULES, typed_orders
 from tarn.sources.files import json_stream, stream_table, with_lineage
 
@@ -42,8 +44,59 @@ def ingest_stream(spark: SparkSession, source: str, schema: str | T.StructType,
     return stream_to(with_lineage(json_stream(spark, source, schema, max_files)), path, checkpoint)
 
 
-def silver_orders_stream(spark: SparkSession, source: str, schema: str | T.StructType, path: str, checkpoint: str):
-    """Raw order rows of an append-only table to typed, checked orders; violations are observed per micro-batch."""
+class ViolationLog(StreamingQueryListener):
+    """Keeps the observed violation counts of each micro-batch as a table (rule, action, violations, batch_id).
+
+    Every batch owns the folder of its id, so a batch that runs again after a failure replaces its counts. Batches without rows leave none.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, rules: Sequence[Rule], path: str):
+        self.spark, self.name, self.rules, self.path = spark, name, list(rules), path
+        self.failure: Exception | None = None
+        self.ended = threading.Event()
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        counts = event.progress.observedMetrics.get(self.name)
+        if counts is None or not event.progress.numInputRows:
+            return
+        try:
+            write_counts(self.spark, self.rules, counts.asDict(), f"{self.path}/batch_id={event.progress.batchId}")
+        except Exception as err:  # listeners run beside the stream: hand the failure to the one who waits for it
+            self.failure = err
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.ended.set()
+
+
+@contextmanager
+def violation_log(spark: SparkSession, name: str, rules: Sequence[Rule], path: str, wait: float = 60.0) -> Iterator[ViolationLog]:
+    """Listen to the streams that run inside; on leaving, wait until the counts of the ended stream are written."""
+    log = ViolationLog(spark, name, rules, path)
+    spark.streams.addListener(log)
+    try:
+        yield log
+        if not log.ended.wait(wait):
+            raise TimeoutError(f"no end of the stream was reported within {wait} seconds")
+    finally:
+        spark.streams.removeListener(log)
+    if log.failure is not None:
+        raise log.failure
+
+
+def silver_orders_stream(spark: SparkSession, source: str, schema: str | T.StructType, path: str, checkpoint: str, violations: str | None = None):
+    """Raw order rows of an append-only table to typed, checked orders.
+
+    With ``violations`` the counts of each micro-batch are kept there as a table, dropped rows included.
+    """
     raw = stream_table(spark, source, schema)
-    counted = observed(typed_orders(raw), ORDER_RULES, "order_rules")
-    return stream_to(expect(counted, ORDER_RULES), path, checkpoint)
+    counted = expect(observed(typed_orders(raw), ORDER_RULES, "order_rules"), ORDER_RULES)
+    if violations is None:
+        return stream_to(counted, path, checkpoint)
+    with violation_log(spark, "order_rules", ORDER_RULES, violations):
+        return stream_to(counted, path, checkpoint)

@@ -67,3 +67,34 @@ def test_gold(customers, orders):
 def test_fail_stops_the_run(orders):
     with pytest.raises(Exception, match="expectation no_null violated"):
         expect(orders, [Rule("no_null", "order_id IS NOT NULL", "fail")]).collect()
+
+
+def test_violations_of_each_batch_are_kept(spark, tmp_path):
+    from tarn.operators.quality import Rule, load_checked, with_warnings
+    from tarn.plans import medallion as med
+    from tarn.sources import tables as tb
+    from tarn.streaming import ingest
+
+    schema = ", ".join(f"{c} string" for c in ("order_id", "order_date", "customer_id", "product_id", "plant_id", "quantity_units", "unit_price",
+                                               "freight_cost_per_unit", "requested_delivery_date", "status"))
+
+    def orders(*rows):
+        return spark.createDataFrame([(i, "2024-01-01", c, "p", "q", n, price, "1", "2024-01-02", "x") for i, c, n, price in rows], schema)
+
+    source, out, ck, log = (str(tmp_path / x) for x in ("in", "out", "ck", "log"))
+    batches = [orders(("1", "c", "5", "2000"), (None, "c", "5", "10")), orders(("2", None, "0", "10"), ("3", "c", "1", "10")), None]
+    for b in batches:
+        if b is not None:
+            tb.write_table(b, source, "append")
+        ingest.silver_orders_stream(spark, source, b.schema if b is not None else batches[0].schema, out, ck, log)
+    got = {(r["batch_id"], r["rule"]): r["violations"] for r in spark.read.parquet(log).collect()}
+    names = [r.name for r in med.ORDER_RULES]
+    assert got == {(0, n): v for n, v in zip(names, (1, 0, 0, 1))} | {(1, n): v for n, v in zip(names, (0, 1, 1, 0))}
+    assert sorted(r["order_id"] for r in spark.read.parquet(out).collect()) == ["1", "3"]
+
+    rules = [Rule("small", "v < 3", "warn"), Rule("known", "v IS NOT NULL", "drop"), Rule("even", "v % 2 = 0", "warn")]
+    df = spark.createDataFrame([(1,), (4,), (5,), (None,)], "v int")
+    load_checked(df, rules, str(tmp_path / "t"), str(tmp_path / "counts"))
+    assert {r["rule"]: r["violations"] for r in spark.read.parquet(str(tmp_path / "counts")).collect()} == {"small": 3, "known": 1, "even": 3}
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+    assert {r["v"]: r["warnings"] for r in with_warnings(df, rules).collect()} == {1: ["even"], 4: ["small"], 5: ["small", "even"], None: ["small", "even"]}
