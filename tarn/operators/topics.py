@@ -18,10 +18,7 @@ from tarn.operators.sequences import top_per_group
 
 def _row_factors(pdf: pd.DataFrame, h: np.ndarray, sweeps: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Non-negative least squares of every sparse row on the factors ``h`` (topics x terms)."""
-    sizes = pdf["idx"].map(len).to_numpy()
-    idx = np.concatenate([np.asarray(v, dtype=int) for v in pdf["idx"]]) if len(pdf) else np.zeros(0, dtype=int)
-    val = np.concatenate([np.asarray(v, dtype=float) for v in pdf["val"]]) if len(pdf) else np.zeros(0)
-    doc = np.repeat(np.arange(len(pdf)), sizes)
+    idx, val, doc = _flat(pdf)
     xh = np.zeros((len(pdf), len(h)))
     for j in range(len(h)):
         xh[:, j] = np.bincount(doc, weights=val * h[j, idx], minlength=len(pdf))
@@ -49,20 +46,119 @@ def _term_factors(a: np.ndarray, b: np.ndarray, h: np.ndarray, sweeps: int = 5)
     return h
 
 
+def _flat(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Term, value and row number of every entry of a batch of sparse rows."""
+    if not len(pdf):
+        return np.zeros(0, int), np.zeros(0), np.zeros(0, int)
+    sizes = pdf["idx"].map(len).to_numpy()
+    return (np.concatenate([np.asarray(v, dtype=int) for v in pdf["idx"]]), np.concatenate([np.asarray(v, dtype=float) for v in pdf["val"]]),
+            np.repeat(np.arange(len(pdf)), sizes))
+
+
+def _projected(pdf: pd.DataFrame, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The batch times ``v`` (terms x columns), and its entries."""
+    idx, val, doc = _flat(pdf)
+    xv = np.stack([np.bincount(doc, weights=val * v[idx, j], minlength=len(pdf)) for j in range(v.shape[1])], axis=1)
+    return xv, idx, val, doc
+
+
+def _gram_times(rows: DataFrame, v: np.ndarray) -> np.ndarray:
+    """XtX times ``v`` in one pass over the rows of X; the sums are added in the JVM by (column, term)."""
+    shared = rows.sparkSession.sparkContext.broadcast(v)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = np.zeros_like(shared.value)
+        for pdf in batches:
+            xv, idx, val, doc = _projected(pdf, shared.value)
+            for j in range(out.shape[1]):
+                out[:, j] += np.bincount(idx, weights=val * xv[doc, j], minlength=len(out))
+        term, column = np.nonzero(out)
+        yield pd.DataFrame({"term": term, "col": column, "value": out[term, column]})
+
+    got = rows.mapInPandas(sums, "term int, col int, value double").groupBy("term", "col").agg(F.sum("value").alias("value")).toPandas()
+    shared.unpersist()
+    out = np.zeros_like(v)
+    out[got["term"], got["col"]] = got["value"]
+    return out
+
+
+def truncated_svd(rows: DataFrame, n_terms: int, k: int, steps: int = 30, extra: int = 8, seed: int = 42, tolerance: float = 1e-7) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` largest singular values of the rows (idx, val) and their right vectors (terms x k).
+
+    Subspace iteration on the Gram matrix: a pass multiplies the broadcast vectors by XtX, the driver makes the result orthonormal. Only
+    (terms x (k + ``extra``)) numbers travel, whatever the number of rows. It stops when no wanted value moves by more than
+    ``tolerance`` of the largest one.
+    """
+    width = min(k + extra, n_terms)
+    v, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))
+    last = np.zeros(min(k, width))
+    for _ in range(steps):
+        y = _gram_times(rows, v)
+        own, turn = np.linalg.eigh(v.T @ y)
+        values = np.sqrt(np.maximum(own[::-1], 0.0))[:len(last)]
+        vectors = (v @ turn[:, ::-1])[:, :len(last)]
+        v, _ = np.linalg.qr(y)
+        if np.abs(values - last).max(initial=0.0) <= tolerance * max(values.max(initial=0.0), 1e-300):
+            break
+        last = values
+    return values, vectors
+
+
+def svd_start(rows: DataFrame, n_terms: int, k: int, seed: int = 42, steps: int = 3) -> np.ndarray:
+    """Non-negative double-SVD start (topics x terms), the same for every run; entries that would be 0 get the mean of all cells.
+
+    Of each singular pair the side, positive or negative, with the larger product of norms is taken. The first rows are the start for
+    fewer topics, so one start serves all K of a sweep. A few ``steps`` are enough: the factors are refined from here.
+    """
+    values, v = truncated_svd(rows, n_terms, k, steps, extra=4, seed=seed, tolerance=1e-3)
+    shared = rows.sparkSession.sparkContext.broadcast(v)
+
+    def norms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        up, down, total, n = np.zeros(v.shape[1]), np.zeros(v.shape[1]), 0.0, 0
+        for pdf in batches:
+            xv, _, val, _ = _projected(pdf, shared.value)
+            up += (np.maximum(xv, 0) ** 2).sum(axis=0)
+            down += (np.minimum(xv, 0) ** 2).sum(axis=0)
+            total, n = total + val.sum(), n + len(pdf)
+        yield pd.DataFrame({"col": [*range(len(up)), -1], "up": [*up, total], "down": [*down, float(n)]})
+
+    got = rows.mapInPandas(norms, "col int, up double, down double").groupBy("col").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).toPandas().set_index("col")
+    shared.unpersist()
+    h = np.zeros((k, n_terms))
+    if len(got):
+        for j in range(len(values)):
+            if values[j] <= 0:
+                continue
+            # left vectors are X v / s: their norms are known from one pass, they themselves are not needed
+            sides = [(np.sqrt(got.loc[j, "up"]) / values[j], np.maximum(v[:, j], 0)), (np.sqrt(got.loc[j, "down"]) / values[j], np.maximum(-v[:, j], 0))]
+            left, right = max(sides, key=lambda s: s[0] * np.linalg.norm(s[1]))
+            if j == 0:
+                h[j] = np.sqrt(values[j]) * np.abs(v[:, j])
+            elif np.linalg.norm(right) > 0:
+                h[j] = np.sqrt(values[j] * left * np.linalg.norm(right)) * right / np.linalg.norm(right)
+        cells = got.loc[-1, "down"] * n_terms
+        h[h < 1e-6] = got.loc[-1, "up"] / cells if cells else 0.0
+    return h
+
+
 def nmf_sweep(rows: DataFrame, ks: Sequence[int], n_terms: int, iters: int = 500, seed: int = 42,
-              factors: dict[int, np.ndarray] | None = None, tolerance: float = 1e-4) -> dict[int, dict[str, object]]:
+              factors: dict[int, np.ndarray] | None = None, tolerance: float = 1e-4, start: str = "svd") -> dict[int, dict[str, object]]:
     """Factors, error and error history for every K, all K fitted in the same passes.
 
     A pass solves every document row against the broadcast factors and sums WtX and
     WtW; the sums are added in the JVM by (k, topic, column), so no task holds the
     numbers of many partitions. Rows are solved afresh, so the error cannot rise
-    between passes. A model is done when its error drops by less than
+    between passes. All K begin from one ``svd_start`` (``start="random"``: from seeded
+    numbers) unless ``factors`` are given. A model is done when its error drops by less than
     ``tolerance`` of its first error, or after ``iters`` passes.
     """
     spark = rows.sparkSession
     norm2 = rows.select(F.sum(F.aggregate("val", F.lit(0.0), lambda s, v: s + v * v)).alias("x")).first()["x"] or 0.0
     rng = np.random.default_rng(seed)
-    h = {k: (factors or {}).get(k, rng.random((k, n_terms)) + 0.01) for k in ks}
+    given = factors or {}
+    wanted = [k for k in ks if k not in given]
+    first = svd_start(rows, n_terms, max(wanted), seed) if wanted and start == "svd" and n_terms else None
+    h = {k: given[k] if k in given else first[:k].copy() if first is not None else rng.random((k, n_terms)) + 0.01 for k in ks}
     history: dict[int, list[float]] = {k: [] for k in ks}
     spent = dict.fromkeys(ks, 0.0)
     active = list(ks)
@@ -83,7 +179,7 @@ def nmf_sweep(rows: DataFrame, ks: Sequence[int], n_terms: int, iters: int = 500
                 topic, column = np.nonzero(both)
                 yield pd.DataFrame({"k": np.full(len(topic), k), "topic": topic, "col": column, "value": both[topic, column]})
 
-        start = time.monotonic()
+        began = time.monotonic()
         got = rows.mapInPandas(sums, "k int, topic int, col int, value double").groupBy("k", "topic", "col").agg(F.sum("value").alias("value")).toPandas()
         shared.unpersist()
         for k in list(active):
@@ -93,7 +189,7 @@ def nmf_sweep(rows: DataFrame, ks: Sequence[int], n_terms: int, iters: int = 500
             a, b = both[:, :n_terms], both[:, n_terms:]
             err2 = norm2 - 2 * float((a * h[k]).sum()) + float((b * (h[k] @ h[k].T)).sum())
             history[k].append(float(np.sqrt(max(err2, 0.0))))
-            spent[k] += (time.monotonic() - start) / len(active)
+            spent[k] += (time.monotonic() - began) / len(active)
             e = history[k]
             if len(e) > iters or len(e) > 1 and e[-2] - e[-1] < tolerance * e[0]:
                 active.remove(k)

@@ -200,3 +200,38 @@ def test_ensemble_with_the_forest_of_the_same_vectors(spark, tmp_path):
     assert got["ensemble_score"].tolist() == plain["ensemble_score"].tolist()
     forest = 2 * got["ensemble_with_iforest"] - got["ensemble_score"]
     assert len(got) == 60 and forest.idxmax() == 7 and abs(forest.max() - 1) < 1e-5 and abs(forest.min()) < 1e-5
+
+
+def _sparse(spark, x):
+    return spark.createDataFrame([(i, [int(j) for j in np.flatnonzero(r)], [float(v) for v in r[np.flatnonzero(r)]]) for i, r in enumerate(x)],
+                                 "email_id long, idx array<int>, val array<double>").repartition(4)
+
+
+def test_truncated_svd_and_its_start(spark):
+    rng = np.random.default_rng(8)
+    x = rng.random((60, 4)) @ (rng.random((4, 25)) * (rng.random((4, 25)) < 0.5)) + 0.05 * (rng.random((60, 25)) < 0.2)
+    rows = _sparse(spark, x)
+    values, v = tp.truncated_svd(rows, 25, 4)
+    _, want, vt = np.linalg.svd(x, full_matrices=False)
+    assert np.allclose(values, want[:4], rtol=1e-5)
+    assert np.allclose(np.abs((v * vt[:4].T).sum(axis=0)), 1, atol=1e-4)
+    h = tp.svd_start(rows, 25, 4, steps=30)
+    u, s, vt = np.linalg.svd(x, full_matrices=False)
+    for j in range(1, 4):
+        sides = [(np.linalg.norm(np.maximum(f * u[:, j], 0)), np.maximum(f * vt[j], 0)) for f in (1, -1)]
+        left, right = max(sides, key=lambda t: t[0] * np.linalg.norm(t[1]))
+        mine = np.sqrt(s[j] * left / np.linalg.norm(right)) * right
+        assert np.allclose(h[j], np.where(mine < 1e-6, x.mean(), mine), atol=1e-3)
+    assert np.allclose(tp.svd_start(rows.repartition(2), 25, 4, steps=30), h, atol=1e-6)
+    topics = np.kron(np.eye(3), np.ones((1, 8))) * (0.2 + rng.random((3, 24)))
+    rows = _sparse(spark, np.where(rng.random((90, 3)) < 0.5, rng.random((90, 3)), 0) @ topics + 0.02 * (rng.random((90, 24)) < 0.1))
+    mine, random = (tp.nmf_sweep(rows, [2, 3], 24, iters=40, start=w) for w in ("svd", "random"))
+    for k in (2, 3):
+        assert mine[k]["history"][0] < random[k]["history"][0]
+        assert mine[k]["error"] <= random[k]["error"] * 1.01, (mine[k]["history"], random[k]["history"])
+
+
+def test_svd_start_of_poor_matrices(spark):
+    one = tp.svd_start(_sparse(spark, np.ones((3, 4))), 4, 3)  # rank 1, more topics than rows have directions
+    assert one.shape == (3, 4) and np.allclose(one[0], np.sqrt(np.sqrt(12)) / 2) and (one >= 0).all()
+    assert (tp.svd_start(_sparse(spark, np.zeros((2, 3))), 3, 2) == 0).all()
