@@ -62,8 +62,8 @@ def _(spark, d):
        + r6("(session_duration_min - avg(session_duration_min) OVER ()) / stddev_pop(session_duration_min) OVER ()", "session_duration_min")
        + ", " + r6("(hour_sin - avg(hour_sin) OVER ()) / stddev_pop(hour_sin) OVER ()", "hour_sin") + " FROM mat")
 def _(spark, d):
-    m = matrix(spark, d)
     cols = ["session_duration_min", "hour_sin"]
+    m = matrix(spark, d, cols)
     return apply_standard(m, fit_standard(m, cols), cols).select("login_id", *cols)
 
 
@@ -71,7 +71,7 @@ def _(spark, d):
        + r6("(session_duration_min - min(session_duration_min) OVER ()) / (max(session_duration_min) OVER () - min(session_duration_min) OVER ())",
             "session_duration_min") + " FROM mat")
 def _(spark, d):
-    m = matrix(spark, d)
+    m = matrix(spark, d, ["session_duration_min"])
     return apply_minmax(m, fit_minmax(m, ["session_duration_min"]), ["session_duration_min"]).select("login_id", "session_duration_min")
 
 
@@ -200,8 +200,7 @@ def four(spark, d):
     width = len(e.select("embedding").first()[0])
     dims = [f"d{i}" for i in range(width)]
     wide = cut_lineage(e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(dims)]))
-    joined = (tail_scores(wide, dims, "vec_id").join(nb.knn_score(e, "vec_id", "embedding", 10), "vec_id")
-              .join(nb.lof_score(e, "vec_id", "embedding", 20), "vec_id"))
+    joined = tail_scores(wide, dims, "vec_id").join(nb.neighbour_scores(e, "vec_id", "embedding", 10, 20), "vec_id")
     return cut_lineage(joined.select("vec_id", *[F.round(c, 6).alias(c) for c in DETECTORS]))
 
 

@@ -26,9 +26,10 @@ def features(spark, d):
     return sg.signin_features(signins(spark, d), CUTOFF)
 
 
-def matrix(spark, d):
-    """Model columns, stored once because the queries below pass over them several times."""
-    return cut_lineage(sg.model_matrix(features(spark, d)))
+def matrix(spark, d, columns=None):
+    """Model columns (or only some of them), stored once because the queries below pass over them several times."""
+    m = sg.model_matrix(features(spark, d))
+    return cut_lineage(m if columns is None else m.select("login_id", *columns))
 
 
 # --- scalar features ----------------------------------------------------------

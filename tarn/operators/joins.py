@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,31 +12,39 @@ from tarn.functions.times import bucket_start
 from tarn.session import cut_lineage
 
 BROADCAST_ROWS = 100_000
-SALTS = 32
+HOT_ROWS = 1_000_000
+LANES = 32
 
 
 def lookup(facts: DataFrame, reference: DataFrame, on: Sequence[str], how: str = "left",
-           max_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
+           max_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS, lanes: int = LANES) -> DataFrame:
     """Join many facts with a reference table that has one row per key.
 
-    The reference is broadcast only after its rows were counted. A larger one is
-    joined by key and salt: facts of one hot key are spread over ``salts`` tasks,
-    reference rows are repeated per salt.
+    The reference is broadcast only after its rows were counted. A larger one is joined by key; keys with more than ``hot_rows`` facts
+    are found first, and only their facts are spread over ``lanes`` tasks and only their reference rows repeated. A table has at
+    most (number of facts / ``hot_rows``) such keys; all other reference rows are shuffled once.
     """
     on = list(on)
     reference = cut_lineage(reference)  # read twice: counted, then joined
     if reference.limit(max_rows + 1).count() <= max_rows:
         return facts.join(F.broadcast(reference), on, how)
-    row_hash = F.xxhash64(*[F.col(c) for c in facts.columns])
-    salted = facts.withColumn("_salt", F.pmod(row_hash, F.lit(salts)).cast("int"))
-    repeated = reference.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    counts = cut_lineage(facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*on, F.lit(1).alias("_hot")))
+    if counts.isEmpty():
+        return facts.join(reference, on, how)
+    few = counts.limit(max_rows + 1).count() <= max_rows
+    hot = F.broadcast(counts) if few else counts
+    spread_out = F.coalesce(F.col("_hot") == 1, F.lit(False)) | reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])  # null keys match nothing
+    lane = F.when(spread_out, F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(lanes)).cast("int")).otherwise(0)
+    dealt = facts.join(hot, on, "left").withColumn("_lane", lane).drop("_hot")
+    every = F.when(F.col("_hot") == 1, F.sequence(F.lit(0), F.lit(lanes - 1))).otherwise(F.array(F.lit(0)))
+    repeated = reference.join(hot, on, "left").withColumn("_lane", F.explode(every)).drop("_hot")
+    return dealt.join(repeated, [*on, "_lane"], how).drop("_lane")
 
 
 def unknown_location(df: DataFrame, location: str = "location_name", label: str = "_anomaly_type",
-                     normal: str = "normal") -> DataFrame:
-    """1 for places never seen in normal rows."""
-    seen = df.filter(F.col(label) == normal).select(location).distinct().withColumn("_seen", F.lit(1))
+                     normal: str = "normal", history: DataFrame | None = None) -> DataFrame:
+    """1 for places never seen in normal rows of ``history`` (default: the same rows)."""
+    seen = (df if history is None else history).filter(F.col(label) == normal).select(location).distinct().withColumn("_seen", F.lit(1))
     out = lookup(df, seen, [location])
     return out.withColumn("is_unknown_location", F.when(F.col("_seen") == 1, 0).otherwise(1)).drop("_seen")
 

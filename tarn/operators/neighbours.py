@@ -1,10 +1,11 @@
-"""Exact nearest neighbours by pivot cells, and the scores built on them.
+"""Exact nearest neighbours by a metric tree, and the scores built on them.
 
 Vectors are reduced to distinct ones, so any number of exact copies costs one
-row. Every vector joins the cell of its nearest pivot; a cell is split by hash into
-blocks of bounded size. Blocks meet only when the triangle inequality cannot rule
-it out, each meeting is one bounded numpy task, and it returns at most k rows per
-vector. No pair of vectors is ever emitted just to be filtered later.
+row. Every vector goes down a tree of vantage points to a leaf with a centre and a
+radius of its own, which holds a bounded block of vectors. Blocks meet only when the
+triangle inequality cannot rule it out, each meeting is one bounded numpy task, and it
+returns at most k rows per vector. No pair of vectors is ever emitted just to be
+filtered later.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from tarn.session import cut_lineage, spread
 
 BLOCK_ROWS = 2048
 MAX_PIVOTS = 256
+MAX_LEAVES = 2048
+FAN = 32
 TINY = 1e-10
 
 
@@ -61,61 +64,117 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), dtype=float)
 
 
+def _place(rows: DataFrame, centres: dict[int, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """Move the rows of each leaf in ``centres`` to the nearest of its new leaves: leaf -> (their numbers, their centres)."""
+    shared = rows.sparkSession.sparkContext.broadcast(centres)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for leaf, part in pdf.groupby("leaf"):
+                if leaf in shared.value:
+                    numbers, x = shared.value[leaf]
+                    d = _distances(_matrix(part["vec"]), x)
+                    part = part.assign(leaf=numbers[d.argmin(axis=1)], radius=d.min(axis=1))
+                yield part
+
+    return rows.mapInPandas(run, "vid long, vec array<double>, leaf int, radius double")
+
+
+def metric_tree(vectors: DataFrame, seed: int = 42, block_rows: int = BLOCK_ROWS, pivots: int | None = None,
+                most: int = MAX_LEAVES) -> tuple[DataFrame, dict[int, np.ndarray]]:
+    """(vid, vec, leaf, radius) and the centre of each leaf.
+
+    Leaves that hold more than ``block_rows`` vectors are split again and again by vantage points drawn from their own members, each
+    vector going to the nearest one, so that a leaf covers a small ball. At most ``most`` centres are kept on the driver; a leaf
+    that is still too large then, or that no point splits, is cut by hash later.
+    """
+    n = vectors.count()
+    first = pivots or max(1, min(MAX_PIVOTS, int(math.sqrt(n) / 4)))
+    rows = vectors.select("vid", "vec", F.lit(0).alias("leaf"), F.lit(0.0).alias("radius"))
+    centres: dict[int, np.ndarray] = {}
+    large = {0: first}
+    following = 0
+    while large:
+        fan = F.lit(0)
+        for leaf, f in large.items():
+            fan = F.when(F.col("leaf") == leaf, f).otherwise(fan) if len(large) <= 64 else fan
+        if len(large) > 64:
+            wanted = vectors.sparkSession.createDataFrame(list(large.items()), "leaf int, fan int")
+            drawn = rows.join(F.broadcast(wanted), "leaf")
+        else:
+            drawn = rows.withColumn("fan", fan).filter("fan > 0")
+        order = Window.partitionBy("leaf").orderBy(F.xxhash64("vid", F.lit(seed + following)), "vid")
+        chosen = drawn.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= max(large.values())).filter("_rn <= fan").select("leaf", "_rn", "vec").collect()
+        split: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for leaf in large:
+            x = np.array([r["vec"] for r in sorted((r for r in chosen if r["leaf"] == leaf), key=lambda r: r["_rn"])], dtype=float)
+            numbers = np.arange(following + 1, following + 1 + len(x))
+            following += len(x)
+            if len(x):
+                split[leaf] = numbers, x
+                centres.pop(leaf, None)
+                centres |= dict(zip(numbers.tolist(), x))
+        if not split:
+            break
+        rows = cut_lineage(_place(rows, split))
+        sizes = {r["leaf"]: r["c"] for r in rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("c")).collect()}
+        room = most - len(centres)
+        new = {int(x) for numbers, _ in split.values() for x in numbers}
+        large = {}
+        for leaf in sorted(new & sizes.keys(), key=lambda x: (-sizes[x], x)):  # a leaf that did not get smaller is not split again
+            fan_out = min(FAN, -(-2 * sizes[leaf] // block_rows))
+            if sizes[leaf] > block_rows and sizes[leaf] < n and room >= fan_out:
+                large[leaf] = fan_out
+                room -= fan_out
+        n = max((sizes[x] for x in large), default=0) + 1
+    return rows, centres
+
+
+def meetings(bounded: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
+    """(home, target): the blocks that may hold neighbours of vectors of a block, by the triangle inequality between leaves."""
+    spark = bounded.sparkSession
+    info = bounded.groupBy("leaf").agg(F.max("radius").alias("r"), F.max(F.col("radius") + F.col("reach")).alias("need")).orderBy("leaf").toPandas()
+    at = np.array([centres[x] for x in info["leaf"]])
+    near = np.concatenate([_distances(at[i:i + 64], at) - info["r"].to_numpy()[None, :] <= info["need"].to_numpy()[i:i + 64, None] for i in range(0, len(at), 64)])
+    home, target = np.nonzero(near)
+    leaf = info["leaf"].to_numpy(np.int32)
+    links = spark.createDataFrame(pd.DataFrame({"leaf": leaf[home], "target_leaf": leaf[target]}), "leaf int, target_leaf int")
+    blocks = bounded.select("leaf", "block").distinct()
+    return blocks.join(links, "leaf").select(F.col("block").alias("home"), "target_leaf").join(
+        blocks.select(F.col("leaf").alias("target_leaf"), F.col("block").alias("target")), "target_leaf").select("home", "target")
+
+
 def vector_neighbours(vectors: DataFrame, k: int, seed: int = 42, block_rows: int = BLOCK_ROWS,
                       pivots: int | None = None) -> DataFrame:
     """(vid, nbr, dist, rank): the k nearest other vectors of each distinct vector, ties by id."""
     spark = vectors.sparkSession
-    n = vectors.count()
-    p = pivots or max(1, min(MAX_PIVOTS, int(math.sqrt(n) / 4)))
-    chosen = vectors.orderBy(F.xxhash64("vid", F.lit(seed)), "vid").limit(p).select("vec").collect()
-    if not chosen:
+    placed, centres = metric_tree(vectors, seed, block_rows, pivots)
+    if not centres:
         return spark.createDataFrame([], "vid long, nbr long, dist double, rank int")
-    centres = np.array([r["vec"] for r in chosen], dtype=float)
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                d = _distances(_matrix(pdf["vec"]), centres)
-                pdf["cell"] = d.argmin(axis=1)
-                pdf["radius"] = d.min(axis=1)
-                yield pdf
-
-    placed = cut_lineage(vectors.select("vid", "vec").mapInPandas(
-        place, "vid long, vec array<double>, cell int, radius double"))
-    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("c")).collect()
-    blocks = F.lit(1)
-    for r in sizes:
-        blocks = F.when(F.col("cell") == r["cell"], F.lit(-(-r["c"] // block_rows))).otherwise(blocks) if r["c"] > block_rows else blocks
-    placed = placed.withColumn("block", F.concat_ws("_", "cell", F.pmod(F.xxhash64("vid"), blocks)))
+    large = {r["leaf"]: -(-r["c"] // block_rows) for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > block_rows).collect()}
+    lanes = spark.createDataFrame([(int(a), int(b)) for a, b in large.items()], "leaf int, lanes int")
+    placed = placed.join(F.broadcast(lanes), "leaf", "left").withColumn(
+        "block", F.concat_ws("_", "leaf", F.pmod(F.xxhash64("vid"), F.coalesce("lanes", F.lit(1))))).drop("lanes")
 
     def at_home(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, x = pdf["vid"].to_numpy(), _matrix(pdf["vec"])
         d = _distances(x, x)
         np.fill_diagonal(d, np.inf)
         reach = np.sort(d, axis=1)[:, k - 1] if len(ids) > k else np.full(len(ids), np.inf)
-        return pd.DataFrame({"vid": ids, "vec": pdf["vec"], "cell": pdf["cell"], "radius": pdf["radius"],
+        return pd.DataFrame({"vid": ids, "vec": pdf["vec"], "leaf": pdf["leaf"], "radius": pdf["radius"],
                              "block": pdf["block"], "reach": reach})
 
     bounded = cut_lineage(spread(placed, "block").groupBy("block").applyInPandas(
-        at_home, "vid long, vec array<double>, cell int, radius double, block string, reach double"))
-
-    # Which cells can hold neighbours of which cells: p rows of bounds, p x p pivot distances.
-    info = {r["cell"]: r for r in bounded.groupBy("cell").agg(
-        F.max("radius").alias("r"), F.max(F.col("radius") + F.col("reach")).alias("need")).collect()}
-    between = _distances(centres, centres)
-    meets = {c: [t for t in info if between[c, t] - info[t]["r"] <= info[c]["need"]] for c in info}
-    links = spark.createDataFrame([(int(c), [int(t) for t in ts]) for c, ts in meets.items()], "cell int, targets array<int>")
-    homes = bounded.select("cell", "block").distinct()
-    pairs = homes.join(F.broadcast(links), "cell").select(F.col("block").alias("home"), F.explode("targets").alias("target_cell")).join(
-        homes.select(F.col("cell").alias("target_cell"), F.col("block").alias("target")), "target_cell").select("home", "target")
-    pairs = cut_lineage(pairs)
+        at_home, "vid long, vec array<double>, leaf int, radius double, block string, reach double"))
+    pairs = cut_lineage(meetings(bounded, centres))
+    shared = spark.sparkContext.broadcast(centres)
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"vid": pd.Series(dtype="int64"), "nbr": pd.Series(dtype="int64"), "dist": pd.Series(dtype=float)})
         if not len(left) or not len(right):
             return empty
         q, t = _matrix(left["vec"]), _matrix(right["vec"])
-        near = _distances(q, centres[right["cell"].iloc[0]][None, :])[:, 0]
+        near = _distances(q, shared.value[int(right["leaf"].iloc[0])][None, :])[:, 0]
         keep = (near - right["radius"].max() <= left["reach"].to_numpy()) & (
             right["radius"].min() - near <= left["reach"].to_numpy())
         if not keep.any():
@@ -123,7 +182,7 @@ def vector_neighbours(vectors: DataFrame, k: int, seed: int = 42, block_rows: in
         return _nearest(left["vid"].to_numpy()[keep], q[keep], right["vid"].to_numpy(), t, k)
 
     queries = bounded.select(F.col("block").alias("home"), "vid", "vec", "reach").join(pairs, "home")
-    other = bounded.select(F.col("block").alias("to_target"), *[F.col(c).alias(c) for c in ("vid", "vec", "cell", "radius")])
+    other = bounded.select(F.col("block").alias("to_target"), *[F.col(c).alias(c) for c in ("vid", "vec", "leaf", "radius")])
     targets = other.join(pairs.select(F.col("home").alias("to_home"), F.col("target").alias("to_target")), "to_target")
     met = spread(queries, "home", "target").groupBy("home", "target")
     found = met.cogroup(spread(targets, "to_home", "to_target").groupBy("to_home", "to_target")).applyInPandas(
@@ -155,6 +214,18 @@ def _per_row(df: DataFrame, id_col: str, vec: str, vectors: DataFrame, scores: D
     return join_by_value(rows, reference.select("vec", "n", "total", name), ["vec"]).select(id_col, name)
 
 
+def neighbour_scores(df: DataFrame, id_col: str, vec: str, knn: int = 10, lof: int = 20) -> DataFrame:
+    """(id, knn, lof) from one search: the nearest 20 rows contain the nearest 10."""
+    k = max(knn, lof)
+    vectors = cut_lineage(distinct_vectors(df, id_col, vec, k))
+    edges = cut_lineage(vector_neighbours(vectors, k))
+    close = weighted_neighbours(vectors, edges.filter(F.col("rank") <= knn).drop("rank"), knn)
+    far = cut_lineage(weighted_neighbours(vectors, edges.filter(F.col("rank") <= lof).drop("rank"), lof))
+    means = close.groupBy("vid").agg((F.sum(F.col("dist") * F.col("w")) / F.sum("w")).alias("knn"))
+    both = means.join(lof_from_neighbours(far), "vid", "full").select("vid", F.struct("knn", "lof").alias("both"))
+    return _per_row(df, id_col, vec, vectors, both, "both").select(id_col, "both.knn", "both.lof")
+
+
 def knn_score(df: DataFrame, id_col: str, vec: str, k: int = 10) -> DataFrame:
     """(id, knn): mean distance to the k nearest other rows."""
     vectors = cut_lineage(distinct_vectors(df, id_col, vec, k))

@@ -53,7 +53,7 @@ def with_known_devices(df: DataFrame, cutoff: str, history: DataFrame | None = N
 def signin_features(df: DataFrame, cutoff: str) -> DataFrame:
     """Feature and metadata columns of every login, missing values kept."""
     out = time_parts(with_travel(count_recent(df)))
-    out = unknown_location(out)
+    out = unknown_location(out, history=df)
     out = session_z(with_baselines(out, cutoff, df))
     out = with_known_devices(out, cutoff, df)
     out = out.withColumns({"mfa_numeric": F.when(F.col("mfa_used"), 1).otherwise(0),

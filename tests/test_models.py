@@ -235,3 +235,51 @@ def test_svd_start_of_poor_matrices(spark):
     one = tp.svd_start(_sparse(spark, np.ones((3, 4))), 4, 3)  # rank 1, more topics than rows have directions
     assert one.shape == (3, 4) and np.allclose(one[0], np.sqrt(np.sqrt(12)) / 2) and (one >= 0).all()
     assert (tp.svd_start(_sparse(spark, np.zeros((2, 3))), 3, 2) == 0).all()
+
+
+def _clusters(spark, n, centres, seed=5):
+    rng = np.random.default_rng(seed)
+    at = rng.normal(scale=100, size=(centres, 6))
+    x = at[rng.integers(0, centres, n)] + rng.normal(scale=0.5, size=(n, 6))
+    return x, spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, v array<double>")
+
+
+def test_metric_tree_splits_by_distance_and_stays_exact(spark):
+    x, df = _clusters(spark, 700, 12)
+    vectors = nb.distinct_vectors(df, "id", "v", 4).cache()
+    placed, centres = nb.metric_tree(vectors, block_rows=30, pivots=2)
+    leaves = placed.toPandas().groupby("leaf")["radius"].agg(["size", "max"])
+    assert leaves["size"].sum() == 700 and leaves["size"].max() <= 90 and set(leaves.index) <= set(centres)
+    assert leaves["max"].median() < 10  # a leaf is a small ball, not a random part of a large one
+    d = np.linalg.norm(x[:, None] - x[None], axis=2)
+    np.fill_diagonal(d, np.inf)
+    want = {(i, int(j)) for i in range(700) for j in np.argsort(d[i], kind="stable")[:4]}
+    for args in ({"block_rows": 30, "pivots": 2}, {"block_rows": 30, "pivots": 2, "seed": 9}):
+        got = nb.vector_neighbours(vectors, 4, **args).toPandas()
+        assert set(zip(got["vid"], got["nbr"])) == want
+    few, _ = nb.metric_tree(vectors, block_rows=30, pivots=2, most=5)
+    assert few.count() == 700 and few.select("leaf").distinct().count() <= 5
+
+
+def test_meetings_grow_slower_than_the_square(spark):
+    """Twice the clusters, so twice the leaves: meetings grow with the leaves, not with their pairs."""
+    counts = []
+    for n, clusters in ((400, 8), (800, 16)):
+        _, df = _clusters(spark, n, clusters)
+        vectors = nb.distinct_vectors(df, "id", "v", 3)
+        placed, centres = nb.metric_tree(vectors, block_rows=50, pivots=4)
+        bounded = placed.withColumn("block", F.col("leaf").cast("string")).withColumn("reach", F.lit(2.0)).cache()
+        leaves = bounded.select("block").distinct().count()
+        counts.append((leaves, nb.meetings(bounded, centres).count()))
+    assert counts[1][1] < 3 * counts[0][1] and counts[1][1] < 0.5 * counts[1][0] ** 2
+
+
+def test_one_search_gives_both_scores(spark):
+    rng = np.random.default_rng(2)
+    x = np.repeat(rng.normal(size=(60, 3)), 2, axis=0)[:90].tolist()
+    df = spark.createDataFrame(list(enumerate(x)), "id long, v array<double>")
+    both = {r["id"]: (r["knn"], r["lof"]) for r in nb.neighbour_scores(df, "id", "v", 4, 9).collect()}
+    knn = {r["id"]: r["knn"] for r in nb.knn_score(df, "id", "v", 4).collect()}
+    lof = {r["id"]: r["lof"] for r in nb.lof_score(df, "id", "v", 9).collect()}
+    assert both.keys() == knn.keys() == lof.keys()
+    assert all(both[i] == pytest.approx((knn[i], lof[i])) for i in both)

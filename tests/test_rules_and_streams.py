@@ -61,12 +61,19 @@ def test_constant_column_and_histogram_edges(spark):
     assert {(r["bin"], r["n_rows"]) for r in histogram(h, "v", 0, 1, 10).collect()} == {(0, 2), (9, 1)}
 
 
-def test_lookup_large_side_is_salted(spark):
-    facts = spark.createDataFrame([(i, i % 3) for i in range(300)], "id long, k long")
-    ref = spark.createDataFrame([(0, "a"), (1, "b")], "k long, name string")
-    for rows in (100, 1):
-        got = lookup(facts, ref, ["k"], max_rows=rows)
-        assert got.count() == 300 and got.filter("name IS NULL").count() == 100
+def test_lookup_spreads_only_hot_keys(spark):
+    data = [(i, 0 if i % 2 else i) for i in range(400)] + [(1000 + i, None) for i in range(30)]
+    facts = spark.createDataFrame(data, "id long, k long")
+    ref = spark.createDataFrame([(k, f"n{k}") for k in range(0, 300, 2)], "k long, name string")
+    want = sorted((i, f"n{k}" if k is not None and k < 300 else None) for i, k in data)
+    for args in ({}, {"max_rows": 1}, {"max_rows": 1, "hot_rows": 20}, {"max_rows": 1, "hot_rows": 20, "lanes": 3}):
+        got = lookup(facts, ref, ["k"], **args)
+        assert sorted(map(tuple, got.select("id", "name").collect())) == want
+    inner = lookup(facts, ref, ["k"], "inner", max_rows=1, hot_rows=20)
+    assert inner.count() == sum(n is not None for _, n in want)
+    repeated = spark.createDataFrame([(0, "a"), (2, "b")], "k long, name string")
+    plan = lookup(facts, repeated, ["k"], max_rows=1, hot_rows=20, lanes=5)
+    assert plan.filter("k = 0").count() == 201 and "_lane" not in plan.columns
 
 
 def test_sweep_edges(spark):
