@@ -140,14 +140,17 @@ def _likely(least: float):
     return run
 
 
-def _open_pairs(least: float):
-    """Per (band key, block): queries against members of other components."""
+def _open_pairs(least: float, threshold: int):
+    """Per (band key, block): queries against members of other components whose sets are not too small or too large to reach the threshold."""
     def group(band: int, node, label, asks, size, regs):
         queries, members = np.flatnonzero(asks), np.flatnonzero(~asks)
         for q in queries:
             other = members[(label[members] != label[q]) & (node[members] != node[q])]
             # of two members that both ask, the smaller one keeps the pair
             other = other[~(size[other] < 0) | (node[other] > node[q])]
+            n = np.abs(size[other])
+            # the similarity is at most the ratio of the sizes
+            other = other[100 * np.minimum(n, abs(size[q])) >= threshold * np.maximum(n, abs(size[q]))]
             if not len(other):
                 continue
             n = np.abs(size[other])
@@ -241,7 +244,7 @@ def groups(docs: DataFrame, words: int = 4, threshold: int = 80) -> DataFrame:
                .select("key", "block", F.col("pos").alias("band"), "node", "label", "asks",
                        F.when(F.col("asking"), -F.col("n_shingles")).otherwise(F.col("n_shingles")).alias("size"), "registers")
                .repartition("key", "block").sortWithinPartitions("key", "block"))
-    more = meeting.mapInArrow(_open_pairs(margin(share, 4.5)), "a long, b long")
+    more = meeting.mapInArrow(_open_pairs(margin(share, 4.5), threshold), "a long, b long")
     tried = first_pairs.select("a", "b").union(first_pairs.select("b", "a"))
     more = stored(more.join(tried, ["a", "b"], "left_anti"), "open-pairs")
     labels = components(links.union(confirmed(more)))
