@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+import struct
 
 from tarn.llm.common import HELD
 from tarn.llm.kernels import batches_of
 
 CACHE = 500_000
-#: lower-case a-z and Latin-1 letters, then punctuation that always stands apart from letters
-_PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([.,;:!?%*#$&|+]*)")
+#: punctuation that always stands apart from letters, and words of lower-case a-z and Latin-1 letters
+_TAIL = b".,;:!?%*#$&|+"
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -40,7 +40,7 @@ class Encoder:
         self.known: dict[bytes, bytes] = {}
 
     def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: bytes) -> bytes:
         return self._packed([t.id for t in self.tokenizer.model.tokenize(word.decode("latin-1").translate(self.letters))])
@@ -48,18 +48,16 @@ class Encoder:
     def _learn(self, pieces: set[bytes]) -> None:
         known, rest = self.known, []
         for piece in pieces:
-            found = _PLAIN.fullmatch(piece)
-            if not found:
+            word = piece.rstrip(_TAIL)
+            if not (word.isalpha() or _PLAIN.fullmatch(word)):
                 rest.append(piece)
                 continue
-            word, tail = found.groups()
-            if tail and tail not in known:
-                known[tail] = self._packed(self.tokenizer.encode(tail.decode(), add_special_tokens=False).ids)
-            if tail:
-                ids = known.get(word) or known.setdefault(word, self._word(word))
+            ids = known.get(word) or known.setdefault(word, self._word(word))
+            if len(word) < len(piece):
+                tail = piece[len(word):]
+                if tail not in known:
+                    known[tail] = self._packed(self.tokenizer.encode(tail.decode(), add_special_tokens=False).ids)
                 known[piece] = ids + known[tail]
-            elif word not in known:
-                known[word] = self._word(word)
         for piece, e in zip(rest, self.tokenizer.encode_batch([p.decode() for p in rest], add_special_tokens=False)):
             known[piece] = self._packed(e.ids)
 
