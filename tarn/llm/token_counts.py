@@ -92,8 +92,10 @@ class Ledger:
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, n_docs, n_tokens) over all committed batches; groups that came to nothing are left out."""
-        snapshot, inside = self._snapshot()
-        paths = [f"{self.path}/batches/{b}" for b in self._folders("batches") if b not in set(inside)]
+        return self._sums(*self._snapshot(), self._folders("batches"))
+
+    def _sums(self, snapshot: str | None, inside: list[str], batches: list[str]) -> DataFrame:
+        paths = [f"{self.path}/batches/{b}" for b in batches if b not in set(inside)]
         if snapshot:
             paths.append(f"{self.path}/snapshots/{snapshot}")
         rows = self.spark.read.schema(SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], SCHEMA)
@@ -101,12 +103,13 @@ class Ledger:
 
     def compact(self) -> None:
         """Fold all committed batches into a new snapshot. The list of its batches is written first and the snapshot counts only
-        once complete, so an interruption leaves the old state."""
-        last, _ = self._snapshot()
+        once complete, so an interruption leaves the old state. Batches are listed once, so one that is committed meanwhile is neither
+        in the snapshot's sums nor in its list."""
+        last, inside = self._snapshot()
         name = f"{int(last or 0) + 1:010d}"
-        batches = self.committed()
-        totals = self.totals()
-        self.spark.createDataFrame([(b,) for b in batches], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/lists/{name}")
+        batches = self._folders("batches")
+        totals = self._sums(last, inside, batches)
+        self.spark.createDataFrame([(b,) for b in sorted({*batches, *inside})], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/lists/{name}")
         totals.write.mode("overwrite").parquet(f"{self.path}/snapshots/{name}")
 
 

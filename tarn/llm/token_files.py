@@ -53,8 +53,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END) ->
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """The files again, one task per group of stripes; filters on doc_id skip files, stripes and row groups."""
-    schema = "doc_id long, shard int, place long, n_tokens long, ids array<int>"
-    return spark.read.schema(schema).orc(path)
+    return spark.read.orc(path)  # with the type of doc_id that was written
 
 
 def _checksums(batch: pa.RecordBatch):
@@ -68,10 +67,11 @@ def _checksums(batch: pa.RecordBatch):
 
 def token_index(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) read from the files; ``start`` counts the ids of all documents before."""
-    rows = map_batches(read_tokens(spark, path), _checksums, "doc_id long, shard int, place long, n_tokens long, ids_crc32 long")
+    tokens = read_tokens(spark, path)
+    rows = map_batches(tokens, _checksums, f"doc_id {dict(tokens.dtypes)['doc_id']}, shard int, place long, n_tokens long, ids_crc32 long")
     # a row per file: file sizes summed before the window, which then holds one row per file
     from pyspark.sql import Window
 
-    totals = read_tokens(spark, path).groupBy("shard").agg(F.sum("n_tokens").alias("total"))
+    totals = tokens.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
     before = totals.select("shard", (F.sum("total").over(Window.orderBy("shard")) - F.col("total")).alias("before"))
     return rows.join(before, "shard").select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")

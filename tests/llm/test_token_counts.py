@@ -64,3 +64,23 @@ def test_odd_texts(spark):
     got = sorted((r.doc_id, r.n_tokens, r.clean_tokens) for r in tc.counted(docs, word_bpe(), "v").collect())
     assert got == [(1, 0, 0), (2, 0, 0), (3, 2, 0), (3, 2, 2)]
     assert tc.counted(docs.limit(0), word_bpe(), "v").collect() == []
+
+
+def test_a_batch_committed_during_compaction_counts_once(spark, tmp_path):
+    ledger = tc.Ledger(spark, str(tmp_path / "ledger"))
+    rows = lambda n: tc.inserts(spark.createDataFrame([("s", "en", "t", n)], "source string, lang string, tokenizer string, n_tokens long"))
+    ledger.commit("one", rows(10))
+    real = ledger._folders
+
+    def meanwhile(kind):
+        found = real(kind)
+        if kind == "batches":
+            ledger._folders = real
+            ledger.commit("two", rows(5))
+        return found
+
+    ledger._folders = meanwhile
+    ledger.compact()
+    assert [r.n_tokens for r in ledger.totals().collect()] == [15]
+    ledger.compact()
+    assert [r.n_tokens for r in ledger.totals().collect()] == [15] and ledger.committed() == ["one", "two"]

@@ -53,3 +53,17 @@ def test_small_tables(spark, tmp_path, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     write_tokens(df, str(tmp_path / "t"), word_bpe())
     assert [(r.doc_id, r.start, r.n_tokens) for r in token_index(spark, str(tmp_path / "t")).collect()] == [(5, 0, 1)] * len(rows)
+
+
+def test_text_ids_come_back(spark, tmp_path):
+    df = spark.createDataFrame([("b", "one two"), ("a", "three"), (None, None)], "doc_id string, text string")
+    write_tokens(df, str(tmp_path / "t"), word_bpe())
+    got = token_index(spark, str(tmp_path / "t")).orderBy("start").collect()
+    assert [(r.doc_id, r.start) for r in got][:2] == [(None, 0), ("a", 1)] and got[2].doc_id == "b"
+
+
+def test_words_with_digits_and_marks_are_encoded_whole():
+    e = Encoder(word_bpe())
+    rows = ["x1 x1, x1. a, a,, ,a é. é é1 é1, ß+ 1 1. ..", "x1, x1 A, É1, a1.b, ,"]
+    for t in rows + rows:
+        assert list(struct.unpack(f"<{len(b := e.encode([t.encode()])[0]) // 4}I", b)) == e.tokenizer.encode(t, add_special_tokens=False).ids
