@@ -33,6 +33,7 @@ LONGEST = 4
 SAMPLE = 4096
 PER_LANGUAGE = 32
 MOST_LANDMARKS = 512
+MOST_LANGUAGES = 10_000
 LANDMARK_CHARS = (300, 5000)
 FEATURES = 1 << 15
 RIDGE = 1e-4
@@ -163,9 +164,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """
     rows = docs.filter("lang IS NOT NULL AND text IS NOT NULL").filter(~held_out()).select(F.col("lang").cast("string").alias("lang"), "text", F.length("text").alias("size"),
                                                                                        F.xxhash64(F.col("doc_id"), "text").alias("at"))
-    # ids are hashed evenly, so a language's first rows lie below a bound that its count gives; only about 4 * sample rows go on
+    # ids are hashed evenly, so a language's first rows lie below a bound that its count gives: only about 4 * sample rows of it are shuffled
+    counts = stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-counts")
     share = (F.col("at").cast("double") + 2.0 ** 63) / 2.0 ** 64 * F.col("n") < 4.0 * sample
-    near = rows.join(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "lang").filter(share).drop("n")
+    few = counts.limit(MOST_LANGUAGES + 1).count() <= MOST_LANGUAGES
+    near = rows.join(F.broadcast(counts), "lang").filter(share).drop("n") if few else rows
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("at", "text"))
     chosen = stored(near.withColumn("turn", turn).filter(F.col("turn") <= sample).orderBy("turn", "at", "lang").limit(sample), "language-sample")
     n = chosen.agg(F.count_distinct("lang")).first()[0]
