@@ -35,6 +35,7 @@ REGISTERS = 400
 BANDS = 40
 ROWS = 5
 BLOCK = 512
+PAIRS = 1 << 18
 _SEEDS = mix(np.arange(1, 2 * REGISTERS + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)).reshape(2, REGISTERS)
 _XOR, _TIMES = _SEEDS[0][:, None], (_SEEDS[1] | U64(1))[:, None]
 
@@ -100,6 +101,21 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
     return (low + high) / 2
 
 
+def reaches(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, least: float) -> np.ndarray:
+    """Whether ``estimate`` gives at least ``least``: the likelihood is concave, so its slope there tells on which side the peak is."""
+    more = (a > b).sum(axis=-1)
+    less = (a < b).sum(axis=-1)
+    same = a.shape[-1] - more - less
+    u = size_a / (size_a + size_b)
+    v = 1 - u
+    scale, k = np.log(BASE), (BASE - 1) / BASE
+    possible = np.minimum(u / v, v / u) >= least
+    x, y = np.maximum(u - v * least, 1e-12), np.maximum(v - u * least, 1e-12)
+    p, q = -np.log1p(-x * k) / scale, -np.log1p(-y * k) / scale
+    dp, dq = -v * k / (1 - x * k) / scale, -u * k / (1 - y * k) / scale
+    return possible & (more * dp / p + less * dq / q - same * (dp + dq) / np.maximum(1 - p - q, 1e-12) >= 0)
+
+
 def margin(threshold: float, sigmas: float) -> float:
     return threshold - sigmas * float(np.sqrt(threshold * (1 - threshold) / REGISTERS))
 
@@ -133,31 +149,31 @@ def _rows(column) -> np.ndarray:
 
 def _likely(least: float):
     def run(batch: pa.RecordBatch):
-        got = estimate(_rows(batch.column("registers_a")), _rows(batch.column("registers_b")),
-                       batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy())
-        yield batch.filter(pa.array(got >= least)).select(["a", "b"])
+        got = reaches(_rows(batch.column("registers_a")), _rows(batch.column("registers_b")),
+                      batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), least)
+        yield batch.filter(pa.array(got)).select(["a", "b"])
 
     return run
 
 
 def _open_pairs(least: float, threshold: int):
     """Per (band key, block): queries against members of other components whose sets are not too small or too large to reach the threshold."""
-    def group(band: int, node, label, asks, size, regs):
+    def group(band: int, node, label, asks, size, four, fifth, regs):
         queries, members = np.flatnonzero(asks), np.flatnonzero(~asks)
-        for q in queries:
-            other = members[(label[members] != label[q]) & (node[members] != node[q])]
-            # of two members that both ask, the smaller one keeps the pair
-            other = other[~(size[other] < 0) | (node[other] > node[q])]
-            n = np.abs(size[other])
-            # the similarity is at most the ratio of the sizes
-            other = other[100 * np.minimum(n, abs(size[q])) >= threshold * np.maximum(n, abs(size[q]))]
-            if not len(other):
-                continue
-            n = np.abs(size[other])
-            other = other[estimate(regs[other], regs[q][None], n, np.full(len(other), abs(size[q]))) >= least]
-            equal = (regs[other] == regs[q][None])[:, :BANDS * ROWS].reshape(len(other), BANDS, ROWS).all(axis=2)
-            for x in other[equal.argmax(axis=1) == band]:
-                yield int(node[q]), int(node[x])
+        n = np.abs(size)
+        for part in np.array_split(queries, -(-len(queries) * max(len(members), 1) // PAIRS)) if len(queries) else []:
+            q, m = part[:, None], members[None]
+            # of two members that both ask, the smaller one keeps the pair; the similarity is at most the ratio of the sizes
+            wanted = ((label[m] != label[q]) & (node[m] != node[q]) & ((size[m] >= 0) | (node[m] > node[q]))
+                      & (100 * np.minimum(n[m], n[q]) >= threshold * np.maximum(n[m], n[q])))
+            x, y = np.nonzero(wanted)
+            x, y = part[x], members[y]
+            for at in range(0, len(x), BLOCK):
+                a, b = x[at:at + BLOCK], y[at:at + BLOCK]
+                first = ((four[a] == four[b]) & (fifth[a] == fifth[b])).argmax(axis=1) == band
+                a, b = a[first], b[first]
+                likely = reaches(regs[b], regs[a], n[b], n[a], least)
+                yield node[a[likely]], node[b[likely]]
 
     def run(batches):
         held: list[pa.Table] = []
@@ -166,11 +182,14 @@ def _open_pairs(least: float, threshold: int):
             key, block, band, node, label, size = (table.column(c).to_numpy() for c in ("key", "block", "band", "node", "label", "size"))
             asks = table.column("asks").to_numpy()
             regs = _rows(table.column("registers").combine_chunks())
+            # the five registers of a band as one value of four and one of the fifth
+            bands = regs[:, :BANDS * ROWS].reshape(len(regs), BANDS, ROWS)
+            four, fifth = np.ascontiguousarray(bands[:, :, :4]).view(U64)[:, :, 0], np.ascontiguousarray(bands[:, :, 4])
             cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(block) != 0)) + 1
-            pairs = []
+            pairs = [(np.zeros(0, np.int64),) * 2]
             for a, b in zip([0, *cut], [*cut, len(key)]):
-                pairs += group(band[a], node[a:b], label[a:b], asks[a:b], size[a:b], regs[a:b])
-            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
+                pairs += group(band[a], *(v[a:b] for v in (node, label, asks, size, four, fifth, regs)))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in zip(*pairs)], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -226,7 +245,8 @@ def groups(docs: DataFrame, words: int = 4, threshold: int = 80) -> DataFrame:
         both = F.size(F.array_intersect("set_a", "set_b"))
         return pairs.filter(100 * both >= threshold * (F.size("set_a") + F.size("set_b") - both)).select("a", "b")
 
-    likely = stored(map_batches(with_registers(first_pairs), _likely(margin(share, 6)), "a long, b long"), "likely")
+    alike = 100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")
+    likely = stored(map_batches(with_registers(first_pairs).filter(alike), _likely(margin(share, 6)), "a long, b long"), "likely")
     links = stored(confirmed(likely), "links")
     labels = components(links)
 

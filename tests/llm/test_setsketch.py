@@ -85,6 +85,21 @@ def test_sketches_merge_and_estimate():
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.03
 
 
+def test_slope_decides_as_the_estimate_does():
+    r = np.random.default_rng(2)
+    seen = set()
+    for _ in range(300):
+        n, common = int(r.integers(5, 400)), float(r.uniform(0.5, 1))
+        names = r.integers(0, 1 << 63, 2 * n, dtype=np.uint64)
+        a, b = names[:n], np.concatenate([names[:int(n * common)], names[n:n + int(r.integers(0, n // 3 + 1))]])
+        pair = (s.registers(a)[None], s.registers(b)[None], np.array([float(len(a))]), np.array([float(len(b))]))
+        got = s.estimate(*pair)[0]
+        if abs(got - 0.7) > 1e-6:
+            assert s.reaches(*pair, 0.7)[0] == (got >= 0.7)
+            seen.add(bool(got >= 0.7))
+    assert seen == {True, False}
+
+
 def test_one_row_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(40))
     rows = [(3, text, "a"), (2, text + " tail", "b"), (2, text + " tail", "b"), (None, text, "c"), (7, "other words stand here now", "d"),
