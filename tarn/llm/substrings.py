@@ -1,21 +1,26 @@
-"""Exact removal of long byte strings that occur more than once in a corpus, by distributed prefix doubling.
+"""Exact removal of long byte strings that occur more than once in a corpus, by refinement of sampled prefixes.
 
-Suffixes are ranked by growing prefixes: at each step Spark groups (rank pair, position) rows, positions whose prefix is
-unique leave, and the rest go on with a longer prefix until it reaches the threshold. Two things keep this
-affordable at corpus scale:
+Suffixes are told apart by growing prefixes: at each step Spark groups the rows of positions by a name of their prefix,
+positions whose prefix is unique leave, and the rest go on with a longer prefix until it reaches the threshold. Names are
+taken anew from the text at each step; ``doubling.py`` derives ranks from pairs of earlier ranks instead, over every position, with the
+same result and far more rows. Two things keep this form affordable at corpus scale:
 
 * A step looks at sampled positions. Every string of ``length`` bytes is represented by the least-hashed short string
   within its first ``width`` bytes. The choice depends on these bytes alone, so equal strings choose equal places, and
-  it is enough to rank the chosen places by the ``length - width + 1`` bytes that follow them. Prefixes are 144, then
-  384, then 400 bytes for widths 257, 17 and 1; at width 1 every position stands for itself and the result is exact.
+  it is enough to compare the chosen places by the ``length - width + 1`` bytes that follow them. Prefixes are 144, then
+  384, then 400 bytes for widths 257, 17 and 1; at width 1 every position stands for itself and the result is exact
+  apart from hash collisions.
 * If the whole neighbourhood of a chosen place (all the strings it represents, with their offsets) occurs again, all
   of them are repeated and the place is done. Only edges of repeats go on to the next step.
 
-A rank is a pair of names of the two halves of the prefix plus the name of the neighbourhood (128 bits together).
+Every removal is decided by two 64-bit names together: that of the prefix (from its two halves) and that of the neighbourhood. A collision
+of the first alone only keeps a place longer than needed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -106,13 +111,13 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, widths: tuple[int, ..
     for width in widths:
         source = keyed if todo is None else keyed.join(todo, ["row_id", "row_hash"])
         rows = stored(map_batches(source, _places(length, width), _ROWS), f"places-{width}")
-        classes = stored(rows.groupBy("rank").agg(F.count(F.lit(1)).alias("n"), F.min("around").alias("a"), F.max("around").alias("b"))
-                         .filter("n > 1").select("rank", (F.col("a") == F.col("b")).alias("alike")), f"classes-{width}")
-        alive = rows.join(classes, "rank")
         if width == 1:
-            spans.append(alive)
+            again = stored(rows.groupBy("rank", "around").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("rank", "around"), "classes-1")
+            spans.append(rows.join(again, ["rank", "around"]))
             break
-        alive = stored(alive, f"alive-{width}")
+        classes = stored(rows.groupBy("rank").agg(F.count(F.lit(1)).alias("n"), F.min("around").alias("a"), F.max("around").alias("b"))
+                         .filter("n > 1").select("rank", (F.col("a") == F.col("b")).alias("alike")), f"classes-{width}")
+        alive = stored(rows.join(classes, "rank"), f"alive-{width}")
         mixed = alive.filter(~F.col("alike"))
         around = stored(mixed.groupBy("rank", "around").agg(F.count(F.lit(1)).alias("n"),
                         F.min(F.struct("row_id", "row_hash", "place", "back", "least")).alias("first")), f"around-{width}")
@@ -150,15 +155,18 @@ def _cut(batch: pa.RecordBatch):
         names=["doc_id", "n_bytes", "kept", "spans"])
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, widths: tuple[int, ...] = WIDTHS,
+                   find: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
     """(doc_id, n_bytes, kept binary, spans array<struct<low, high>>), one row for each row of ``docs``.
 
     Every byte covered by a ``length``-byte string that also starts anywhere else, in the same text or another, is
     removed; strings are judged on the input. A null text is empty. Rows with a null doc_id and repeated rows count as
-    texts of their own. Other columns are ignored. Spans are maximal runs of removed bytes.
+    texts of their own. Other columns are ignored. Spans are maximal runs of removed bytes. ``find`` may be another way to
+    find the spans, such as ``doubling.spans_by_doubling``.
     """
     keyed = docs.select("doc_id", *row_keys(), F.coalesce("text", F.lit("")).cast("binary").alias("body"))
-    found = (repeated_spans(keyed.select("row_id", "row_hash", "body"), length, widths)
+    bodies = keyed.select("row_id", "row_hash", "body")
+    found = ((find(bodies, length) if find else repeated_spans(bodies, length, widths))
              .groupBy("row_id", "row_hash").agg(F.collect_set(F.struct("low", "high")).alias("ranges")))
     joined = keyed.join(found, ["row_id", "row_hash"], "left").select("doc_id", "body", "ranges")
     return map_batches(joined, _cut, f"doc_id {dict(docs.dtypes)['doc_id']}, n_bytes long, kept binary, spans array<struct<low: int, high: int>>")

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+from tarn.llm.doubling import spans_by_doubling
 from tarn.llm.substrings import remove_repeats
 
 
@@ -36,9 +37,9 @@ def corpus(seed):
     return rows
 
 
-def run(spark, rows, length, widths):
+def run(spark, rows, length, widths=(1,), find=None):
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = remove_repeats(df, length, widths).collect()
+    got = remove_repeats(df, length, widths, find).collect()
     return sorted(((r.doc_id, r.n_bytes, hashlib.sha256(bytes(r.kept)).hexdigest(), len(r.spans)) for r in got), key=str)
 
 
@@ -48,6 +49,17 @@ def test_equals_brute_force(spark):
     assert run(spark, rows, 400, (257, 17, 1)) == brute(rows, 400)
 
 
+def test_prefix_doubling_equals_brute_force(spark, monkeypatch):
+    import tarn.llm.doubling as d
+
+    rows = corpus(2)
+    monkeypatch.setattr(d, "PIECE", 100)
+    assert run(spark, rows, 100, find=spans_by_doubling) == brute(rows, 100)
+    monkeypatch.undo()
+    assert run(spark, rows, 400, find=spans_by_doubling) == brute(rows, 400)
+    assert run(spark, [(1, ""), (2, None), (3, "short")], 16, find=spans_by_doubling) == brute([(1, ""), (2, None), (3, "short")], 16)
+
+
 def test_segments_of_long_texts(spark, monkeypatch):
     import tarn.llm.substrings as s
 
