@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -29,11 +30,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def row_keys(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
-    """Two longs without nulls that identify a row; repeated rows share them."""
-    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("row_id"),
+    """Two longs without nulls that identify a row; repeated rows share them. An id that is no whole number stands by its hash."""
+    given = F.col(doc_id)
+    number = F.when(F.typeof(given).isin("tinyint", "smallint", "int", "bigint"), given.try_cast("long"))
+    return [F.when(given.isNull(), F.lit(0)).otherwise(F.coalesce(number, F.xxhash64(given))).alias("row_id"),
             F.xxhash64(F.col(text), F.col(doc_id).isNull()).alias("row_hash")]
 
 
+def passing_columns(*used: str) -> Callable:
+    """For operators that return the columns of ``docs``: inside, all columns but ``used`` have names that clash with nothing."""
+    def wrap(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(fn)
+        def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+            inside = docs.toDF(*[c if c.lower() in used else f"passed{i}" for i, c in enumerate(docs.columns)])
+            return fn(inside, *args, **kwargs).toDF(*docs.columns)
+        return run
+    return wrap
+
+
 #: what operators keep in a worker process between tasks, as functions that let go of it
 HELD: list[Callable[[], None]] = []
 

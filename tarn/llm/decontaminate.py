@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import map_batches, row_keys, stored
+from tarn.llm.common import map_batches, passing_columns, row_keys, stored
 from tarn.llm.kernels import LOWER, batches_of, chained_names, join_texts, prefix_names, substring_names, word_bounds
 
 WINDOW = 10
@@ -146,6 +146,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
     return _passages(keyed, benchmark, window, per_pass).drop("row_id", "row_hash")
 
 
+@passing_columns("doc_id", "text")
 def remove_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, per_pass: int = WINDOWS_PER_PASS,
                     whole: bool = True) -> DataFrame:
     """``docs`` without contaminated documents, or (``whole=False``) with the hit words cut out of their texts.

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarn.llm.common import WORDS, stored, weights_by_position
+from tarn.llm.common import WORDS, passing_columns, stored, weights_by_position
 
 WEIGHTS = (1.0, 2.0, 3.0)
 REPEATS = 3
@@ -110,6 +110,7 @@ def mixture(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int =
     return out.select("doc_id", "text_hash", "size", "source_size", "target", (rounds * F.col("size") + part).cast("long").alias("taken"))
 
 
+@passing_columns("doc_id", "source", "text")
 def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = REPEATS, block: int = BLOCK,
           spread: float = SPREAD, seed: int = SEED) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a document taken k times stands k times; of one taken in part, a further

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarn.llm.common import let_go, slices
+from tarn.llm.common import let_go, passing_columns, slices
 from tarn.llm.kernels import SPACES, U64, batches_of, chained_names, join_texts, mix, prefix_names, substring_names, word_bounds
 
 SAMPLE = 20_000
@@ -89,19 +89,22 @@ def text_counts(bodies: list[bytes | None]) -> np.ndarray:
 
 
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` and a struct of COUNTS named STATS; a null text counts as empty."""
-    names = docs.columns
+    """``docs`` and a struct of COUNTS named STATS, which takes the place of a column of that name; a null text counts as empty."""
+    docs = docs.drop(STATS)
+    names = [f"c{i}" for i in range(len(docs.columns))]  # no name can clash, or needs quoting
+    body = [c.lower() for c in docs.columns].index(text.lower())
 
     def run(batches):
         let_go()
         for batch in (piece for whole in batches for piece in slices(whole)):
-            counts = text_counts(batch.column(text).cast(pa.binary()).to_pylist())
+            counts = text_counts(batch.column(body).cast(pa.binary()).to_pylist())
             stats = pa.StructArray.from_arrays([pa.array(counts[:, i]) for i in range(len(COUNTS))], names=COUNTS)
             yield pa.RecordBatch.from_arrays([*batch.columns, stats], names=[*names, STATS])
         pa.default_memory_pool().release_unused()
 
-    schema = T.StructType([*docs.schema.fields, T.StructField(STATS, T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))])
-    return docs.mapInArrow(run, schema)
+    kinds = [T.StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields)]
+    schema = T.StructType([*kinds, T.StructField(STATS, T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))])
+    return docs.toDF(*names).mapInArrow(run, schema).toDF(*docs.columns, STATS)
 
 
 def feature(name: str) -> Column:
@@ -235,13 +238,14 @@ def judged(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
     """``docs`` with STATS, ``_base_failed`` and ``_kept``.
 
     A null or empty text has no words and fails the base rule. Without labelled rows only the base rule decides.
-    Repeated rows are judged alike; all other columns pass through unchanged.
+    Repeated rows are judged alike; all other columns pass through unchanged, those named like the three results are replaced.
     """
     rules = fit(docs, labels, sample)
     failed = base_failed()
     return with_counts(docs).withColumn("_base_failed", failed).withColumn("_kept", ~failed & rules.keep())
 
 
+@passing_columns("doc_id", "text")
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` that pass the base rule and the decision list."""
+    """The rows of ``docs`` that pass the base rule and the decision list, with all their columns, whatever their names."""
     return judged(docs, labels, sample).filter("_kept").select(*docs.columns)

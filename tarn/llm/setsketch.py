@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import map_batches, row_keys, stored
+from tarn.llm.common import map_batches, passing_columns, row_keys, stored
 from tarn.llm.graph import components
 from tarn.llm.kernels import LOWER, SPACES, U64, batches_of, chained_names, join_texts, mix, prefix_names, substring_names, word_bounds
 
@@ -290,11 +290,12 @@ def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 80) -> Dat
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+@passing_columns("doc_id", "text")
 def keep_one(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFrame:
     """One row of each group of near-duplicates, with the columns of ``docs``: the one with the smallest doc_id, or by text hash if
     no row of the group has an id. Rows without shingles all stay; of repeated rows one stays."""
     rows = stored(groups(docs, words, threshold), "groups")
-    order = F.struct(F.col("doc_id").isNull(), "row_id", "row_hash")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_id", "row_hash")
     first = rows.filter("label IS NOT NULL").groupBy("label").agg(F.min(order).alias("first")).select("first.row_id", "first.row_hash")
     kept = stored(first.union(rows.filter("label IS NULL").select("row_id", "row_hash")).distinct(), "kept")
     row_id, row_hash = row_keys()
