@@ -9,9 +9,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.session import spread
+from tarn.operators.sequences import series_key, with_row_index
+from tarn.session import cut_lineage, spread
 
 FLAT = 1e-9
+PIECE_PERIODS = 56
+HALO_PERIODS = 28
+OUTER = 15
+MEDIAN_ACCURACY = 100_000
 
 
 def _odd(v: float) -> int:
@@ -74,31 +79,42 @@ def _moving_mean(v: np.ndarray, n: int) -> np.ndarray:
     return np.convolve(v, np.ones(n) / n, mode="valid")
 
 
-def stl(y: np.ndarray, period: int, seasonal: int = 7, inner: int = 2, outer: int = 15) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(seasonal, trend, residual) with robustness weights."""
+def _decompose(y: np.ndarray, rho: np.ndarray, trend: np.ndarray, period: int, seasonal: int = 7,
+               inner: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """(season, trend) after the inner loop, from given weights and the trend before."""
     n = len(y)
     trend_q = _odd(1.5 * period / (1 - 1.5 / seasonal))
     low_q = _odd(period + 1)
     cycles = -(-n // period)
     pad = cycles * period - n
-    rho, trend = np.ones(n), np.zeros(n)
     season = np.zeros(n)
+    for _ in range(inner):
+        detrended = np.r_[y - trend, np.zeros(pad)].reshape(cycles, period)
+        weight = np.r_[rho, np.zeros(pad)].reshape(cycles, period)
+        smooth = np.stack([_fit(detrended, weight, seasonal, i) for i in range(-1, cycles + 1)])
+        flat = smooth.ravel()[:n + 2 * period]
+        low = _moving_mean(_moving_mean(_moving_mean(flat, period), period), 3)
+        low = loess(low, np.ones(len(low)), low_q)
+        season = flat[period:period + n] - low[:n]
+        trend = loess(y - season, rho, trend_q)
+    return season, trend
+
+
+def _weights(resid: np.ndarray, scale: float) -> np.ndarray:
+    u = np.abs(resid) / scale
+    return np.where(u <= 0.001, 1.0, np.where(u <= 0.999, (1 - u ** 2) ** 2, 0.0))
+
+
+def stl(y: np.ndarray, period: int, seasonal: int = 7, inner: int = 2, outer: int = OUTER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(seasonal, trend, residual) with robustness weights."""
+    rho, trend = np.ones(len(y)), np.zeros(len(y))
     for _ in range(outer + 1):
-        for _ in range(inner):
-            detrended = np.r_[y - trend, np.zeros(pad)].reshape(cycles, period)
-            weight = np.r_[rho, np.zeros(pad)].reshape(cycles, period)
-            smooth = np.stack([_fit(detrended, weight, seasonal, i) for i in range(-1, cycles + 1)])
-            flat = smooth.ravel()[:n + 2 * period]
-            low = _moving_mean(_moving_mean(_moving_mean(flat, period), period), 3)
-            low = loess(low, np.ones(len(low)), low_q)
-            season = flat[period:period + n] - low[:n]
-            trend = loess(y - season, rho, trend_q)
+        season, trend = _decompose(y, rho, trend, period, seasonal, inner)
         resid = y - season - trend
         scale = 6 * np.median(np.abs(resid))
         if scale <= FLAT:
             break
-        u = np.abs(resid) / scale
-        rho = np.where(u <= 0.001, 1.0, np.where(u <= 0.999, (1 - u ** 2) ** 2, 0.0))
+        rho = _weights(resid, scale)
     return season, trend, y - season - trend
 
 
@@ -109,18 +125,82 @@ def residual(y: np.ndarray, period: int) -> np.ndarray:
     return stl(y.astype(float), period)[2]
 
 
-def stl_residual(grid: DataFrame, columns: Sequence[str], period: int, segment: str | None = None) -> DataFrame:
-    """``<column>_resid`` for every metric. A series has one row per time bucket, not per event,
-    so a (segment, metric) group stays small; the groups run in parallel."""
+def in_pieces(rows: DataFrame, core: int, halo: int) -> DataFrame:
+    """``rows`` (with ``_series`` and ``_i``) once for each piece of the series they belong to: ``_piece``, ``_own`` (false in a halo) and
+    ``_pieces``, the number of pieces of the series.
+
+    A piece is ``core`` places and ``halo`` further ones on both sides; the last one also takes what is left over, so
+    that it has at most twice as many, and a series shorter than that is one piece.
+    """
+    if halo > core:
+        raise ValueError("the halo must not be longer than the piece")
+    sizes = rows.groupBy("_series").agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / core)).alias("_pieces"))
+    home = F.least(F.floor(F.col("_i") / core), F.col("_pieces") - 1)
+    homed = rows.join(sizes, "_series").withColumn("_home", home)
+    left = F.when((F.col("_home") > 0) & (F.col("_i") < F.col("_home") * core + halo), F.col("_home") - 1)
+    right = F.when((F.col("_home") < F.col("_pieces") - 1) & (F.col("_i") >= (F.col("_home") + 1) * core - halo), F.col("_home") + 1)
+    sent = homed.withColumn("_piece", F.explode(F.array_compact(F.array(F.col("_home"), left, right))))
+    return sent.withColumn("_own", F.col("_piece") == F.col("_home")).drop("_home")
+
+
+def _long_residual(pieces: DataFrame, keys: list[str], period: int) -> DataFrame:
+    """The rows of ``pieces`` (several per series and metric) that are no halo, with the residual as ``value``.
+
+    All pieces take the same robustness rounds together: after each one the median residual of the whole series is taken by
+    Spark and goes back to its pieces, which keep weights and trend between rounds.
+    """
+    series = ["_series", "metric"]
+    groups = [*series, "_piece"]
+    spreads = pieces.filter("_own").groupBy(*series).agg((F.coalesce(F.stddev_samp("value"), F.lit(0.0)) < FLAT).alias("_flat"))
+    none = F.lit(None).cast("double")
+    state = pieces.withColumns({"_trend": F.lit(0.0), "_resid": F.lit(0.0), "_scale": none})
+
+    def step(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("bucket_ts")
+        scale = pdf["_scale"].iloc[0]
+        first = pd.isna(scale)
+        if not first and scale <= FLAT:
+            return pdf
+        y, trend, resid = (pdf[c].to_numpy(dtype=float) for c in ("value", "_trend", "_resid"))
+        season, trend = _decompose(y, np.ones(len(y)) if first else _weights(resid, scale), trend, period)
+        return pdf.assign(_trend=trend, _resid=y - season - trend)
+
+    for _ in range(OUTER + 1):
+        state = cut_lineage(spread(state, *groups).groupBy(*groups).applyInPandas(step, state.schema))
+        middle = F.percentile_approx(F.abs("_resid"), F.lit(0.5), F.lit(MEDIAN_ACCURACY))
+        scales = state.filter("_own").groupBy(*series).agg((6 * middle).alias("_s"))
+        state = state.join(scales, series).withColumn("_scale", F.col("_s")).drop("_s")
+    done = state.filter("_own").join(spreads, series)
+    return done.select(*keys, "bucket_ts", "metric", F.when(F.col("_flat"), 0.0).otherwise(F.col("_resid")).alias("value"))
+
+
+def stl_residual(grid: DataFrame, columns: Sequence[str], period: int, segment: str | None = None,
+                 piece: int = PIECE_PERIODS, halo: int = HALO_PERIODS) -> DataFrame:
+    """``<column>_resid`` for every metric; (segment, metric, piece) groups run in parallel.
+
+    A series shorter than 2 x ``piece`` periods is decomposed whole, in one task. A longer one is cut into pieces that see ``halo`` more
+    periods on both sides, whole periods each, so that the season keeps its phase. Its robustness weights compare a residual with
+    the median of the whole series. What is left of a cut fades with the halo: from 14 periods on, the result is that of
+    the whole series within a hundredth of the residuals' standard deviation.
+    """
     keys = [segment] if segment else []
-    long = grid.select(*keys, "bucket_ts", *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [*keys, "bucket_ts"], list(columns), "metric", "value")
+    rows = with_row_index(grid.select(*keys, "bucket_ts", *[F.col(c).cast("double").alias(c) for c in columns]), "bucket_ts", keys)
+    rows = rows.withColumn("_series", F.to_json(series_key(keys), {"ignoreNullFields": "false"}))
+    pieces = cut_lineage(in_pieces(rows, piece * period, halo * period).drop("_i").unpivot(
+        [*keys, "bucket_ts", "_series", "_pieces", "_piece", "_own"], list(columns), "metric", "value"))
+    whole = pieces.filter("_pieces = 1").select(*keys, "bucket_ts", "_series", "metric", "value")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("bucket_ts")
         return pdf.assign(value=residual(pdf["value"].to_numpy(), period))
 
-    done = spread(long, *keys, "metric").groupBy(*keys, "metric").applyInPandas(run, long.schema)
+    done = spread(whole, "_series", "metric").groupBy("_series", "metric").applyInPandas(run, whole.schema).drop("_series")
+    long = pieces.filter("_pieces > 1").drop("_pieces")
+    if long.limit(1).count():
+        done = done.unionByName(_long_residual(long, keys, period))
     wide = done.groupBy(*keys, "bucket_ts").agg(
         *[F.max(F.when(F.col("metric") == c, F.col("value"))).alias(f"{c}_resid") for c in columns])
-    return grid.join(wide, [*keys, "bucket_ts"])
+    if not segment:
+        return grid.join(wide, "bucket_ts")
+    wide = wide.withColumnsRenamed({segment: "_segment", "bucket_ts": "_bucket"})
+    return grid.join(wide, grid[segment].eqNullSafe(F.col("_segment")) & (grid["bucket_ts"] == F.col("_bucket"))).drop("_segment", "_bucket")

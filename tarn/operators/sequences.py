@@ -12,7 +12,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarn.session import cut_lineage
+
 CHUNK_SECONDS = 3600
+DAY_SECONDS = 86_400
 FLAT = 1e-9  # a spread below this counts as none
 
 
@@ -91,19 +94,44 @@ def latest_per_key(df: DataFrame, key: Sequence[str], ts: str) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def series_key(partition: Sequence[str]) -> Column:
+    """The columns of a series as one value, so that NULLs meet in joins; one constant without columns."""
+    return F.struct(*[F.col(c) for c in partition]) if partition else F.struct(F.lit(0).alias("k"))
+
+
+def with_row_index(df: DataFrame, order: str = "bucket_ts", partition: Sequence[str] = (), name: str = "_i",
+                   chunk: int = DAY_SECONDS) -> DataFrame:
+    """``df`` with the zero-based place of each row in its series.
+
+    Rows are numbered inside chunks of ``chunk`` seconds (numbers: units of ``order``); a table of one row per chunk tells how many
+    rows lie before it. No task sees a whole series. Rows without ``order`` come first, as one chunk. The rows are checkpointed,
+    because they are read twice.
+    """
+    timed = dict(df.dtypes)[order] in ("timestamp", "timestamp_ntz", "date")
+    unit = F.floor((F.unix_timestamp(F.col(order).cast("timestamp")) if timed else F.col(order)) / chunk)
+    rows = cut_lineage(df.withColumns({"_series": series_key(partition), "_chunk": F.struct(unit.alias("c"))}))
+    counts = rows.groupBy("_series", "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_series").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_series", "_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_series", "_chunk").orderBy(order)) - 1
+    return rows.withColumn("_at", inside).join(before, ["_series", "_chunk"]).select(
+        *df.columns, (F.col("_before") + F.col("_at")).alias(name))
+
+
 def rolling_z(df: DataFrame, columns: Mapping[str, str], order: str = "bucket_ts", rows: int = 864,
               min_rows: int = 288, partition: Sequence[str] = ()) -> DataFrame:
     """z of each column (name -> new name) against the last ``rows`` rows, itself included; 0 when undefined.
 
-    For regular series: one row per time step, so a partition grows with the time
-    span, not with the events. A sliding frame would be re-summed for every row, so
-    the series is cut into blocks of ``rows``: a window is the tail of one block plus
-    the head of the next, and both have running moments that are merged. Sample
-    standard deviation.
+    A sliding frame would be re-summed for every row, so the series is cut into blocks of
+    ``rows``: a window is the tail of one block plus the head of the next, and both have
+    running moments that are merged. Blocks are windows of their own, and the tail that belongs
+    to a row stands ``rows - 1`` places before it, that is, just before it among the places with the
+    same remainder. So one series of any length is spread over many tasks. Sample standard
+    deviation.
     """
-    series = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
-    in_order = series.orderBy(order)
-    out = df.withColumn("_i", F.row_number().over(in_order) - 1).withColumn("_block", F.floor(F.col("_i") / rows))
+    step = max(rows - 1, 1)
+    same_place = Window.partitionBy(*partition, F.col("_i") % step).orderBy("_i")
+    out = with_row_index(df, order, partition).withColumn("_block", F.floor(F.col("_i") / rows))
     head = Window.partitionBy(*partition, "_block").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
     tail = Window.partitionBy(*partition, "_block").orderBy(F.desc("_i")).rowsBetween(Window.unboundedPreceding, 0)
 
@@ -114,7 +142,7 @@ def rolling_z(df: DataFrame, columns: Mapping[str, str], order: str = "bucket_ts
 
     out = out.withColumns({f"_h_{c}": moments(c, head) for c in columns})
     out = out.withColumns({f"_t_{c}": moments(c, tail) for c in columns})
-    out = out.withColumns({f"_t_{c}": F.lag(f"_t_{c}", rows - 1).over(in_order) for c in columns})
+    out = out.withColumns({f"_t_{c}": F.lag(f"_t_{c}", min(rows - 1, 1)).over(same_place) for c in columns})
     whole = (F.col("_i") < rows) | (F.col("_i") % rows == rows - 1)
     scores = {}
     for c, name in columns.items():

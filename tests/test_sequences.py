@@ -108,3 +108,51 @@ def test_a_far_value_does_not_crowd_the_others(spark):
     sizes = [r["count"] for r in _binned(value_counts(df, "v"), [], 512).groupBy("_bin").count().collect()]
     assert max(sizes) < 60
     assert exact_quantiles(df, "v", [0.5]).first()["quantile"] == sorted(values)[2500] * 0.5 + sorted(values)[2501] * 0.5
+
+
+def test_row_index_numbers_each_series(spark):
+    rng = np.random.default_rng(11)
+    t0 = pd.Timestamp("2024-01-01")
+    rows = [(s, t0 + pd.Timedelta(minutes=int(m))) for s in ("a", "b", None) for m in np.sort(rng.choice(20_000, 300, replace=False))]
+    df = spark.createDataFrame([(s, t.to_pydatetime()) for s, t in rows], "s string, bucket_ts timestamp")
+    got = seq.with_row_index(df, "bucket_ts", ["s"]).toPandas()
+    assert len(got) == 900
+    for _, part in got.groupby("s", dropna=False):
+        assert part.sort_values("bucket_ts")["_i"].tolist() == list(range(300))
+    whole = seq.with_row_index(df.select(F.unix_timestamp("bucket_ts").alias("at")).distinct(), "at", chunk=5000).toPandas()
+    assert whole.sort_values("at")["_i"].tolist() == list(range(len(whole)))
+
+
+def test_rolling_z_of_series_with_and_without_a_name(spark):
+    rng = np.random.default_rng(12)
+    parts = []
+    for s in ("a", None):
+        y = rng.normal(size=900)
+        r = pd.Series(y).rolling(50, min_periods=8)
+        parts.append(pd.DataFrame({"s": s, "bucket_ts": pd.date_range("2024-01-01", periods=900, freq="30min"), "y": y,
+                                   "want": ((y - r.mean()) / r.std()).fillna(0.0)}))
+    df = spark.createDataFrame(pd.concat(parts).replace({np.nan: None}))
+    got = seq.rolling_z(df, {"y": "z"}, rows=50, min_rows=8, partition=["s"]).toPandas()
+    assert len(got) == 1800 and np.allclose(got["z"], got["want"], atol=1e-6)
+    one = seq.rolling_z(df.filter("s = 'a'"), {"y": "z"}, rows=1, min_rows=1).toPandas()
+    assert (one["z"] == 0).all()
+
+
+def test_long_series_in_pieces_is_close_to_the_whole(spark):
+    from tarn.operators.seasonal import residual, stl_residual
+
+    rng = np.random.default_rng(13)
+    period, n = 24, 24 * 60 + 7
+    t = np.arange(n)
+    y = 10 + 3 * np.sin(2 * np.pi * t / period) + t / 400 + rng.normal(scale=0.3, size=n)
+    y[[200, 700, 1200]] += 6
+    pdf = pd.DataFrame({"s": "a", "bucket_ts": pd.date_range("2024-01-01", periods=n, freq="h"), "y": y})
+    short = pdf.head(24 * 30).assign(s=None)
+    df = spark.createDataFrame(pd.concat([pdf, short]).replace({np.nan: None}), "s string, bucket_ts timestamp, y double")
+    got = stl_residual(df, ["y"], period, "s", piece=16, halo=14).toPandas().sort_values("bucket_ts")
+    whole = residual(y, period)
+    off = np.abs(got[got["s"] == "a"]["y_resid"].to_numpy() - whole)
+    print("largest difference", off.max(), "mean", off.mean(), "spread", whole.std())
+    assert off.max() < 0.01 * whole.std()
+    alone = got[got["s"].isna()]["y_resid"].to_numpy()
+    assert len(got) == n + 24 * 30 and np.allclose(alone, residual(y[:24 * 30], period))
