@@ -8,6 +8,7 @@ from tarn.catalog.adapters_sql import EMAILS
 from tarn.catalog.registry import query, r6
 from tarn.operators import aggregates as agg
 from tarn.operators import clusters as cl
+from tarn.operators import density as ds
 from tarn.operators import sequences as seq
 from tarn.operators import supervised as sv
 from tarn.operators import tokens as tk
@@ -191,6 +192,25 @@ def _(spark, d):
     return clustered(spark, d)
 
 
+_EPS, _CORE, _LEAST = 1.15, 4, 5
+
+
+@query("em_density_cluster_vectors", f"""WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ near AS MATERIALIZED (SELECT x.vec_id AS a, y.vec_id AS b, list_distance(x.e, y.e) AS d FROM v x JOIN v y ON list_distance(x.e, y.e) <= {_EPS}),
+ core AS MATERIALIZED (SELECT a FROM near GROUP BY a HAVING count(*) >= {_CORE}),
+ links AS MATERIALIZED (SELECT a, b FROM near WHERE a IN (FROM core) AND b IN (FROM core)),
+ reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+ named AS (SELECT a, min(b) AS cluster FROM reach GROUP BY a),
+ nearest AS (SELECT a, b, d, row_number() OVER (PARTITION BY a ORDER BY d, b) AS r FROM near WHERE b IN (FROM core)),
+ member AS (SELECT n.a, c.cluster, n.d FROM nearest n JOIN named c ON c.a = n.b WHERE n.r = 1),
+ large AS (SELECT cluster FROM member GROUP BY cluster HAVING count(*) >= {_LEAST}),
+ kept AS (SELECT * FROM member WHERE cluster IN (FROM large))
+ SELECT vec_id, coalesce(cluster, -1) AS embedding_cluster, {r6(f'CASE WHEN cluster IS NULL THEN 0 ELSE 1 - d / {_EPS} END', 'cluster_probability')}
+ FROM v LEFT JOIN kept ON a = vec_id""")
+def _(spark, d):
+    return ds.density_cluster_vectors(read_table(spark, d, "embeddings"), _EPS, _CORE, _LEAST, "vec_id")
+
+
 @query("em_cluster_profile", "WITH g AS (SELECT CASE WHEN label % 4 = 0 THEN -1 ELSE label END AS embedding_cluster FROM embeddings)"
        f" SELECT CAST(embedding_cluster AS BIGINT) AS embedding_cluster, count(*) AS n_rows, {r6('CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM g)', 'share')}"
        " FROM g GROUP BY embedding_cluster")
