@@ -4,7 +4,8 @@ Equal values are counted first. The distinct values are dealt to bins whose edge
 are approximate quantiles of them, so far values do not crowd the rest into one
 bin; a short table of bin totals gives the number of rows before each bin, and only
 inside a bin are values ordered. A group of any size is therefore ranked by many
-tasks, and the result is exact whatever the edges.
+tasks, and the result is exact whatever the edges. A group with few distinct values is
+one bin and has no edges, so that many small groups bring no table of edges.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 512
+WHOLE = 8           # a group of up to WHOLE x bins distinct values stays one bin
+EDGE_ROWS = 4_096   # edges of more groups than this are not broadcast (16 MB at 512 bins)
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -29,12 +32,12 @@ def _binned(counts: DataFrame, by: Sequence[str], bins: int) -> DataFrame:
     by = list(by)
     bits = max(1, (bins - 1).bit_length())
     shares = [i / 2 ** bits for i in range(1, 2 ** bits)]
-    span = counts.groupBy(*by).agg(F.percentile_approx("value", shares, 10 * 2 ** bits).alias("_edges"), F.sum("n").alias("total"))
+    edges = F.percentile_approx("value", shares, 10 * 2 ** bits).alias("_edges")
     if by:
-        placed = lookup(counts, span, by)
+        span = counts.groupBy(*by).agg(edges, F.count(F.lit(1)).alias("_values")).filter(F.col("_values") > WHOLE * bins).drop("_values")
+        placed = lookup(counts, span, by, max_rows=EDGE_ROWS)
     else:
-        bounds = span.select(F.struct("_edges", "total").alias("s")).scalar()
-        placed = counts.withColumn("_s", bounds).select("*", "_s._edges", "_s.total").drop("_s")
+        placed = counts.withColumn("_edges", counts.select(edges).scalar())
     placed = placed.withColumn("_bin", F.lit(0))
     for bit in range(bits - 1, -1, -1):  # binary search: the number of edges up to the value
         ahead = F.col("_bin") + 2 ** bit
@@ -48,7 +51,8 @@ def ranked(counts: DataFrame, by: Sequence[str] = (), bins: int = BINS) -> DataF
     binned = _binned(counts, by, bins)
     totals = binned.groupBy(*by, "_bin").agg(F.sum("n").alias("_in_bin"))
     across = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    before = totals.select(*by, "_bin", (F.sum("_in_bin").over(across.orderBy("_bin")) - F.col("_in_bin")).alias("_before"))
+    before = totals.select(*by, "_bin", (F.sum("_in_bin").over(across.orderBy("_bin")) - F.col("_in_bin")).alias("_before"),
+                           F.sum("_in_bin").over(across).alias("total"))
     inside = Window.partitionBy(*by, "_bin").orderBy("value")
     return binned.join(before, [*by, "_bin"]).withColumn(
         "upto", F.col("_before") + F.sum("n").over(inside)).select(

@@ -81,6 +81,21 @@ def test_quantiles_with_hot_values(spark):
     assert flag_quantile(df, "v", 0.9).agg(F.sum("is_flagged")).first()[0] == int((pdf["v"] > one).sum())
 
 
+def test_many_small_groups_bring_no_table_of_edges(spark, monkeypatch):
+    from tarn.operators import joins
+    from tarn.operators.quantiles import _binned
+
+    seen = []
+    kept = joins.lookup
+    monkeypatch.setattr(joins, "lookup", lambda facts, reference, *a, **b: seen.append(reference.count()) or kept(facts, reference, *a, **b))
+    df = spark.createDataFrame([(i % 300, float(i)) for i in range(3000)] + [(999, float(i)) for i in range(2000)], "g long, v double")
+    got = {r["g"]: r["quantile"] for r in exact_quantiles(df, "v", [0.25], ["g"], bins=16).collect()}
+    assert got[999] == np.quantile(np.arange(2000.0), 0.25) and got[7] == np.quantile(np.arange(7.0, 3000, 300), 0.25) and len(got) == 301
+    assert seen == [1]  # edges of the large group alone
+    sizes = _binned(value_counts(df, "v", ["g"]), ["g"], 16).filter("g = 999").groupBy("_bin").count().toPandas()["count"]
+    assert len(sizes) == 16 and sizes.max() < 200
+
+
 def test_flags_of_several_columns(spark):
     df = spark.createDataFrame([(float(i), float(-i)) for i in range(101)], "a double, b double")
     got = flag_quantiles(df, {"a": "fa", "b": "fb"}, 0.95).agg(F.sum("fa"), F.sum("fb"), F.sum(F.col("fa") * F.col("fb"))).first()
