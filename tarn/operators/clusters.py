@@ -7,12 +7,13 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarn.operators.tokens import tokens
+from tarn.operators.tokens import split_repeated, tokens, word_rows
 from tarn.session import cut_lineage
 
 WIDTH = 384
@@ -34,11 +35,43 @@ def embed(df: DataFrame, encoder: Callable[[Sequence[str]], np.ndarray], id_col:
 
 
 def embed_hashed(df: DataFrame, id_col: str = "email_id", text: str = "body", width: int = WIDTH) -> DataFrame:
-    """Built-in encoder without a model file: words hashed with a sign into ``width`` sums, unit length."""
+    """Built-in encoder without a model file: words hashed with a sign into ``width`` sums, unit length.
+
+    Texts whose id occurs once are summed inside their rows; rows that share an id get the vector of all its texts, rows without an id zeros.
+    """
+    once, again = split_repeated(df.select(id_col, text), id_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                marks = batch.column(1)
+                doc = np.repeat(np.arange(len(marks)), marks.value_lengths().to_numpy())
+                mark = marks.flatten().to_numpy()  # slot + 1, negative for words that are subtracted
+                sums = np.bincount(doc * width + np.abs(mark) - 1, weights=np.sign(mark), minlength=len(marks) * width).reshape(-1, width)
+                norm = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+                unit = np.divide(sums, norm, out=np.zeros_like(sums), where=norm > 0).astype(np.float32)
+                ends = pa.array(np.arange(len(marks) + 1, dtype=np.int32) * width)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(unit.ravel()))], names=[id_col, "embedding"])
+
+    marks = F.transform("words", lambda w: F.when(_sign(w) > 0, _slot(w, width) + 1).otherwise(-1 - _slot(w, width)))
+    listed = word_rows(once, id_col, text).select(id_col, marks.alias("marks"))
+    out = listed.mapInArrow(run, f"{id_col} {dict(df.dtypes)[id_col]}, embedding array<float>")
+    return out if again is None else out.unionByName(_embed_by_id(again, id_col, text, width))
+
+
+def _slot(word: Column, width: int) -> Column:
+    return F.pmod(F.xxhash64(word, F.lit("slot")), F.lit(width)).cast("int")
+
+
+def _sign(word: Column) -> Column:
+    return F.when(F.pmod(F.xxhash64(word, F.lit("sign")), F.lit(2)) == 0, 1.0).otherwise(-1.0)
+
+
+def _embed_by_id(df: DataFrame, id_col: str, text: str, width: int) -> DataFrame:
+    """The vectors of ``embed_hashed`` from one long table of words, grouped by id."""
     word = F.col("term")
-    slot = F.pmod(F.xxhash64(word, F.lit("slot")), F.lit(width)).cast("int")
-    sign = F.when(F.pmod(F.xxhash64(word, F.lit("sign")), F.lit(2)) == 0, 1.0).otherwise(-1.0)
-    sums = tokens(df, id_col, text, 1).groupBy(id_col, slot.alias("slot")).agg(F.sum(sign).alias("v"))
+    sums = tokens(df, id_col, text, 1).groupBy(id_col, _slot(word, width).alias("slot")).agg(F.sum(_sign(word)).alias("v"))
     # lengths are taken on the long rows: inside a list expression they would be recomputed per element
     norm = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy(id_col)))
     unit = sums.withColumn("u", F.when(norm > 0, F.col("v") / norm).otherwise(F.lit(0.0)))

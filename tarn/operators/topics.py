@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -251,10 +252,17 @@ def count_vectors(df: DataFrame, terms: str, vocab: DataFrame, name: str = "feat
 
 
 def lda_fit(vectors: DataFrame, k: int = 6, passes: int = 50, seed: int = 42):
-    """Online LDA with fixed priors; every iteration sees all texts, so ``passes`` is the number of passes over them."""
+    """Online LDA with fixed priors; every iteration sees all texts, so ``passes`` is the number of passes over them.
+
+    The vectors are dealt evenly and kept for the passes.
+    """
     lda = LDA(k=k, maxIter=passes, subsamplingRate=1.0, optimizer="online", optimizeDocConcentration=False,
               docConcentration=[0.1] * k, topicConcentration=0.01, learningOffset=50.0, seed=seed, featuresCol="features")
-    return lda.fit(vectors)
+    kept, wanted = vectors.select("features"), 2 * vectors.sparkSession.sparkContext.defaultParallelism
+    kept = (kept if kept.rdd.getNumPartitions() >= wanted else kept.repartition(wanted)).persist()
+    model = lda.fit(kept)
+    kept.unpersist()
+    return model
 
 
 def lda_topics(model, vectors: DataFrame, id_col: str = "email_id") -> DataFrame:
@@ -267,8 +275,9 @@ def lda_topics(model, vectors: DataFrame, id_col: str = "email_id") -> DataFrame
 
 def lda_quality(model, vectors: DataFrame) -> DataFrame:
     """(log_likelihood, log_perplexity, perplexity): MLlib's variational bounds over the texts with terms."""
-    seen = vectors.filter(F.size(F.filter(vector_to_array("features"), lambda x: x > 0)) > 0)
-    bound, rate = model.logLikelihood(seen), model.logPerplexity(seen)
+    seen = vectors.filter(F.array_max(vector_to_array("features")) > 0)
+    bound, per_term = model.logLikelihood(seen), seen.agg(Summarizer.sum(F.col("features"))).first()[0]
+    rate = -bound / float(per_term.toArray().sum())  # as ``logPerplexity``, which would take the bound once more
     return vectors.sparkSession.createDataFrame([(bound, rate, float(np.exp(rate)))], "log_likelihood double, log_perplexity double, perplexity double")
 
 

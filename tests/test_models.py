@@ -283,3 +283,42 @@ def test_one_search_gives_both_scores(spark):
     lof = {r["id"]: r["lof"] for r in nb.lof_score(df, "id", "v", 9).collect()}
     assert both.keys() == knn.keys() == lof.keys()
     assert all(both[i] == pytest.approx((knn[i], lof[i])) for i in both)
+
+
+def test_texts_counted_in_their_rows_equal_the_long_tables(spark, monkeypatch):
+    """Repeated ids, missing ids, texts without terms; the ids that occur once take no part in the long tables."""
+    from tarn.catalog import texts
+    from tarn.operators import clusters as cl
+    from tarn.operators import tokens as tk
+
+    rng = np.random.default_rng(4)
+    words = ["alpha", "beta", "gamma", "delta", "omega", "the", "x", "sigma7"]
+    rows = [(i, " ".join(rng.choice(words, rng.integers(1, 40)))) for i in range(60)]
+    rows += [(3, "alpha beta beta"), (3, "alpha omega"), (None, "beta gamma"), (None, "gamma"), (900, ""), (901, None), (902, "the")]
+    rows += [(903, "See HTTP://a.b/c?d www.x\x0by.z me@ex.co\u212a \u0130stanbul na\u00efve\u2003\u00a0one\x0btwo it's x9_y\n\nTab\there  \u00c5ngstr\u00f6m http a@b c@d. e@f.g."),
+             (904, "www. http: @a.b a@.b. \x85 end\x1cof\x0cfile \ufeffbom \U0001d4d0script caf\u00e9s")]
+    docs = spark.createDataFrame(rows, "email_id long, body string")
+    monkeypatch.setattr(texts, "emails", lambda spark, d: docs)
+    monkeypatch.setattr(tk, "SLICE_BYTES", 200)
+    seen, plain = [], tk.term_counts
+    monkeypatch.setattr(tk, "term_counts", lambda tok, *a: seen.extend(r[0] for r in tok.select("email_id").distinct().collect()) or plain(tok, *a))
+    c = texts.Corpus(spark, "")
+    assert set(seen) == {3, None}
+    counts = plain(tk.tokens(docs))
+    vocab = tk.vocabulary(counts, len(rows))
+    key = lambda df, *cols: sorted(((tuple(r)) for r in df.select(*cols).collect()), key=str)
+    assert key(c.vocab, "term_id", "term", "df", "total") == key(vocab, "term_id", "term", "df", "total")
+    matrix = tk.count_matrix(counts, vocab)
+    assert key(c.matrix, "email_id", "term_id", "term", "tf", "df") == key(matrix, "email_id", "term_id", "term", "tf", "df")
+    weights = tk.tfidf(matrix, F.lit(len(rows)))
+    rounded = ("email_id", "term_id", "term", F.round("tfidf", 12))
+    assert key(c.tfidf(), *rounded) == key(weights, *rounded)
+    old = tk.every_document(tk.document_rows(weights), docs)
+    short = ("email_id", "idx", F.transform("val", lambda v: F.round(v, 12)))
+    assert key(c.rows(), *short) == key(old, *short)
+    figures = tk.tokens(docs).groupBy("email_id").agg(F.count("term").alias("n_terms"), F.countDistinct("term").alias("n_distinct"),
+                                                      F.min("term").alias("first_term"), F.max("term").alias("last_term"))
+    assert key(tk.term_figures(docs), *figures.columns) == key(figures, *figures.columns)
+    assert key(cl.embed_hashed(docs, width=32), "email_id", "embedding") == key(cl._embed_by_id(docs, "email_id", "body", 32), "email_id", "embedding")
+    plan = tk.term_figures(docs.filter("email_id > 3"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # texts with ids of their own are not shuffled
