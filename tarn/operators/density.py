@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.operators.clusters import connected_components
-from tarn.operators.neighbours import _distances, _matrix, metric_tree
+from tarn.operators.neighbours import _distances, _matrix, _pair_distances, _squares, metric_tree
 from tarn.operators.tails import join_by_value
 from tarn.session import cut_lineage, spread
 
@@ -37,6 +37,16 @@ def _near_leaves(leaves: pd.DataFrame, centres: dict[int, np.ndarray], eps: floa
     return pd.DataFrame({"leaf": np.concatenate(home), "target_leaf": np.concatenate(target)})
 
 
+def _within(x: pd.DataFrame, y: pd.DataFrame, eps: float) -> np.ndarray:
+    """Which vectors of ``y`` lie within eps of each vector of ``x``; pairs near the limit are decided by plain differences."""
+    a, b = _matrix(x["vec"]), _matrix(y["vec"])
+    d, slack = _squares(a, b)
+    out = d <= eps * eps
+    i, j = np.nonzero(np.abs(d - eps * eps) <= slack + 1e-12 * eps * eps)
+    out[i, j] = _pair_distances(a[i], b[j]) <= eps
+    return out
+
+
 def _components(near: np.ndarray) -> np.ndarray:
     """The number of the first member of each row's component, by frontiers over a symmetric matrix."""
     label = np.full(len(near), -1)
@@ -103,26 +113,40 @@ def density_cluster_vectors(df: DataFrame, eps: float, min_samples: int = 15, mi
         return _distances(_matrix(x["vec"]), _matrix(y["vec"]))
 
     def crowd(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"vid": x["vid"], "crowd": (close(x, y) <= eps) @ y["n"].to_numpy(np.int64)})
+        return pd.DataFrame({"vid": x["vid"], "crowd": _within(x, y, eps) @ y["n"].to_numpy(np.int64)})
+
+    def at_home(pdf: pd.DataFrame) -> pd.DataFrame:
+        return crowd(pdf, pdf)
 
+    # a vector that has enough rows around it in its own block is a core point; only the others meet further blocks
     open_ = blocks.filter(~F.col("dense")).select("vid", "vec", "block")
-    counted = _meet(open_, blocks.select("vec", "n", "block"), pairs.filter(~F.col("home_dense")).select("home", "target"), crowd, "vid long, crowd long")
+    inside = cut_lineage(spread(blocks.filter(~F.col("dense")), "block").groupBy("block").applyInPandas(at_home, "vid long, crowd long"))
+    sure = inside.filter(F.col("crowd") >= min_samples).select("vid")
+    unsure = open_.join(sure, "vid", "left_anti")
+    counted = _meet(unsure, blocks.select("vec", "n", "block"), pairs.filter(~F.col("home_dense")).select("home", "target"), crowd, "vid long, crowd long")
     core_ids = counted.groupBy("vid").agg(F.sum("crowd").alias("crowd")).filter(F.col("crowd") >= min_samples).select("vid")
-    core_ids = cut_lineage(core_ids.union(blocks.filter("dense").select("vid")))
+    core_ids = cut_lineage(core_ids.union(sure).union(blocks.filter("dense").select("vid")))
     core = blocks.join(core_ids, "vid")
 
     def parts(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vid")
         if pdf["dense"].iloc[0]:
             return pdf[["vid", "vec", "leaf", "block"]].assign(part=pdf["least"])
-        return pdf[["vid", "vec", "leaf", "block"]].assign(part=pdf["vid"].to_numpy()[_components(close(pdf, pdf) <= eps)])
+        return pdf[["vid", "vec", "leaf", "block"]].assign(part=pdf["vid"].to_numpy()[_components(_within(pdf, pdf, eps))])
 
     core = cut_lineage(spread(core, "block").groupBy("block").applyInPandas(parts, "vid long, vec array<double>, leaf int, block string, part long"))
 
     def links(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        a, b = np.nonzero(close(x, y) <= eps)
-        found = np.unique(np.stack([x["part"].to_numpy()[a], y["part"].to_numpy()[b]], axis=1), axis=0)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+        names_a, a = np.unique(x["part"].to_numpy(), return_inverse=True)
+        names_b, b = np.unique(y["part"].to_numpy(), return_inverse=True)
+        found = np.zeros((len(names_a), len(names_b)), bool)
+        for i in range(0, len(x), 64):  # until all parts are linked: a few rows are enough for parts that lie in each other
+            r, c = np.nonzero(_within(x.iloc[i:i + 64], y, eps))
+            found[a[i + r], b[c]] = True
+            if found.all():
+                break
+        r, c = np.nonzero(found)
+        return pd.DataFrame({"a": names_a[r], "b": names_b[c]})
 
     across = pairs.filter((F.col("home") < F.col("target")) & ~((F.col("leaf") == F.col("target_leaf")) & F.col("home_dense"))).select("home", "target")
     side = core.select("vec", "part", "block")

@@ -22,6 +22,8 @@ from tarn.operators.tails import join_by_value
 from tarn.session import cut_lineage, spread
 
 BLOCK_ROWS = 2048
+TILE_BYTES = 16 << 20  # vectors of a group of blocks; two groups meet in a task
+TILE_SHARE = 8         # groups at least, if there are as many blocks
 MAX_PIVOTS = 256
 MAX_LEAVES = 2048
 FAN = 32
@@ -48,16 +50,80 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _nearest(q_ids, q, t_ids, t, k: int) -> pd.DataFrame:
-    """The k nearest targets of every query by (distance, id), the query itself left out."""
-    d = _distances(q, t)
-    d[q_ids[:, None] == t_ids[None, :]] = np.inf
-    order = np.argsort(t_ids, kind="stable")
-    d, t_ids = d[:, order], t_ids[order]
-    top = np.argsort(d, axis=1, kind="stable")[:, :k]
-    dist = np.take_along_axis(d, top, axis=1)
-    out = pd.DataFrame({"vid": np.repeat(q_ids, top.shape[1]), "nbr": t_ids[top].ravel(), "dist": dist.ravel()})
-    return out[np.isfinite(out["dist"])]
+def _squares(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, float]:
+    """Squared distances as one matrix product, and a bound of what rounding can have changed. Only for sorting out: what
+    lies within the bound of a limit is to be decided by ``_pair_distances``. Rows that are not finite give NaN or infinity."""
+    whole_a, whole_b = np.isfinite(a).all(axis=1), np.isfinite(b).all(axis=1)
+    middle = b[whole_b].mean(axis=0) if whole_b.any() else np.zeros(b.shape[1])
+    a, b = a - middle, b - middle
+    aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    out = a @ b.T
+    out *= -2.0
+    out += aa[:, None]
+    out += bb[None, :]
+    size = float(aa[whole_a].max(initial=0.0)) + float(bb[whole_b].max(initial=0.0)) + float((middle * middle).sum())
+    return out, 32 * (a.shape[1] + 8) * np.finfo(float).eps * size
+
+
+def _pair_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of row i of ``a`` and row i of ``b`` by plain differences."""
+    out = np.empty(len(a))
+    step = max(1, 4_000_000 // max(1, a.shape[1]))
+    for i in range(0, len(a), step):
+        diff = a[i:i + step] - b[i:i + step]
+        out[i:i + step] = np.sqrt(np.einsum("ik,ik->i", diff, diff))
+    return out
+
+
+def _own_reach(x: np.ndarray, k: int) -> np.ndarray:
+    """An upper bound of every vector's distance to its k-th nearest other vector of the block."""
+    if len(x) <= k:
+        return np.full(len(x), np.inf)
+    d, slack = _squares(x, x)
+    np.fill_diagonal(d, np.inf)
+    reach = np.sqrt(np.maximum(np.partition(d, k - 1, axis=1)[:, k - 1], 0.0) + slack)
+    return np.where(np.isnan(reach), np.inf, reach)
+
+
+class _Nearest:
+    """The k nearest targets of every query by (distance, id), kept while block after block of targets is looked at."""
+
+    def __init__(self, ids: np.ndarray, q: np.ndarray, reach: np.ndarray, k: int):
+        self.ids, self.q, self.reach, self.k = ids, q, reach.copy(), k
+        self.row, self.nbr, self.dist = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def look(self, ids: np.ndarray, t: np.ndarray, centre: np.ndarray, radius: np.ndarray) -> None:
+        near = _distances(self.q, centre[None, :])[:, 0]
+        rows = np.flatnonzero((near - np.nanmax(radius) <= self.reach) & (np.nanmin(radius) - near <= self.reach))
+        step = max(1, 8_000_000 // max(1, len(t)))
+        for i in range(0, len(rows), step):
+            at = rows[i:i + step]
+            d, slack = _squares(self.q[at], t)
+            limit = np.square(self.reach[at])[:, None] * (1 + 1e-12) + slack
+            if len(t) > self.k + 1:  # the query itself may be among them
+                limit = np.minimum(limit, np.partition(d, self.k, axis=1)[:, self.k:self.k + 1] + 2 * slack) if not np.isfinite(limit).all() else limit
+            r, c = np.nonzero(d <= limit)
+            r = at[r]
+            other = self.ids[r] != ids[c]
+            r, c = r[other], c[other]
+            self._add(r, ids[c], _pair_distances(self.q[r], t[c]))
+
+    def _add(self, row: np.ndarray, nbr: np.ndarray, dist: np.ndarray) -> None:
+        touched = np.zeros(len(self.ids), bool)
+        touched[row] = True
+        own = touched[self.row]
+        row, nbr, dist = np.r_[self.row[own], row], np.r_[self.nbr[own], nbr], np.r_[self.dist[own], dist]
+        order = np.lexsort((nbr, dist, row))
+        row, nbr, dist = row[order], nbr[order], dist[order]
+        first = np.searchsorted(row, row)
+        keep = np.arange(len(row)) - first < self.k
+        row, nbr, dist, place = row[keep], nbr[keep], dist[keep], (np.arange(len(row)) - first)[keep]
+        last = place == self.k - 1
+        self.reach[row[last]] = np.minimum(self.reach[row[last]], dist[last])
+        self.row, self.nbr, self.dist = np.r_[self.row[~own], row], np.r_[self.nbr[~own], nbr], np.r_[self.dist[~own], dist]
+
+    def found(self) -> pd.DataFrame:
+        return pd.DataFrame({"vid": self.ids[self.row], "nbr": self.nbr, "dist": self.dist})
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -144,6 +210,14 @@ def meetings(bounded: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
         blocks.select(F.col("leaf").alias("target_leaf"), F.col("block").alias("target")), "target_leaf").select("home", "target")
 
 
+def block_groups(blocks: DataFrame, width: int, block_rows: int) -> DataFrame:
+    """(block, grp): neighbouring blocks, in the order of their leaves, in groups of a bounded number of vectors. One row per block."""
+    listed = blocks.groupBy("leaf", "block").agg(F.count(F.lit(1)).alias("c")).orderBy("leaf", "block").toPandas()
+    before = listed["c"].cumsum() - listed["c"]
+    rows = max(block_rows, min(TILE_BYTES // (8 * max(1, width)), -(-int(listed["c"].sum()) // TILE_SHARE)))
+    return blocks.sparkSession.createDataFrame(pd.DataFrame({"block": listed["block"], "grp": (before // rows).astype("int32")}), "block string, grp int")
+
+
 def vector_neighbours(vectors: DataFrame, k: int, seed: int = 42, block_rows: int = BLOCK_ROWS,
                       pivots: int | None = None) -> DataFrame:
     """(vid, nbr, dist, rank): the k nearest other vectors of each distinct vector, ties by id."""
@@ -157,33 +231,28 @@ def vector_neighbours(vectors: DataFrame, k: int, seed: int = 42, block_rows: in
         "block", F.concat_ws("_", "leaf", F.pmod(F.xxhash64("vid"), F.coalesce("lanes", F.lit(1))))).drop("lanes")
 
     def at_home(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, x = pdf["vid"].to_numpy(), _matrix(pdf["vec"])
-        d = _distances(x, x)
-        np.fill_diagonal(d, np.inf)
-        reach = np.sort(d, axis=1)[:, k - 1] if len(ids) > k else np.full(len(ids), np.inf)
-        return pd.DataFrame({"vid": ids, "vec": pdf["vec"], "leaf": pdf["leaf"], "radius": pdf["radius"],
-                             "block": pdf["block"], "reach": reach})
+        return pdf[["vid", "vec", "leaf", "radius", "block"]].assign(reach=_own_reach(_matrix(pdf["vec"]), k))
 
     bounded = cut_lineage(spread(placed, "block").groupBy("block").applyInPandas(
         at_home, "vid long, vec array<double>, leaf int, radius double, block string, reach double"))
-    pairs = cut_lineage(meetings(bounded, centres))
+    groups = block_groups(bounded, len(next(iter(centres.values()))), block_rows)
+    linked = meetings(bounded, centres).join(F.broadcast(groups.withColumnsRenamed({"block": "home", "grp": "home_grp"})), "home").join(
+        F.broadcast(groups.withColumnsRenamed({"block": "target", "grp": "target_grp"})), "target")
+    pairs = cut_lineage(linked.select(F.col("home_grp").alias("home"), F.col("target_grp").alias("target")).distinct())
+    grouped = bounded.join(F.broadcast(groups), "block")
     shared = spark.sparkContext.broadcast(centres)
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"vid": pd.Series(dtype="int64"), "nbr": pd.Series(dtype="int64"), "dist": pd.Series(dtype=float)})
         if not len(left) or not len(right):
-            return empty
-        q, t = _matrix(left["vec"]), _matrix(right["vec"])
-        near = _distances(q, shared.value[int(right["leaf"].iloc[0])][None, :])[:, 0]
-        keep = (near - right["radius"].max() <= left["reach"].to_numpy()) & (
-            right["radius"].min() - near <= left["reach"].to_numpy())
-        if not keep.any():
-            return empty
-        return _nearest(left["vid"].to_numpy()[keep], q[keep], right["vid"].to_numpy(), t, k)
-
-    queries = bounded.select(F.col("block").alias("home"), "vid", "vec", "reach").join(pairs, "home")
-    other = bounded.select(F.col("block").alias("to_target"), *[F.col(c).alias(c) for c in ("vid", "vec", "leaf", "radius")])
-    targets = other.join(pairs.select(F.col("home").alias("to_home"), F.col("target").alias("to_target")), "to_target")
+            return pd.DataFrame({"vid": pd.Series(dtype="int64"), "nbr": pd.Series(dtype="int64"), "dist": pd.Series(dtype=float)})
+        nearest = _Nearest(left["vid"].to_numpy(), _matrix(left["vec"]), left["reach"].to_numpy(), k)
+        for _, block in right.groupby("block", sort=True):
+            nearest.look(block["vid"].to_numpy(), _matrix(block["vec"]), shared.value[int(block["leaf"].iloc[0])], block["radius"].to_numpy())
+        return nearest.found()
+
+    queries = grouped.select(F.col("grp").alias("home"), "vid", "vec", "reach").join(F.broadcast(pairs), "home")
+    targets = grouped.select(F.col("grp").alias("to_target"), *[F.col(c).alias(c) for c in ("block", "vid", "vec", "leaf", "radius")]).join(
+        F.broadcast(pairs.select(F.col("home").alias("to_home"), F.col("target").alias("to_target"))), "to_target")
     met = spread(queries, "home", "target").groupBy("home", "target")
     found = met.cogroup(spread(targets, "to_home", "to_target").groupBy("to_home", "to_target")).applyInPandas(
         meet, "vid long, nbr long, dist double")

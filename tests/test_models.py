@@ -322,3 +322,23 @@ def test_texts_counted_in_their_rows_equal_the_long_tables(spark, monkeypatch):
     assert key(cl.embed_hashed(docs, width=32), "email_id", "embedding") == key(cl._embed_by_id(docs, "email_id", "body", 32), "email_id", "embedding")
     plan = tk.term_figures(docs.filter("email_id > 3"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan  # texts with ids of their own are not shuffled
+
+
+def test_neighbours_far_from_the_origin_and_over_many_groups(spark, monkeypatch):
+    """Matrix products only sort out: ties, tiny gaps far from 0 and vectors of many groups come out as by plain differences."""
+    rng = np.random.default_rng(8)
+    x = np.r_[rng.normal(size=(300, 6)), rng.integers(0, 3, (100, 6)), 1e6 + rng.normal(0, 1e-3, (100, 6))]
+    x = np.unique(x, axis=0)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vid long, vec array<double>")
+    monkeypatch.setattr(nb, "TILE_SHARE", 5)
+    seen, plain = [], nb._distances
+    got = nb.vector_neighbours(df, 7, block_rows=16).toPandas().sort_values(["vid", "rank"])
+    d = plain(x, x)
+    np.fill_diagonal(d, np.inf)
+    order = np.argsort(d, axis=1, kind="stable")[:, :7]
+    assert got["nbr"].tolist() == order.ravel().tolist()
+    assert np.allclose(got["dist"], np.take_along_axis(d, order, axis=1).ravel(), rtol=1e-12, atol=0)
+    found = nb._Nearest(np.arange(200), x[:200], np.full(200, np.inf), 7)
+    monkeypatch.setattr(nb, "_distances", lambda a, b: seen.append(a.shape[0] * b.shape[0]) or plain(a, b))
+    found.look(np.arange(len(x)), x, x.mean(axis=0), np.array([0.0, 1e9]))
+    assert sum(seen) <= 200 and len(found.found()) == 1400  # plain differences to the centre alone
