@@ -3,9 +3,9 @@
 Vectors are reduced to distinct ones, so any number of exact copies costs one
 row. Every vector goes down a tree of vantage points to a leaf with a centre and a
 radius of its own, which holds a bounded block of vectors. Blocks meet only when the
-triangle inequality cannot rule it out, each meeting is one bounded numpy task, and it
-returns at most k rows per vector. No pair of vectors is ever emitted just to be
-filtered later.
+triangle inequality cannot rule it out, in groups of bounded size. A group first meets itself,
+which bounds the reach of its vectors; then each pair of groups meets once, for both sides, in one bounded numpy
+task that returns at most k neighbours per vector. No pair of vectors is ever emitted just to be filtered later.
 """
 
 from __future__ import annotations
@@ -22,12 +22,14 @@ from tarn.operators.tails import join_by_value
 from tarn.session import cut_lineage, spread
 
 BLOCK_ROWS = 2048
-TILE_BYTES = 16 << 20  # vectors of a group of blocks; two groups meet in a task
+TILE_BYTES = 32 << 20  # vectors of a group of blocks; two groups meet in a task
 TILE_SHARE = 8         # groups at least, if there are as many blocks
 MAX_PIVOTS = 256
 MAX_LEAVES = 2048
 FAN = 32
 TINY = 1e-10
+STRIP = 256    # rows of a tile whose squares are in hand at once
+SLACK = 1e-9   # balls reach a little further, so that rounding loses no pair
 
 
 def distinct_vectors(df: DataFrame, id_col: str, vec: str, k: int) -> DataFrame:
@@ -85,30 +87,111 @@ def _own_reach(x: np.ndarray, k: int) -> np.ndarray:
     return np.where(np.isnan(reach), np.inf, reach)
 
 
+def _close(a: np.ndarray, b: np.ndarray, row_limit: np.ndarray | None, col_limit: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows of ``a``, rows of ``b``) whose squared distance may be within the row's limit or the column's; no pair within one is left out.
+
+    The squares come from one matrix product per tile, in single precision where its rounding is small against the limits.
+    """
+    limits = [x for x in (row_limit, col_limit) if x is not None]
+    middle = b.mean(axis=0)
+    with np.errstate(all="ignore"):
+        x, y = a - middle, b - middle
+        xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+        size = float(xx.max(initial=0.0)) + float(yy.max(initial=0.0))
+        slack = 32 * (a.shape[1] + 8) * np.finfo(float).eps * (size + float((middle * middle).sum()))
+        single = slack + 4 * (a.shape[1] + 8) * float(np.finfo(np.float32).eps) * size
+    if not np.isfinite(slack):  # vectors that hold infinity or NaN, or overflow
+        for i in range(0, len(a), STRIP):
+            d, slack = _squares(a[i:i + STRIP], b)
+            keep = np.zeros(d.shape, bool)
+            if row_limit is not None:
+                keep |= d <= row_limit[i:i + STRIP, None] + slack
+            if col_limit is not None:
+                keep |= d <= col_limit[None, :] + slack
+            r, c = np.nonzero(keep)
+            yield r + i, c
+        return
+    kind, slack = (np.float32, single) if 1e-20 < size < 1e30 and single <= 0.01 * min(float(np.median(v)) for v in limits) else (float, slack)
+    x, y = x.astype(kind), y.astype(kind)
+    xx, yy = np.einsum("ij,ij->i", x, x, dtype=float), np.einsum("ij,ij->i", y, y, dtype=float)
+    left = np.column_stack([-2 * x, xx, np.ones(len(x))]).astype(kind)  # left @ right = squares
+    right = np.ascontiguousarray(np.column_stack([y, np.ones(len(y)), yy]).astype(kind).T)
+    rows, cols = ((None if v is None else (v + slack).astype(kind)) for v in (row_limit, col_limit))
+    d, keep, more = np.empty((STRIP, len(b)), kind), np.zeros(-(-STRIP * len(b) // 8) * 8, bool), np.empty((STRIP, len(b)), bool)
+    for i in range(0, len(a), STRIP):
+        n = min(STRIP, len(a) - i)
+        np.matmul(left[i:i + n], right, out=d[:n])
+        here = keep[:n * len(b)].reshape(n, len(b))
+        keep[n * len(b):] = False
+        if rows is None:
+            np.less_equal(d[:n], cols[None, :], out=here)
+        else:
+            np.less_equal(d[:n], rows[i:i + n, None], out=here)
+            if cols is not None:
+                np.logical_or(here, np.less_equal(d[:n], cols[None, :], out=more[:n]), out=here)
+        eights = np.flatnonzero(keep.view(np.uint64))  # few pairs are kept, so eight marks are looked at together
+        if len(eights):
+            e, bit = np.nonzero(keep.reshape(-1, 8)[eights])
+            flat = eights[e] * 8 + bit
+            yield flat // len(b) + i, flat % len(b)
+
+
 class _Nearest:
-    """The k nearest targets of every query by (distance, id), kept while block after block of targets is looked at."""
+    """The k nearest targets of every query by (distance, id), kept while block after block of targets is looked at.
+
+    Pairs found are noted and merged when there are many, so that the reach of the queries shrinks on the way.
+    """
 
     def __init__(self, ids: np.ndarray, q: np.ndarray, reach: np.ndarray, k: int):
         self.ids, self.q, self.reach, self.k = ids, q, reach.copy(), k
         self.row, self.nbr, self.dist = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.noted: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def within(self, rows: np.ndarray, centre: np.ndarray, low: float, high: float) -> np.ndarray:
+        """Those of ``rows`` that may have neighbours in a ball, whose members are between ``low`` and ``high`` from its centre."""
+        near = _distances(self.q[rows], centre[None, :])[:, 0]
+        reach = self.reach[rows] + SLACK * (near + high)
+        return rows[(near - high <= reach) & (low - near <= reach)]
+
+    def limit(self, rows: np.ndarray) -> np.ndarray:
+        return np.square(self.reach[rows]) * (1 + 1e-12)
 
     def look(self, ids: np.ndarray, t: np.ndarray, centre: np.ndarray, radius: np.ndarray) -> None:
-        near = _distances(self.q, centre[None, :])[:, 0]
-        rows = np.flatnonzero((near - np.nanmax(radius) <= self.reach) & (np.nanmin(radius) - near <= self.reach))
+        rows = self.within(np.arange(len(self.ids)), centre, np.nanmin(radius), np.nanmax(radius))
+        bounded = np.isfinite(self.reach[rows])
+        self._first(rows[~bounded], ids, t)
+        rows = rows[bounded]
+        if len(rows):
+            for r, c in _close(self.q[rows], t, self.limit(rows), None):
+                self.note(rows[r], ids[c], _pair_distances(self.q[rows[r]], t[c]))
+
+    def _first(self, rows: np.ndarray, ids: np.ndarray, t: np.ndarray) -> None:
+        """Targets for queries without a bound: the k + 1 nearest, as the query itself may be among them."""
         step = max(1, 8_000_000 // max(1, len(t)))
         for i in range(0, len(rows), step):
             at = rows[i:i + step]
             d, slack = _squares(self.q[at], t)
-            limit = np.square(self.reach[at])[:, None] * (1 + 1e-12) + slack
-            if len(t) > self.k + 1:  # the query itself may be among them
-                limit = np.minimum(limit, np.partition(d, self.k, axis=1)[:, self.k:self.k + 1] + 2 * slack) if not np.isfinite(limit).all() else limit
+            limit = np.full((len(at), 1), np.inf)
+            if len(t) > self.k + 1:
+                limit = np.minimum(limit, np.partition(d, self.k, axis=1)[:, self.k:self.k + 1] + 2 * slack)
             r, c = np.nonzero(d <= limit)
-            r = at[r]
-            other = self.ids[r] != ids[c]
-            r, c = r[other], c[other]
-            self._add(r, ids[c], _pair_distances(self.q[r], t[c]))
-
-    def _add(self, row: np.ndarray, nbr: np.ndarray, dist: np.ndarray) -> None:
+            self.note(at[r], ids[c], _pair_distances(self.q[at[r]], t[c]))
+        if len(rows):
+            self.merge()
+
+    def note(self, row: np.ndarray, nbr: np.ndarray, dist: np.ndarray) -> None:
+        keep = (self.ids[row] != nbr) & (dist <= self.reach[row] * (1 + 1e-12))
+        self.noted.append((row[keep], nbr[keep], dist[keep]))
+        self.waiting += int(keep.sum())
+        if self.waiting > max(1 << 16, len(self.ids) * self.k // 2):
+            self.merge()
+
+    def merge(self) -> None:
+        if not self.noted:
+            return
+        row, nbr, dist = (np.concatenate(x) for x in zip(*self.noted))
+        self.noted, self.waiting = [], 0
         touched = np.zeros(len(self.ids), bool)
         touched[row] = True
         own = touched[self.row]
@@ -123,8 +206,72 @@ class _Nearest:
         self.row, self.nbr, self.dist = np.r_[self.row[~own], row], np.r_[self.nbr[~own], nbr], np.r_[self.dist[~own], dist]
 
     def found(self) -> pd.DataFrame:
+        self.merge()
         return pd.DataFrame({"vid": self.ids[self.row], "nbr": self.nbr, "dist": self.dist})
 
+    def lists(self) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """The queries that found something, and the ids and distances of what they found."""
+        self.merge()
+        order = np.argsort(self.row, kind="stable")
+        row, start = np.unique(self.row[order], return_index=True)
+        return row, np.split(self.nbr[order], start[1:]) if len(row) else [], np.split(self.dist[order], start[1:]) if len(row) else []
+
+
+class _Group(_Nearest):
+    """The vectors of a group of blocks, block by block, each with its ball."""
+
+    def __init__(self, pdf: pd.DataFrame, reach: np.ndarray, k: int, centres: dict[int, np.ndarray]):
+        super().__init__(pdf["vid"].to_numpy(), _matrix(pdf["vec"]), reach, k)
+        radius = pdf["radius"].to_numpy()
+        self.blocks = []
+        for rows in pdf.groupby("block", sort=True).indices.values():
+            self.blocks.append((rows, centres[int(pdf["leaf"].iloc[rows[0]])], np.nanmin(radius[rows]), np.nanmax(radius[rows])))
+
+    def meet_itself(self) -> None:
+        for i, (rows, *_) in enumerate(self.blocks):
+            for other, *ball in self.blocks[:i]:
+                self._pair(rows, self.blocks[i][1:], self, other, ball)
+            bounded = np.isfinite(self.reach[rows])
+            self._first(rows[~bounded], self.ids[rows], self.q[rows])
+            mine = rows[bounded]
+            if len(mine):
+                for r, c in _close(self.q[mine], self.q[rows], self.limit(mine), None):
+                    self.note(mine[r], self.ids[rows[c]], _pair_distances(self.q[mine[r]], self.q[rows[c]]))
+
+    def meet(self, other: _Group) -> None:
+        for rows, *ball in self.blocks:
+            for targets, *target_ball in other.blocks:
+                self._pair(rows, ball, other, targets, target_ball)
+
+    def _pair(self, rows: np.ndarray, ball: list, other: _Group, targets: np.ndarray, target_ball: list) -> None:
+        """Two blocks look at each other: by one product if most of both may be in reach."""
+        mine, its = self.within(rows, *target_ball), other.within(targets, *ball)
+        for a, x, b, y in ((self, mine, other, targets), (other, its, self, rows)):
+            free = x[~np.isfinite(a.reach[x])]
+            a._first(free, b.ids[y], b.q[y])
+            if len(free):  # seen; the bound they got is for other blocks
+                x = x[~np.isin(x, free)]
+            if a is self and y is targets:
+                mine = x
+            else:
+                its = x
+        if len(mine) * len(targets) + len(rows) * len(its) > len(rows) * len(targets):
+            row_limit, col_limit = np.zeros(len(rows)) - 1, np.zeros(len(targets)) - 1
+            row_limit[np.searchsorted(rows, mine)] = self.limit(mine)
+            col_limit[np.searchsorted(targets, its)] = other.limit(its)
+            for r, c in _close(self.q[rows], other.q[targets], row_limit, col_limit):
+                r, c = rows[r], targets[c]
+                dist = _pair_distances(self.q[r], other.q[c])
+                self.note(r, other.ids[c], dist)
+                other.note(c, self.ids[r], dist)
+            return
+        if len(mine):
+            for r, c in _close(self.q[mine], other.q[targets], self.limit(mine), None):
+                self.note(mine[r], other.ids[targets[c]], _pair_distances(self.q[mine[r]], other.q[targets[c]]))
+        if len(its):
+            for r, c in _close(self.q[rows], other.q[its], None, other.limit(its)):
+                other.note(its[c], self.ids[rows[r]], _pair_distances(self.q[rows[r]], other.q[its[c]]))
+
 
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), dtype=float)
@@ -201,7 +348,8 @@ def meetings(bounded: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
     spark = bounded.sparkSession
     info = bounded.groupBy("leaf").agg(F.max("radius").alias("r"), F.max(F.col("radius") + F.col("reach")).alias("need")).orderBy("leaf").toPandas()
     at = np.array([centres[x] for x in info["leaf"]])
-    near = np.concatenate([_distances(at[i:i + 64], at) - info["r"].to_numpy()[None, :] <= info["need"].to_numpy()[i:i + 64, None] for i in range(0, len(at), 64)])
+    r, need = info["r"].to_numpy(), info["need"].to_numpy()
+    near = np.concatenate([_distances(at[i:i + 64], at) <= (r[None, :] + need[i:i + 64, None]) * (1 + SLACK) for i in range(0, len(at), 64)])
     home, target = np.nonzero(near)
     leaf = info["leaf"].to_numpy(np.int32)
     links = spark.createDataFrame(pd.DataFrame({"leaf": leaf[home], "target_leaf": leaf[target]}), "leaf int, target_leaf int")
@@ -230,34 +378,48 @@ def vector_neighbours(vectors: DataFrame, k: int, seed: int = 42, block_rows: in
     placed = placed.join(F.broadcast(lanes), "leaf", "left").withColumn(
         "block", F.concat_ws("_", "leaf", F.pmod(F.xxhash64("vid"), F.coalesce("lanes", F.lit(1))))).drop("lanes")
 
-    def at_home(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[["vid", "vec", "leaf", "radius", "block"]].assign(reach=_own_reach(_matrix(pdf["vec"]), k))
+    groups = block_groups(placed, len(next(iter(centres.values()))), block_rows)
+    shared = spark.sparkContext.broadcast(centres)
 
-    bounded = cut_lineage(spread(placed, "block").groupBy("block").applyInPandas(
-        at_home, "vid long, vec array<double>, leaf int, radius double, block string, reach double"))
-    groups = block_groups(bounded, len(next(iter(centres.values()))), block_rows)
+    def at_home(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, reach = _matrix(pdf["vec"]), np.full(len(pdf), np.inf)
+        for rows in pdf.groupby("block").indices.values():
+            reach[rows] = _own_reach(x[rows], k)
+        group = _Group(pdf, reach, k, shared.value)
+        group.meet_itself()
+        row, nbr, dist = group.lists()
+        out = pdf.assign(reach=group.reach, nbr=None, dist=None)
+        out["nbr"], out["dist"] = (pd.Series(x, index=out.index[row], dtype=object).reindex(out.index) for x in (nbr, dist))
+        return out
+
+    kinds = "vid long, vec array<double>, leaf int, radius double, block string, grp int, reach double, nbr array<long>, dist array<double>"
+    grouped = placed.select("vid", "vec", "leaf", "radius", "block").join(F.broadcast(groups), "block").select(
+        "vid", "vec", "leaf", "radius", "block", "grp")
+    home = cut_lineage(spread(grouped, "grp").groupBy("grp").applyInPandas(at_home, kinds))
+    bounded = home.drop("nbr", "dist")
     linked = meetings(bounded, centres).join(F.broadcast(groups.withColumnsRenamed({"block": "home", "grp": "home_grp"})), "home").join(
-        F.broadcast(groups.withColumnsRenamed({"block": "target", "grp": "target_grp"})), "target")
-    pairs = cut_lineage(linked.select(F.col("home_grp").alias("home"), F.col("target_grp").alias("target")).distinct())
-    grouped = bounded.join(F.broadcast(groups), "block")
-    shared = spark.sparkContext.broadcast(centres)
+        F.broadcast(groups.withColumnsRenamed({"block": "target", "grp": "target_grp"})), "target").filter("home_grp <> target_grp")
+    pairs = cut_lineage(linked.select(F.least("home_grp", "target_grp").alias("home"), F.greatest("home_grp", "target_grp").alias("target")).distinct())
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"vid": pd.Series(dtype="int64"), "nbr": pd.Series(dtype="int64"), "dist": pd.Series(dtype=float)})
-        nearest = _Nearest(left["vid"].to_numpy(), _matrix(left["vec"]), left["reach"].to_numpy(), k)
-        for _, block in right.groupby("block", sort=True):
-            nearest.look(block["vid"].to_numpy(), _matrix(block["vec"]), shared.value[int(block["leaf"].iloc[0])], block["radius"].to_numpy())
-        return nearest.found()
-
-    queries = grouped.select(F.col("grp").alias("home"), "vid", "vec", "reach").join(F.broadcast(pairs), "home")
-    targets = grouped.select(F.col("grp").alias("to_target"), *[F.col(c).alias(c) for c in ("block", "vid", "vec", "leaf", "radius")]).join(
+            return pd.DataFrame({c: pd.Series(dtype=object) for c in ("vid", "nbr", "dist")})
+        a, b = (_Group(x, x["reach"].to_numpy(), k, shared.value) for x in (left, right))
+        a.meet(b)
+        return pd.concat([pd.DataFrame({"vid": x.ids[row], "nbr": pd.Series(nbr, dtype=object), "dist": pd.Series(dist, dtype=object)})
+                          for x in (a, b) for row, nbr, dist in [x.lists()]], ignore_index=True)
+
+    columns = [F.col(c).alias(c) for c in ("vid", "vec", "leaf", "radius", "block", "reach")]
+    left = bounded.select(F.col("grp").alias("home"), *columns).join(F.broadcast(pairs), "home")
+    right = bounded.select(F.col("grp").alias("to_target"), *columns).join(
         F.broadcast(pairs.select(F.col("home").alias("to_home"), F.col("target").alias("to_target"))), "to_target")
-    met = spread(queries, "home", "target").groupBy("home", "target")
-    found = met.cogroup(spread(targets, "to_home", "to_target").groupBy("to_home", "to_target")).applyInPandas(
-        meet, "vid long, nbr long, dist double")
-    best = Window.partitionBy("vid").orderBy("dist", "nbr")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    met = spread(left, "home", "target").groupBy("home", "target")
+    found = met.cogroup(spread(right, "to_home", "to_target").groupBy("to_home", "to_target")).applyInPandas(
+        meet, "vid long, nbr array<long>, dist array<double>")
+    lists = found.unionByName(home.select("vid", "nbr", "dist").filter("nbr IS NOT NULL")).select("vid", F.arrays_zip("dist", "nbr").alias("found"))
+    best = lists.groupBy("vid").agg(F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, k).alias("found"))
+    return best.select("vid", F.posexplode("found").alias("pos", "e")).select(
+        "vid", F.col("e.nbr").alias("nbr"), F.col("e.dist").alias("dist"), (F.col("pos") + 1).alias("rank"))
 
 
 def weighted_neighbours(vectors: DataFrame, edges: DataFrame, k: int) -> DataFrame:

@@ -342,3 +342,51 @@ def test_neighbours_far_from_the_origin_and_over_many_groups(spark, monkeypatch)
     monkeypatch.setattr(nb, "_distances", lambda a, b: seen.append(a.shape[0] * b.shape[0]) or plain(a, b))
     found.look(np.arange(len(x)), x, x.mean(axis=0), np.array([0.0, 1e9]))
     assert sum(seen) <= 200 and len(found.found()) == 1400  # plain differences to the centre alone
+
+
+def _as_group(x, first, k, block_rows=64):
+    import pandas as pd
+
+    block = np.arange(len(x)) // block_rows
+    with np.errstate(all="ignore"):
+        centres = {int(b): np.nan_to_num(x[block == b], posinf=0, neginf=0).mean(axis=0) for b in np.unique(block)}
+        radius = [float(np.sqrt(((v - centres[int(b)]) ** 2).sum())) for v, b in zip(x, block)]
+    pdf = pd.DataFrame({"vid": np.arange(first, first + len(x)), "vec": list(x), "leaf": block, "block": block.astype(str), "radius": radius})
+    return nb._Group(pdf, np.full(len(x), np.inf), k, centres)
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-30, 1e25])
+def test_two_groups_meet_once_for_both_sides(monkeypatch, scale):
+    """One product for each pair of blocks, in single precision where its rounding is small; neighbours are those of plain differences."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 24))
+    x = x / np.linalg.norm(x, axis=1, keepdims=True) * scale
+    x[400] = x[3]  # a distance of zero across the groups
+    k, cells, kinds = 6, [], []
+    a, b = _as_group(x[:230], 0, k), _as_group(x[230:], 230, k)
+    a.meet_itself(), b.meet_itself(), a.merge(), b.merge()
+    matmul = np.matmul
+    monkeypatch.setattr(np, "matmul", lambda p, q, out: (cells.append(len(p) * q.shape[1]), kinds.append(out.dtype.name)) and matmul(p, q, out=out))
+    a.meet(b)
+    if scale == 1.0:
+        assert set(kinds) == {"float32"}
+    assert sum(cells) <= 230 * 270
+    d = nb._distances(x, x)
+    np.fill_diagonal(d, np.inf)
+    want = np.lexsort((np.broadcast_to(np.arange(500), d.shape), d), axis=1)[:, :k]
+    got = {int(g.ids[r]): n.tolist() for g in (a, b) for r, n in zip(*g.lists()[:2])}
+    assert [got[i] for i in range(500)] == want.tolist()
+
+
+def test_vectors_that_are_not_finite_keep_their_old_neighbours():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 5))
+    x[7, 2], x[200, 0] = np.inf, np.nan
+    a, b = _as_group(x[:150], 0, 4), _as_group(x[150:], 150, 4)
+    a.meet_itself(), b.meet_itself(), a.meet(b)
+    got = {int(g.ids[r]): n.tolist() for g in (a, b) for r, n in zip(*g.lists()[:2])}
+    d = nb._distances(x, x)
+    np.fill_diagonal(d, np.inf)
+    plain = [i for i in range(300) if i not in (7, 200)]
+    want = np.argsort(np.where(np.isfinite(d), d, np.inf), axis=1, kind="stable")[:, :4]
+    assert [got[i] for i in plain] == want[plain].tolist() and 200 not in got
