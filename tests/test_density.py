@@ -63,3 +63,28 @@ def test_missing_vectors_are_noise_and_empty_tables_stay_empty(spark):
     assert got == {1: (1, 1.0), 2: (1, 1.0), 6: (1, 1.0), 3: (-1, 0.0), 4: (-1, 0.0), 5: (-1, 0.0)}
     assert ds.density_cluster_vectors(df.limit(0), 0.5, 3, 3).count() == 0
     assert ds.density_cluster_vectors(df.filter("email_id = 3"), 0.5, 3, 3).collect()[0].embedding_cluster == -1
+
+
+@pytest.mark.parametrize("shift,single", [(0.0, True), (1e5, False)])
+def test_single_products_give_the_pairs_of_plain_differences(monkeypatch, shift, single):
+    """Pairs at the limit included; vectors far from the origin and from each other are not compared in single precision."""
+    rng = np.random.default_rng(1)
+    x = np.r_[rng.normal(size=(300, 12)), np.eye(12) * 4, np.zeros((1, 12))] + shift
+    x[:5] += 1e6 * (shift > 0)
+    calls, plain = [], ds._squares
+    monkeypatch.setattr(ds, "_squares", lambda a, b: calls.append(len(a)) or plain(a, b))
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    assert np.array_equal(ds._within(x, x, 4.0), d <= 4.0) and (d == 4.0).any()
+    assert (not calls) == single
+
+
+def test_blocks_meet_in_groups(spark, monkeypatch):
+    """A task takes a group of blocks on each side, not a pair of blocks."""
+    x = np.random.default_rng(4).normal(size=(400, 8))
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "email_id long, embedding array<double>")
+    met, plain = [], ds._meet
+    monkeypatch.setattr(ds, "_meet", lambda left, right, pairs, *rest: met.append(pairs.count()) or plain(left, right, pairs, *rest))
+    got = ds.density_cluster_vectors(df, 1.5, 4, 5, block_rows=16).toPandas().sort_values("email_id")
+    label, strength = brute_force(x, 1.5, 4, 5)
+    assert got["embedding_cluster"].tolist() == label.tolist() and np.allclose(got["cluster_probability"], strength)
+    assert len(met) == 3 and max(met) <= 81  # at most nine groups, of some thirty blocks
