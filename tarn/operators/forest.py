@@ -115,7 +115,8 @@ def _top_schema(k: int) -> str:
 def explain(df: DataFrame, nodes: DataFrame, columns: Sequence[str], k: int = 2, id_col: str = "login_id") -> DataFrame:
     """The k features that move a row's path length most, with the sum of all attributions and the base.
 
-    Meant for flagged rows. Negative values shorten the path: more unusual.
+    Meant for flagged rows. Negative values shorten the path: more unusual. The rows are few bytes for much work, so they are
+    dealt over a fixed count of partitions.
     """
     columns = list(columns)
     model = df.sparkSession.sparkContext.broadcast(leaf_paths(load_forest(nodes)))
@@ -127,8 +128,8 @@ def explain(df: DataFrame, nodes: DataFrame, columns: Sequence[str], k: int = 2,
                                 **_top_features(phi, columns, k)})
 
     id_type = dict(df.dtypes)[id_col]
-    return df.select(id_col, *[F.col(c).cast("double").alias(c) for c in columns]).mapInPandas(
-        run, f"{id_col} {id_type}, attribution_sum double, base double, {_top_schema(k)}")
+    rows = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in columns])
+    return spread(rows, *rows.columns).mapInPandas(run, f"{id_col} {id_type}, attribution_sum double, base double, {_top_schema(k)}")
 
 
 class _PerUser:

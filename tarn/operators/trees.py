@@ -12,6 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 
 EULER = 0.5772156649
+TABLE_ROWS = 256   # from so many rows on attributions are looked up
+TABLE_DEPTH = 8    # comparisons of a path that make up the key of a table
 
 
 def mean_path(n: np.ndarray) -> np.ndarray:
@@ -94,20 +96,21 @@ def grow(x: np.ndarray, picks: list[np.ndarray], psi: int, rng: np.random.Genera
                   np.concatenate(depth), psi)
 
 
-def path_lengths(forest: Forest, x: np.ndarray, tile: int = 2048) -> np.ndarray:
+def path_lengths(forest: Forest, x: np.ndarray, tile: int = 256) -> np.ndarray:
     """Mean path length of every row over all trees."""
     reach = forest.depth + mean_path(forest.size)
     roots, deepest = forest.roots, int(forest.depth.max(initial=0))
+    inner, here = forest.feature >= 0, np.arange(len(forest.tree))  # a leaf leads to itself
+    column, cut = np.maximum(forest.feature, 0), np.where(inner, forest.threshold, np.inf)
+    kids = np.column_stack([np.where(inner, forest.right, here), np.where(inner, forest.left, here)]).ravel()
     out = np.empty(len(x))
     for i in range(0, len(x), tile):
         part = x[i:i + tile]
         at = np.broadcast_to(roots, (len(part), len(roots))).copy()
-        row = np.arange(len(part))[:, None]
+        flat, first = np.ascontiguousarray(part).ravel(), np.arange(len(part))[:, None] * x.shape[1]
         for _ in range(deepest):
-            f = forest.feature[at]
-            inner = f >= 0
-            goes_left = part[row, np.maximum(f, 0)] <= forest.threshold[at]
-            at = np.where(inner, np.where(goes_left, forest.left[at], forest.right[at]), at)
+            goes_left = flat.take(column.take(at) + first) <= cut.take(at)
+            at = kids.take(2 * at + goes_left)
         out[i:i + tile] = reach[at].mean(axis=1)
     return out
 
@@ -120,7 +123,9 @@ def anomaly_score(forest: Forest, x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Paths:
-    """Per leaf: the box of the distinct features on its path and the share of rows that stays when one is unknown."""
+    """Per leaf: the box of the distinct features on its path and the share of rows that stays when one is unknown.
+
+    ``slot`` tells for each level of the path which of these features its comparison belongs to, -1 below the leaf."""
 
     feature: np.ndarray
     low: np.ndarray
@@ -128,6 +133,8 @@ class Paths:
     share: np.ndarray
     value: np.ndarray
     base: float
+    slot: np.ndarray
+    forest: Forest
 
 
 def leaf_paths(forest: Forest) -> Paths:
@@ -148,15 +155,23 @@ def leaf_paths(forest: Forest) -> Paths:
         share[at, d - 1] = forest.size[at] / forest.size[up]
     leaves = np.flatnonzero(forest.feature < 0)
     feat, low, high, share = feat[leaves], low[leaves], high[leaves], share[leaves]
+    slot = np.where(feat >= 0, np.arange(deepest), -1)
     for j in range(1, deepest):          # merge repeated features into their first occurrence
         for i in range(j):
             same = (feat[:, j] >= 0) & (feat[:, i] == feat[:, j])
             low[same, i] = np.maximum(low[same, i], low[same, j])
             high[same, i] = np.minimum(high[same, i], high[same, j])
             share[same, i] *= share[same, j]
+            slot[same, j] = i
             feat[same, j], low[same, j], high[same, j], share[same, j] = -1, -np.inf, np.inf, 1.0
     value = (forest.depth[leaves] + mean_path(forest.size[leaves])) / max(1, len(forest.roots))
-    return Paths(feat, low, high, share, value, float((value * share.prod(axis=1)).sum()))
+    return Paths(feat, low, high, share, value, float((value * share.prod(axis=1)).sum()), slot, forest)
+
+
+def _rule(d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Points and weights of the Gauss-Legendre rule on [0, 1] for the polynomials of d features."""
+    points, weights = np.polynomial.legendre.leggauss((d + 1) // 2)
+    return (points + 1) / 2, weights / 2
 
 
 def attributions(paths: Paths, x: np.ndarray, n_features: int, cells: int = 4_000_000) -> np.ndarray:
@@ -166,10 +181,91 @@ def attributions(paths: Paths, x: np.ndarray, n_features: int, cells: int = 4_00
     |S|!(d-1-|S|)!/d! x products; that weight is a Beta integral, so the sum is the
     integral over t of prod_j (share_j (1-t) + inside_j t), a polynomial that a small
     Gauss-Legendre rule integrates exactly.
+
+    What a leaf pays depends only on which comparisons of its path hold. For many rows it is worked out once per
+    combination of them and looked up by row; a row with NaN, for which no comparison holds, is worked out by itself.
     """
+    if len(x) < TABLE_ROWS or paths.feature.shape[1] > TABLE_DEPTH:
+        return _attributions_by_row(paths, x, n_features, cells)
+    out = np.zeros((len(x), n_features))
+    whole = ~np.isnan(x).any(axis=1)
+    out[~whole] = _attributions_by_row(paths, x[~whole], n_features, cells)
+    out[whole] = _attributions_by_table(paths, x[whole], n_features)
+    return out
+
+
+def _tables(paths: Paths, leaves: np.ndarray, n_features: int) -> np.ndarray:
+    """What each leaf pays every feature, for each combination of comparisons on its path: bit k is set if the one of level k holds."""
+    d = paths.feature.shape[1]
+    holds = (np.arange(1 << d)[:, None] >> np.arange(d)) & 1 > 0
+    # slot by slot, leaves x combinations: a feature is inside its box if all its comparisons hold
+    inside = [np.ones((len(leaves), 1 << d), bool) for _ in range(d)]
+    for level in range(d):
+        for j in range(level + 1):
+            of_slot = np.flatnonzero(paths.slot[leaves, level] == j)
+            inside[j][of_slot] &= holds[:, level]
+    share = [paths.share[leaves, j][:, None] for j in range(d)]
+    total = [np.zeros((len(leaves), 1 << d)) for _ in range(d)]
+    for t, w in zip(*_rule(d)):
+        factors = [np.where(inside[j], share[j] * (1 - t) + t, share[j] * (1 - t)) for j in range(d)]
+        product = w * factors[0]
+        for f in factors[1:]:
+            product *= f
+        for j in range(d):
+            total[j] += product / factors[j]
+    out = np.zeros((len(leaves), n_features, 1 << d))
+    value = paths.value[leaves][:, None]
+    for j in range(d):
+        used = np.flatnonzero(paths.feature[leaves, j] >= 0)
+        out[used, paths.feature[leaves[used], j]] = (value * (inside[j] - share[j]) * total[j])[used]
+    return np.ascontiguousarray(out.transpose(0, 2, 1))
+
+
+def _attributions_by_table(paths: Paths, x: np.ndarray, n_features: int, tile: int = 2048) -> np.ndarray:
+    forest, d = paths.forest, paths.feature.shape[1]
+    leaf_nodes = np.flatnonzero(forest.feature < 0)
+    number = np.full(len(forest.tree), -1)
+    number[leaf_nodes] = np.arange(len(leaf_nodes))
+    out = np.zeros((len(x), n_features))
+    columns = np.ascontiguousarray(x.T)
+    for root in forest.roots:
+        nodes = np.flatnonzero(forest.tree == forest.tree[root])
+        at = np.full(len(forest.tree), -1)
+        at[nodes] = np.arange(len(nodes))
+        levels = [nodes[forest.depth[nodes] == k] for k in range(1, d + 1)]
+        leaves = nodes[forest.feature[nodes] < 0]
+        table = _tables(paths, number[leaves], n_features)
+        # of two leaves with one parent exactly one comparison holds, so their tables are added up and read once
+        place = {node: i for i, node in enumerate(leaves)}
+        reads = []
+        for i, node in enumerate(leaves):
+            up = forest.parent[node]
+            twin = place.get(forest.right[up]) if up >= 0 and forest.left[up] == node else None
+            if twin is not None:
+                flipped = np.arange(1 << d) ^ (1 << (forest.depth[node] - 1))
+                reads.append((at[node], table[i] + table[twin][flipped]))
+            elif up < 0 or forest.left[up] == node or forest.left[up] not in place:
+                reads.append((at[node], table[i]))
+        code = np.empty((len(nodes), min(tile, len(x))), np.uint8)
+        paid = np.empty((min(tile, len(x)), n_features))
+        for i in range(0, len(x), tile):
+            n = min(tile, len(x) - i)
+            code[at[root], :n] = (1 << d) - 1
+            for k, level in enumerate(levels):
+                for node in level:
+                    up = forest.parent[node]
+                    v, cut = columns[forest.feature[up], i:i + n], forest.threshold[up]
+                    fails = v > cut if forest.left[up] == node else v <= cut
+                    np.subtract(code[at[up], :n], fails.view(np.uint8) << np.uint8(k), out=code[at[node], :n])
+            for row, pays in reads:
+                np.take(pays, code[row, :n], axis=0, out=paid[:n], mode="clip")
+                out[i:i + n] += paid[:n]
+    return out
+
+
+def _attributions_by_row(paths: Paths, x: np.ndarray, n_features: int, cells: int) -> np.ndarray:
     leaves, d = paths.feature.shape
-    points, weights = np.polynomial.legendre.leggauss((d + 1) // 2)
-    points, weights = (points + 1) / 2, weights / 2
+    points, weights = _rule(d)
     index = np.maximum(paths.feature, 0)
     spread = np.zeros((leaves * d, n_features))
     flat = paths.feature.ravel()

@@ -390,3 +390,24 @@ def test_vectors_that_are_not_finite_keep_their_old_neighbours():
     plain = [i for i in range(300) if i not in (7, 200)]
     want = np.argsort(np.where(np.isfinite(d), d, np.inf), axis=1, kind="stable")[:, :4]
     assert [got[i] for i in plain] == want[plain].tolist() and 200 not in got
+
+
+def test_attributions_of_many_rows_are_looked_up(monkeypatch):
+    rng = np.random.default_rng(6)
+    x = np.c_[rng.normal(size=(900, 2)), rng.integers(0, 2, 900)]
+    forest = tr.grow(x, [rng.permutation(900)[:n] for n in (256, 256, 40, 1)], 256, rng)
+    x[5, 1], x[6] = np.nan, np.inf
+    paths = tr.leaf_paths(forest)
+    want = np.vstack([tr.attributions(paths, x[i:i + 100], 3) for i in range(0, 900, 100)])
+    plain, rows = tr._attributions_by_row, []
+    monkeypatch.setattr(tr, "_attributions_by_row", lambda p, v, *more: rows.append(len(v)) or plain(p, v, *more))
+    got = tr.attributions(paths, x, 3)
+    assert rows == [1]  # the row with NaN
+    assert np.allclose(got, want, rtol=1e-12, atol=1e-12)
+
+
+def test_explained_rows_are_dealt_over_partitions(planted):
+    nodes = fo.iforest_fit(planted, COLS, n_trees=20, n_sub=64)
+    tops = fo.explain(planted.coalesce(1), nodes, COLS, 2)
+    parts = tops.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts == 8
