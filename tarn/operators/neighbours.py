@@ -22,8 +22,10 @@ from tarn.operators.tails import join_by_value
 from tarn.session import cut_lineage, spread
 
 BLOCK_ROWS = 2048
-TILE_BYTES = 32 << 20  # vectors of a group of blocks; two groups meet in a task
+TILE_BYTES = 16 << 20  # vectors of a group of blocks; two groups meet in a task
 TILE_SHARE = 8         # groups at least, if there are as many blocks
+LANES = 2              # partitions for each pair of groups, so that hardly a task gets several of them
+MAX_LANES = 2000       # but no more partitions than this
 MAX_PIVOTS = 256
 MAX_LEAVES = 2048
 FAN = 32
@@ -303,7 +305,8 @@ def metric_tree(vectors: DataFrame, seed: int = 42, block_rows: int = BLOCK_ROWS
     """
     n = vectors.count()
     first = pivots or max(1, min(MAX_PIVOTS, int(math.sqrt(n) / 4)))
-    rows = vectors.select("vid", "vec", F.lit(0).alias("leaf"), F.lit(0.0).alias("radius"))
+    # vectors are few bytes for much work, so they are dealt over a fixed count of partitions
+    rows = spread(vectors.select("vid", "vec", F.lit(0).alias("leaf"), F.lit(0.0).alias("radius")), "vid")
     centres: dict[int, np.ndarray] = {}
     large = {0: first}
     following = 0
@@ -366,6 +369,11 @@ def block_groups(blocks: DataFrame, width: int, block_rows: int) -> DataFrame:
     return blocks.sparkSession.createDataFrame(pd.DataFrame({"block": listed["block"], "grp": (before // rows).astype("int32")}), "block string, grp int")
 
 
+def _lanes(tasks: int) -> int:
+    """Partitions for so many heavy groups."""
+    return min(MAX_LANES, LANES * tasks)
+
+
 def vector_neighbours(vectors: DataFrame, k: int, seed: int = 42, block_rows: int = BLOCK_ROWS,
                       pivots: int | None = None) -> DataFrame:
     """(vid, nbr, dist, rank): the k nearest other vectors of each distinct vector, ties by id."""
@@ -395,7 +403,7 @@ def vector_neighbours(vectors: DataFrame, k: int, seed: int = 42, block_rows: in
     kinds = "vid long, vec array<double>, leaf int, radius double, block string, grp int, reach double, nbr array<long>, dist array<double>"
     grouped = placed.select("vid", "vec", "leaf", "radius", "block").join(F.broadcast(groups), "block").select(
         "vid", "vec", "leaf", "radius", "block", "grp")
-    home = cut_lineage(spread(grouped, "grp").groupBy("grp").applyInPandas(at_home, kinds))
+    home = cut_lineage(spread(grouped, "grp", least=_lanes(groups.agg(F.max("grp") + 1).first()[0])).groupBy("grp").applyInPandas(at_home, kinds))
     bounded = home.drop("nbr", "dist")
     linked = meetings(bounded, centres).join(F.broadcast(groups.withColumnsRenamed({"block": "home", "grp": "home_grp"})), "home").join(
         F.broadcast(groups.withColumnsRenamed({"block": "target", "grp": "target_grp"})), "target").filter("home_grp <> target_grp")
@@ -413,8 +421,9 @@ def vector_neighbours(vectors: DataFrame, k: int, seed: int = 42, block_rows: in
     left = bounded.select(F.col("grp").alias("home"), *columns).join(F.broadcast(pairs), "home")
     right = bounded.select(F.col("grp").alias("to_target"), *columns).join(
         F.broadcast(pairs.select(F.col("home").alias("to_home"), F.col("target").alias("to_target"))), "to_target")
-    met = spread(left, "home", "target").groupBy("home", "target")
-    found = met.cogroup(spread(right, "to_home", "to_target").groupBy("to_home", "to_target")).applyInPandas(
+    lanes = _lanes(pairs.count())
+    met = spread(left, "home", "target", least=lanes).groupBy("home", "target")
+    found = met.cogroup(spread(right, "to_home", "to_target", least=lanes).groupBy("to_home", "to_target")).applyInPandas(
         meet, "vid long, nbr array<long>, dist array<double>")
     lists = found.unionByName(home.select("vid", "nbr", "dist").filter("nbr IS NOT NULL")).select("vid", F.arrays_zip("dist", "nbr").alias("found"))
     best = lists.groupBy("vid").agg(F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, k).alias("found"))

@@ -411,3 +411,19 @@ def test_explained_rows_are_dealt_over_partitions(planted):
     tops = fo.explain(planted.coalesce(1), nodes, COLS, 2)
     parts = tops.select(F.spark_partition_id().alias("p")).distinct().count()
     assert parts == 8
+
+
+def test_vectors_and_pairs_of_groups_are_dealt_over_partitions(spark, monkeypatch):
+    x = np.random.default_rng(8).normal(size=(300, 4))
+    vectors = nb.distinct_vectors(spark.createDataFrame(list(zip(range(300), x.tolist())), "id long, v array<double>"), "id", "v", 3)
+    placed, _ = nb.metric_tree(vectors.coalesce(1), block_rows=40)
+    assert placed.select(F.spark_partition_id()).distinct().count() == 8
+    counts, plain = [], nb.spread
+    monkeypatch.setattr(nb, "spread", lambda df, *keys, **more: counts.append(plain(df, *keys, **more).rdd.getNumPartitions()) or plain(df, *keys, **more))
+    found = nb.vector_neighbours(vectors, 3, block_rows=20).collect()
+    assert max(counts) >= 2 * 28  # eight groups or more meet in pairs
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    for r in found:
+        assert abs(r["dist"] - np.sort(d[r["vid"]])[r["rank"] - 1]) < 1e-12
+    assert len(found) == 900
