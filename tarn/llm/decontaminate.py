@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.llm.common import map_batches, passing_columns, row_keys, stored
-from tarn.llm.kernels import LOWER, batches_of, chained_names, join_texts, prefix_names, substring_names, word_bounds
+from tarn.llm.kernels import LOWER, PIECE, batches_of, chained_names, join_texts, prefix_names, substring_names, word_bounds
 
 WINDOW = 10
 WINDOWS_PER_PASS = 200_000
@@ -60,7 +60,7 @@ def _scan(handle):
             state["windows"] = {n: dict(d) for n, d in by_length.items()}
         bodies = batch.column("body").to_pylist()
         counts, hits, items = [], [], []
-        for part in batches_of([len(b or b"") for b in bodies], 1 << 20):
+        for part in batches_of([len(b or b"") for b in bodies], PIECE):
             data, starts, ends, words, first = _words(bodies[part])
             found: dict[int, list] = defaultdict(list)
             for n, known in state["names"].items():

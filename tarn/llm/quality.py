@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.llm.common import let_go, passing_columns, slices
-from tarn.llm.kernels import SPACES, U64, batches_of, chained_names, join_texts, mix, prefix_names, substring_names, word_bounds
+from tarn.llm.kernels import PIECE, SPACES, U64, batches_of, chained_names, join_texts, mix, prefix_names, substring_names, word_bounds
+from tarn.session import small_batches
 
 SAMPLE = 20_000
 MIN_WORDS = 50
@@ -57,7 +58,7 @@ def _repeats(names: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def text_counts(bodies: list[bytes | None]) -> np.ndarray:
     """One row of COUNTS for each text."""
     rows = [np.zeros((0, len(COUNTS)), np.int64)]
-    for part in batches_of([len(b or b"") for b in bodies], 1 << 20):
+    for part in batches_of([len(b or b"") for b in bodies], PIECE):
         data, offsets = join_texts(bodies[part])
         n = len(offsets) - 1
         starts, ends = word_bounds(data, SPACES)
@@ -102,6 +103,7 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, stats], names=[*names, STATS])
         pa.default_memory_pool().release_unused()
 
+    small_batches(docs.sparkSession)
     kinds = [T.StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields)]
     schema = T.StructType([*kinds, T.StructField(STATS, T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))])
     return docs.toDF(*names).mapInArrow(run, schema).toDF(*docs.columns, STATS)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tarn.llm.common import map_batches, passing_columns, row_keys, stored
 from tarn.llm.graph import components
-from tarn.llm.kernels import LOWER, SPACES, U64, batches_of, chained_names, join_texts, mix, prefix_names, substring_names, word_bounds
+from tarn.llm.kernels import LOWER, PIECE, SPACES, U64, batches_of, chained_names, join_texts, mix, prefix_names, substring_names, word_bounds
 
 BASE = 1.001
 RATE = 20.0
@@ -44,7 +44,7 @@ def shingle_sets(texts: list[bytes | None], words: int) -> list[np.ndarray]:
     """Sorted distinct shingle names of each text; a text of fewer words is one shingle, none without words."""
     out: list[np.ndarray] = []
     bodies = [(t or b"").translate(LOWER) for t in texts]
-    for part in batches_of([len(b) for b in bodies], 1 << 20):
+    for part in batches_of([len(b) for b in bodies], PIECE):
         data, offsets = join_texts(bodies[part])
         starts, ends = word_bounds(data, SPACES)
         names = substring_names(prefix_names(data), starts, ends)

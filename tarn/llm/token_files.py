@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tarn.llm.common import map_batches, slices
 from tarn.llm.tokens import encoder
+from tarn.session import small_batches
 
 END = 2
 ORC = {"orc.compress": "ZSTD", "orc.stripe.size": str(16 << 20), "orc.row.index.stride": "2000", "orc.create.index": "true",
@@ -48,6 +49,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END) ->
     ordered = (docs.select("doc_id", F.col("text").cast("binary").alias("body"), F.xxhash64("text").alias("row_hash"))
                .repartitionByRange("doc_id", "row_hash").sortWithinPartitions("doc_id", "row_hash").select("doc_id", "body"))
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, shard int, place long, n_tokens long, ids array<int>"
+    small_batches(docs.sparkSession)
     ordered.mapInArrow(_encoded(tokenizer, end), schema).write.options(**ORC).orc(path)
 
 

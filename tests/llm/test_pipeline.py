@@ -72,3 +72,32 @@ def test_stages_in_order_keep_what_they_should(spark):
 def test_run_is_the_stages_one_after_another(spark):
     out = cp.run(spark, "/root/testdata/sf0.001")
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() > 0
+
+
+def test_tasks_hold_little_of_their_input(spark):
+    """Batches of long texts are cut by bytes, and arrays are made of a small piece of a batch at a time."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tarn.llm import kernels, setsketch
+    from tarn.llm.common import map_batches
+
+    def bytes_of(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows], "size": [b.nbytes]})
+
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 1500) AS text")
+    passed = map_batches(docs, lambda b: iter([b]), docs.schema)
+    for df in (passed, quality.with_counts(docs).select("doc_id", "text")):
+        got = df.mapInArrow(bytes_of, "n long, size long").collect()
+        assert sum(r.n for r in got) == 3000 and max(r.size for r in got) < 10 << 20
+
+    texts = [" ".join(f"w{i * j % 977}" for j in range(2000)).encode() for i in range(200)]
+    for work in (lambda: setsketch.shingle_sets(texts, 5), lambda: quality.text_counts(texts)):
+        kernels._POWERS.clear()
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 24 << 20
