@@ -117,20 +117,23 @@ def _passages(keyed: DataFrame, benchmark: DataFrame, window: int, per_pass: int
     passes = max(1, -(-size["n"] // per_pass), -(-(size["bytes"] or 0) // BYTES_PER_PASS))
     kind = dict(keyed.dtypes)["doc_id"]
     schema = f"row_id long, row_hash long, doc_id {kind}, n_words long, spans array<struct<low: int, high: int>>, items array<string>"
+    summed = (f"row_id long, row_hash long, doc_id {kind}, n_words long, n_hit long, "
+              "spans array<struct<low: int, high: int>>, n_items long, items array<string>, items_sha256 string")
     found = None
     for block in range(passes):
         own = windows.filter(F.pmod("name", F.lit(passes)) == block) if passes > 1 else windows
         rows = [(r["name"], r["n"], bytes(r["window"]), r["items"]) for r in own.collect()]
-        hits = map_batches(keyed, _scan(keyed.sparkSession.sparkContext.broadcast(rows)), schema)
+        scan = _scan(keyed.sparkSession.sparkContext.broadcast(rows))
+        if passes == 1:  # a second step over the same rows would be a second worker process for each task, and workers live on
+            return map_batches(keyed, lambda batch: (out for hits in scan(batch) for out in _summed(hits)), summed)
+        hits = map_batches(keyed, scan, schema)
         found = hits if found is None else found.unionByName(hits)
-    if passes > 1:  # each row of a repeated document was scanned once per block
-        found = (found.groupBy("row_id", "row_hash").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-                 F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"),
-                 (F.count(F.lit(1)) / passes).cast("int").alias("copies"))
-                 .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))))
-    return map_batches(found.select("row_id", "row_hash", "doc_id", "n_words", "spans", "items"), _summed,
-                       f"row_id long, row_hash long, doc_id {kind}, n_words long, n_hit long, "
-                       "spans array<struct<low: int, high: int>>, n_items long, items array<string>, items_sha256 string")
+    # each row of a repeated document was scanned once per block
+    found = (found.groupBy("row_id", "row_hash").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+             F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"),
+             (F.count(F.lit(1)) / passes).cast("int").alias("copies"))
+             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))))
+    return map_batches(found.select("row_id", "row_hash", "doc_id", "n_words", "spans", "items"), _summed, summed)
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, per_pass: int = WINDOWS_PER_PASS) -> DataFrame:

@@ -71,3 +71,12 @@ def test_empty_tables(spark):
     assert find_passages(docs.limit(0), bench).collect() == []
     assert find_passages(docs, bench.limit(0)).first().n_hit == 0
     assert find_passages(docs, bench).first().items == ["1"]
+
+
+def test_one_python_step_over_the_texts(spark):
+    """Two in one stage are two worker processes for each task, and executors keep them."""
+    docs = spark.createDataFrame([(1, "one two three"), (2, None)], "doc_id long, text string")
+    items = spark.createDataFrame([("a", "two three")], "item_id string, text string")
+    out = find_passages(docs, items)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in out.collect()) == [(1, 3, 2, 1), (2, 0, 0, 0)]
