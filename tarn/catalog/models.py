@@ -43,7 +43,7 @@ def _(spark, d):
 
 
 def explained(m):
-    return cut_lineage(fo.per_user_explain(m, per_user(m), MODEL_FEATURES, 3))
+    return cut_lineage(fo.per_user_explain(m, None, MODEL_FEATURES, 3))
 
 
 @query("od_explain_topk")

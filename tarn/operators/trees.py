@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 
@@ -42,60 +43,87 @@ class Forest:
 
 
 def grow(x: np.ndarray, picks: list[np.ndarray], psi: int, rng: np.random.Generator) -> Forest:
-    """One tree per index array in ``picks``, all trees level by level at once."""
+    """One tree per index array in ``picks``, all trees level by level at once; nodes are numbered by level."""
     n_trees = len(picks)
     rows = np.concatenate(picks)
     node = np.repeat(np.arange(n_trees), [len(p) for p in picks])
     tree, parent = [np.arange(n_trees)], [np.full(n_trees, -1)]
     depth = [np.zeros(n_trees, dtype=int)]
     size = [np.array([len(p) for p in picks])]
-    feature, threshold, left, right = {}, {}, {}, {}
-    total, owner = n_trees, np.arange(n_trees)
+    splits = []  # (nodes, feature, threshold, first child) by level
+    total, first, owner, width = n_trees, 0, tree[0], x.shape[1]
+    flat, differ = np.ascontiguousarray(x).ravel(), _differences(x)
     limit = max(1, math.ceil(math.log2(max(psi, 2))))
     for level in range(limit):
-        if not len(rows):
+        ids = np.flatnonzero(size[-1])  # nodes with rows
+        if not len(ids):
             break
-        order = np.argsort(node, kind="stable")
-        rows, node = rows[order], node[order]
-        starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-        ids, counts = node[starts], np.diff(np.r_[starts, len(node)])
-        values = x[rows]
-        lo, hi = np.minimum.reduceat(values, starts, axis=0), np.maximum.reduceat(values, starts, axis=0)
-        splittable = hi > lo
-        chosen = np.where(splittable, rng.random(lo.shape), -1.0).argmax(axis=1)
-        can = splittable.any(axis=1)
-        pick = (np.arange(len(ids)), chosen)
-        cut = lo[pick] + rng.random(len(ids)) * (hi[pick] - lo[pick])
-        cut = np.minimum(cut, np.nextafter(hi[pick], -np.inf))
-        local = np.repeat(np.arange(len(ids)), counts)
-        live = can[local]
-        rows, local = rows[live], local[live]
-        goes_right = x[rows, chosen[local]] > cut[local]
-        split = np.flatnonzero(can)
-        base = np.full(len(ids), -1)
-        base[split] = total + 2 * np.arange(len(split))
-        node = base[local] + goes_right
-        for i in split:
-            feature[ids[i]], threshold[ids[i]] = int(chosen[i]), float(cut[i])
-            left[ids[i]], right[ids[i]] = int(base[i]), int(base[i] + 1)
-        kids = np.repeat(ids[split], 2)
-        kid_tree = owner[kids]
-        tree.append(kid_tree)
-        owner = np.concatenate([owner, kid_tree])
+        counts, wish, place = size[-1][ids], rng.random((len(ids), width)), rng.random(len(ids))
+        split = np.flatnonzero(counts > 1)
+        at = node - first
+        shared = np.flatnonzero(size[-1].take(at) > 1)
+        rows, at = rows.take(shared), at.take(shared)
+        order = np.argsort(at.astype(np.uint16) if total - first <= 1 << 16 else at, kind="stable")  # short numbers are sorted by digits
+        rows, counts = rows.take(order), counts[split]
+        chosen, lo, hi = _choose(flat, width, rows, counts, wish[split], differ)
+        can = hi > lo
+        cut = lo + place[split] * (hi - lo)
+        cut = np.minimum(cut, np.nextafter(hi, -np.inf))
+        if not can.all():
+            rows, counts, split, chosen, cut = rows[np.repeat(can, counts)], counts[can], split[can], chosen[can], cut[can]
+        goes_right = flat.take(rows * width + np.repeat(chosen, counts)) > np.repeat(cut, counts)
+        kid = total + 2 * np.arange(len(split))
+        node = np.repeat(kid, counts) + goes_right
+        ids = ids[split] + first
+        splits.append((ids, chosen, cut, kid))
+        kids = np.repeat(ids, 2)
+        owner = owner[kids - first]
+        tree.append(owner)
         parent.append(kids)
         depth.append(np.full(len(kids), level + 1))
         size.append(np.bincount(node - total, minlength=len(kids)) if len(kids) else np.zeros(0, dtype=int))
-        total += len(kids)
+        first, total = total, total + len(kids)
     f, t = np.full(total, -1), np.zeros(total)
     lft, rgt = np.full(total, -1), np.full(total, -1)
-    keys = np.array(list(feature), dtype=int)
-    if len(keys):
-        f[keys], t[keys] = list(feature.values()), list(threshold.values())
-        lft[keys], rgt[keys] = list(left.values()), list(right.values())
+    for nodes, feature, threshold, kid in splits:
+        f[nodes], t[nodes], lft[nodes], rgt[nodes] = feature, threshold, kid, kid + 1
     return Forest(np.concatenate(tree), np.concatenate(parent), f, t, lft, rgt, np.concatenate(size),
                   np.concatenate(depth), psi)
 
 
+def _differences(x: np.ndarray, most: int = 300) -> np.ndarray | None:
+    """For each pair of rows the set of columns in which they differ, as bits; None for many rows, or values that have no order."""
+    if len(x) > most or x.shape[1] > 64 or not np.isfinite(x).all():
+        return None
+    out = np.zeros((len(x), len(x)), np.uint16 if x.shape[1] <= 16 else np.uint64)
+    for j in range(x.shape[1]):
+        out |= (x[:, None, j] != x[None, :, j]).astype(out.dtype) << out.dtype.type(j)
+    return out.ravel()
+
+
+def _choose(flat: np.ndarray, width: int, rows: np.ndarray, counts: np.ndarray, wish: np.ndarray, differ: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each run of rows its column of the largest ``wish`` whose values differ, and the least and largest value there (equal if there is none)."""
+    starts = np.cumsum(counts) - counts
+    if not len(counts):
+        return np.zeros(0, int), np.zeros(0), np.zeros(0)
+    if differ is None:
+        values = flat.reshape(-1, width)[rows]
+        lo, hi = np.minimum.reduceat(values, starts, axis=0), np.maximum.reduceat(values, starts, axis=0)
+        chosen = np.where(hi > lo, wish, -1.0).argmax(axis=1)
+        pick = (np.arange(len(chosen)), chosen)
+        return chosen, lo[pick], hi[pick]
+    # the columns in which a run has more than one value are those in which neighbouring rows differ
+    n = len(flat) // width
+    of_pair = differ.take(rows * n + np.append(rows[1:], 0))
+    of_pair[starts[1:] - 1] = 0
+    of_pair[-1] = 0
+    bits = np.bitwise_or.reduceat(of_pair, starts)
+    apart = bits[:, None] & (bits.dtype.type(1) << np.arange(width, dtype=bits.dtype))
+    chosen = np.where(apart != 0, wish, -1.0).argmax(axis=1)
+    values = flat.take(rows * width + np.repeat(chosen, counts))
+    return chosen, np.minimum.reduceat(values, starts), np.maximum.reduceat(values, starts)
+
+
 def path_lengths(forest: Forest, x: np.ndarray, tile: int = 256) -> np.ndarray:
     """Mean path length of every row over all trees."""
     reach = forest.depth + mean_path(forest.size)
@@ -168,6 +196,7 @@ def leaf_paths(forest: Forest) -> Paths:
     return Paths(feat, low, high, share, value, float((value * share.prod(axis=1)).sum()), slot, forest)
 
 
+@lru_cache
 def _rule(d: int) -> tuple[np.ndarray, np.ndarray]:
     """Points and weights of the Gauss-Legendre rule on [0, 1] for the polynomials of d features."""
     points, weights = np.polynomial.legendre.leggauss((d + 1) // 2)
@@ -194,6 +223,72 @@ def attributions(paths: Paths, x: np.ndarray, n_features: int, cells: int = 4_00
     return out
 
 
+def forest_attributions(forest: Forest, x: np.ndarray, n_features: int) -> np.ndarray:
+    """``attributions`` of a forest that explains these rows alone: few rows are worked out over its nodes, without a table of leaf paths."""
+    if len(x) < TABLE_ROWS and np.isfinite(x).all() and np.isfinite(forest.threshold).all():
+        return _attributions_by_node(forest, x, n_features)
+    return attributions(leaf_paths(forest), x, n_features)
+
+
+def _attributions_by_node(forest: Forest, x: np.ndarray, n_features: int, cells: int = 500_000) -> np.ndarray:
+    """The sums of ``attributions``, leaf by leaf the same integral, gathered along the tree.
+
+    At a point t of the rule a leaf's product is built up from the root, one factor per feature; the factor of a feature counts once, so a
+    repeated one replaces the earlier. What the leaves below an edge pay the feature of that edge has the edge's factor in common, until the
+    feature occurs again further down.
+    """
+    order = np.argsort(forest.depth, kind="stable")  # nodes by level, so that a level is a slice
+    place = np.empty(len(order), int)
+    place[order] = np.arange(len(order))
+    n, n_roots, deepest = len(order), len(forest.roots), int(forest.depth.max(initial=0))
+    ends = np.searchsorted(forest.depth[order], np.arange(deepest + 2))
+    levels = [slice(*ends[k:k + 2]) for k in range(1, deepest + 1)]
+    parent = forest.parent[order]
+    of, size = np.maximum(parent, 0), forest.size[order]
+    up, feature, cut = place[of], np.where(parent >= 0, forest.feature[of], 0), forest.threshold[of]  # of the comparison that leads to the node
+    is_left = forest.left[of] == order
+    share = np.where(parent >= 0, size / np.maximum(forest.size[of], 1), 1.0)
+    earlier, last = np.full(n, -1), np.full((n, n_features), -1, np.int16 if n < 1 << 15 else np.int32)
+    again = []  # by level, nodes with an earlier comparison of their feature; ``earlier`` is the nearest one
+    for at in levels:
+        above, here = last.take(up[at], axis=0), np.arange(at.start, at.stop)
+        column = (here - at.start, feature[at])
+        earlier[at] = above[column]
+        above[column] = here
+        last[at] = above
+        again.append(here[earlier[at] >= 0])
+        share[again[-1]] *= share[earlier[again[-1]]]
+    every = np.concatenate([*again, np.zeros(0, int)])
+    value = np.where(forest.feature[order] < 0, (forest.depth[order] + mean_path(size)) / max(1, n_roots), 0.0)[:, None, None]
+    points, weights = _rule(max(1, deepest))
+    t, w, share = points[:, None], weights[:, None], share[:, None, None]
+    pays = np.zeros((n, n_features))
+    pays[np.arange(n), feature] = parent >= 0
+    out = np.zeros((len(x), n_features))
+    step = max(1, cells // (n * len(points)))
+    for i in range(0, len(x), step):
+        inside = (x[i:i + step].T.take(feature, axis=0) <= cut[:, None]) == is_left[:, None]
+        for at in again:
+            inside[at] &= inside[earlier[at]]
+        inside = inside[:, None, :]
+        factor = inside * t  # node x point x row
+        factor += share * (1 - t)
+        rate = (inside - share) * w
+        rate /= factor
+        above = rate.take(earlier[every], axis=0)  # beyond this edge the earlier one no longer has the leaves
+        rate[every] -= above
+        above = factor.take(earlier[every], axis=0)
+        factor[every] /= above
+        for at in levels[1:]:
+            factor[at] *= factor.take(up[at], axis=0)
+        factor *= value
+        for at in levels[::-1]:
+            lefts = np.flatnonzero(is_left[at]) + at.start
+            factor[up[lefts]] = factor.take(lefts, axis=0) + factor.take(place[forest.right[order[up[lefts]]]], axis=0)
+        out[i:i + step] = np.einsum("ntr,ntr->rn", rate, factor) @ pays
+    return out
+
+
 def _tables(paths: Paths, leaves: np.ndarray, n_features: int) -> np.ndarray:
     """What each leaf pays every feature, for each combination of comparisons on its path: bit k is set if the one of level k holds."""
     d = paths.feature.shape[1]

@@ -62,15 +62,16 @@ def fit(rows: DataFrame, columns: Sequence[str] = MODEL_FEATURES, n_trees: int =
     """All parts of a composite model from training rows (login_id, user_id, feature columns)."""
     forest = fo.iforest_fit(rows, columns, n_trees=n_trees)
     tails = cut_lineage(fit_tails(rows, columns))
-    samples, edges = fo.per_user_fit(rows, columns, n_trees=user_trees)
+    samples, edges, raw = fo.per_user_fit_scores(rows, columns, n_trees=user_trees)
     parts = {"forest": forest, "tails": tails, "samples": samples, "edges": cut_lineage(edges)}
-    return parts | {"bounds": fit_composite(cut_lineage(layers(rows, parts, columns, user_trees)))}
+    return parts | {"bounds": fit_composite(cut_lineage(layers(rows, parts, columns, user_trees, raw)))}
 
 
-def layers(rows: DataFrame, model: Mapping[str, DataFrame], columns: Sequence[str] = MODEL_FEATURES, user_trees: int = 100) -> DataFrame:
-    """(login_id, iforest, ecod, per_user) of rows by the stored tables."""
+def layers(rows: DataFrame, model: Mapping[str, DataFrame], columns: Sequence[str] = MODEL_FEATURES, user_trees: int = 100,
+           raw: DataFrame | None = None) -> DataFrame:
+    """(login_id, iforest, ecod, per_user) of rows by the stored tables; ``raw``: the raw scores of the user models, where they are known."""
     return _layers(fo.iforest_score(rows, model["forest"], columns), tail_scores(rows, columns, model=model["tails"]),
-                   fo.per_user_apply(rows, model["samples"], model["edges"], columns, n_trees=user_trees))
+                   fo.per_user_apply(rows, model["samples"], model["edges"], columns, n_trees=user_trees, raw=raw))
 
 
 def score(rows: DataFrame, model: Mapping[str, DataFrame], columns: Sequence[str] = MODEL_FEATURES, user_trees: int = 100,
