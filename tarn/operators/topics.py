@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import LDA
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -251,33 +252,259 @@ def count_vectors(df: DataFrame, terms: str, vocab: DataFrame, name: str = "feat
     return CountVectorizerModel.from_vocabulary(ordered, inputCol=terms, outputCol=name).transform(df)
 
 
-def lda_fit(vectors: DataFrame, k: int = 6, passes: int = 50, seed: int = 42):
+@dataclass
+class LdaModel:
+    """Topics as Dirichlet parameters (topics x terms) and the two priors."""
+
+    topics: np.ndarray
+    alpha: float
+    eta: float
+
+    @property
+    def k(self) -> int:
+        return len(self.topics)
+
+    def weights(self) -> np.ndarray:
+        """exp E[log beta], terms x topics."""
+        return np.ascontiguousarray(np.exp(digamma(self.topics) - digamma(self.topics.sum(axis=1, keepdims=True))).T)
+
+
+_SHIFT = 8
+CELLS = 1 << 15        # (text, term) cells in hand at a time
+BLOCK_ENTRIES = 1 << 18  # of a stored block of texts
+ROUND = 6              # updates of a piece, in pairs, before texts that are done make room
+MOVED = 1e-3           # a text is done when its parameters move less than this on average, as in MLlib
+
+
+def digamma(x: np.ndarray) -> np.ndarray:
+    """For positive numbers, to some 1e-13."""
+    y = x + _SHIFT
+    z = 1.0 / (y * y)
+    out = z * (1 / 12 - z * (1 / 120 - z * (1 / 252 - z * (1 / 240 - z * (1 / 132 - z * 691 / 32760)))))
+    # 1 / x + ... + 1 / (x + 7), in pairs: (x + i) + (x + 7 - i) over their product
+    double, square = 2 * x + 7, x * (x + 7)
+    rest = 1 / square + 1 / (square + 6) + 1 / (square + 10) + 1 / (square + 12)
+    return np.log(y) - 0.5 / y - out - double * rest
+
+
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """For positive numbers."""
+    y = x + _SHIFT
+    z = 1.0 / (y * y)
+    out = (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z * (1 / 1680 - z / 1188)))) / y
+    for i in range(_SHIFT):
+        out -= np.log(x + i)
+    return out
+
+
+def _tiles(sizes: np.ndarray, texts: np.ndarray) -> Iterator[np.ndarray]:
+    """``texts`` in pieces of similar length, shorter ones first."""
+    order = texts[np.argsort(sizes[texts], kind="stable")]
+    at = 0
+    while at < len(order):
+        many = np.arange(1, len(order) - at + 1) * sizes[order[at:]]
+        upto = at + max(1, int(np.searchsorted(many, CELLS, "right")))
+        yield order[at:upto]
+        at = upto
+
+
+def topic_mixes(sizes: np.ndarray, idx: np.ndarray, cnt: np.ndarray, weights: np.ndarray, alpha: float,
+                stats: np.ndarray | None = None, fits: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Dirichlet parameters of the topic mix of every text (texts x topics) and, if wanted, the sum of n x log of its terms' weights under the mix.
+
+    Variational inference as in online LDA (Hoffman et al.): a text is done when an update moves its parameters by less than ``MOVED``. Every
+    third point is extrapolated from two updates (squared extrapolation, Varadhan and Roland), which only shortens the way. Texts begin at
+    ones. Those that take long are put together after some ``ROUND`` updates. The expected counts
+    are added to ``stats`` (terms x topics). Texts are given by their number of terms, and the term and count of all entries, in order.
+    """
+    n_topics, first, todo = weights.shape[1], np.cumsum(sizes) - sizes, np.flatnonzero(sizes)
+    out = np.ones((len(sizes), n_topics))
+    out[sizes == 0] = alpha
+    fit, by_topic = np.zeros(len(sizes)), np.ascontiguousarray(weights.T)
+
+    def cells(tile: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms and counts (texts x cells) and weights (texts x topics x cells), shorter texts filled up with counts of 0."""
+        cell = np.arange(int(sizes[tile[-1]]))
+        inside = cell < sizes[tile, None]
+        at = np.where(inside, first[tile, None] + cell, 0)
+        terms = idx[at]
+        w = np.empty((n_topics, *terms.shape))
+        for j in range(n_topics):
+            np.take(by_topic[j], terms, out=w[j], mode="clip")
+        return terms, np.where(inside, cnt[at], 0.0), w.transpose(1, 0, 2)
+
+    def update(g: np.ndarray, w: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        theta = np.exp(digamma(g))
+        share = np.matmul(theta[:, None, :], w)[:, 0, :]
+        share += 1e-100
+        np.divide(counts, share, out=share)
+        return theta * np.matmul(w, share[:, :, None])[:, :, 0] + alpha
+
+    def settle(tile: np.ndarray, terms: np.ndarray, counts: np.ndarray, w: np.ndarray) -> None:
+        """What the texts of a tile with counts add to the sums."""
+        theta = np.exp(digamma(out[tile]))
+        seen = np.matmul(theta[:, None, :], w)[:, 0, :] + 1e-100
+        if fits:
+            fit[tile] += (counts * (np.log(seen) - digamma(out[tile].sum(axis=1))[:, None])).sum(axis=1)
+        if stats is not None:
+            share, terms = counts / seen, terms.ravel()
+            for j in range(n_topics):
+                stats[:, j] += np.bincount(terms, weights=(share * theta[:, j:j + 1]).ravel(), minlength=len(stats))
+
+    while len(todo):
+        left = []
+        for tile in _tiles(sizes, todo):
+            terms, all_counts, all_w = cells(tile)
+            g0, here, counts, w = out[tile], np.arange(len(tile)), all_counts, all_w
+            for _ in range(ROUND):
+                g1 = update(g0, w, counts)
+                moves = np.abs(g1 - g0).sum(axis=1) > MOVED * n_topics
+                if not moves.all():
+                    out[tile[here[~moves]]] = g1[~moves]
+                    here, g0, g1 = here[moves], g0[moves], g1[moves]
+                    if not len(here):
+                        break
+                    w, counts = w[moves], counts[moves]
+                g2 = update(g1, w, counts)
+                r, v = g1 - g0, g2 - 2 * g1 + g0
+                length = np.sqrt((r * r).sum(axis=1, keepdims=True) / np.maximum((v * v).sum(axis=1, keepdims=True), 1e-300))
+                step = np.where(np.isfinite(length), np.maximum(length, 1.0), 1.0)
+                g0 = np.maximum(g0 + 2 * step * r + step * step * v, alpha)
+            if len(here):
+                out[tile[here]] = g0
+                all_counts[here] = 0.0  # not yet
+                left.append(tile[here])
+            if stats is not None or fits:
+                settle(tile, terms, all_counts, all_w)
+        todo = np.sort(np.concatenate([*left, np.zeros(0, int)]))
+    return out, fit
+
+
+def _entries(column: pa.Array) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """(width, number of terms, terms, counts) of a batch of vectors."""
+    kind, size, at, values = (column.field(i) for i in range(4))
+    sparse = kind.to_numpy(zero_copy_only=False) == 0
+    if sparse.all():
+        n = at.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        width = int(pc.max(size).as_py() or 0)
+        return width, n, at.flatten().to_numpy().astype(np.int64), values.flatten().to_numpy().astype(float)
+    parts = [(np.asarray(v["indices"]), np.asarray(v["values"], float)) if v["type"] == 0 else (np.flatnonzero(v["values"]), np.asarray(v["values"], float)[np.flatnonzero(v["values"])])
+             for v in column.to_pylist()]
+    width = max((v["size"] if v["type"] == 0 else len(v["values"]) for v in column.to_pylist()), default=0)
+    return width, np.array([len(i) for i, _ in parts], np.int64), np.concatenate([i for i, _ in parts]).astype(np.int64), np.concatenate([v for _, v in parts])
+
+
+def _blocks(vectors: DataFrame) -> DataFrame:
+    """(width, sizes, idx, cnt): the texts that have terms, many to a row, as bytes; blocks are dealt evenly."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            width, n, idx, cnt = _entries(batch.column(0))
+            idx, cnt, n = idx[cnt != 0], cnt[cnt != 0], np.bincount(np.repeat(np.arange(len(n)), n)[cnt != 0], minlength=len(n))
+            n = n[n > 0]
+            ends, i = np.cumsum(n), 0
+            while i < len(n):
+                low = ends[i] - n[i]
+                j = max(i + 1, int(np.searchsorted(ends, low + BLOCK_ENTRIES, "right")))
+                part = slice(low, ends[j - 1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([width], pa.int32()), pa.array([n[i:j].astype(np.int32).tobytes()], pa.binary()),
+                     pa.array([idx[part].astype(np.int32).tobytes()], pa.binary()), pa.array([cnt[part].tobytes()], pa.binary())], names=["width", "sizes", "idx", "cnt"])
+                i = j
+
+    packed = vectors.select("features").mapInArrow(pack, "width int, sizes binary, idx binary, cnt binary")
+    parts = 2 * vectors.sparkSession.sparkContext.defaultParallelism
+    return packed.repartition(parts)
+
+
+def _unpacked(row: dict[str, object]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return (np.frombuffer(row["sizes"], np.int32).astype(np.int64), np.frombuffer(row["idx"], np.int32), np.frombuffer(row["cnt"], float))
+
+
+def lda_fit(vectors: DataFrame, k: int = 6, passes: int = 50, seed: int = 42, alpha: float = 0.1, eta: float = 0.01, offset: float = 50.0,
+            decay: float = 0.51) -> LdaModel:
     """Online LDA with fixed priors; every iteration sees all texts, so ``passes`` is the number of passes over them.
 
-    The vectors are dealt evenly and kept for the passes.
+    The updates are those of MLlib's online optimizer, with each text once per pass instead of drawn with replacement. Texts are packed
+    into blocks that are kept for the passes, and each pass infers every text afresh: texts that start where the pass before left them
+    stay with topics that they got by chance. Expected counts are added up by task; at most 16 tables of terms x topics reach the driver.
     """
-    lda = LDA(k=k, maxIter=passes, subsamplingRate=1.0, optimizer="online", optimizeDocConcentration=False,
-              docConcentration=[0.1] * k, topicConcentration=0.01, learningOffset=50.0, seed=seed, featuresCol="features")
-    kept, wanted = vectors.select("features"), 2 * vectors.sparkSession.sparkContext.defaultParallelism
-    kept = (kept if kept.rdd.getNumPartitions() >= wanted else kept.repartition(wanted)).persist()
-    model = lda.fit(kept)
-    kept.unpersist()
+    blocks = _blocks(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+    width = blocks.agg(F.max("width")).first()[0] or 0
+    model = LdaModel(np.random.default_rng(seed).gamma(100.0, 0.01, (k, width)), alpha, eta)
+    for step in range(passes if width else 0):
+        shared = vectors.sparkSession.sparkContext.broadcast(model.weights())
+
+        def infer(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            stats = np.zeros((width, k))
+            for batch in batches:
+                for row in batch.to_pylist():
+                    topic_mixes(*_unpacked(row), shared.value, alpha, stats=stats)
+            yield pa.RecordBatch.from_arrays([pa.array([stats.tobytes()], pa.binary())], names=["stats"])
+
+        counts = _summed(blocks.select("sizes", "idx", "cnt").mapInArrow(infer, "stats binary"), width * k).reshape(width, k)
+        rate = (offset + step + 1) ** -decay
+        model = LdaModel((1 - rate) * model.topics + rate * ((counts * shared.value).T + eta), alpha, eta)
+        shared.unpersist()
+    blocks.unpersist()
     return model
 
 
-def lda_topics(model, vectors: DataFrame, id_col: str = "email_id") -> DataFrame:
+def _summed(stats: DataFrame, n: int, lanes: int = 16) -> np.ndarray:
+    """The sum of rows of ``n`` numbers (bytes): at most ``lanes`` rows reach the driver."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(n)
+        for batch in batches:
+            for value in batch.column(0):
+                out += np.frombuffer(value.as_buffer(), float)
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["stats"])
+
+    dealt = stats.repartition(lanes).mapInArrow(add, "stats binary")
+    return sum((np.frombuffer(r["stats"], float) for r in dealt.collect()), np.zeros(n))
+
+
+def _per_text(model: LdaModel, vectors: DataFrame, columns: Sequence[str], schema: str, told: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], list[pa.Array]]) -> DataFrame:
+    """``columns`` and ``told(number of terms, counts, mixes, fits)`` for every text."""
+    shared, alpha = vectors.sparkSession.sparkContext.broadcast(model.weights()), model.alpha
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *kept, column = batch.columns
+            _, n, idx, cnt = _entries(column)
+            doc = np.repeat(np.arange(len(n)), n)[cnt != 0]
+            n, idx, cnt = np.bincount(doc, minlength=len(n)), idx[cnt != 0], cnt[cnt != 0]
+            mixes, fit = topic_mixes(n, idx, cnt, shared.value, alpha, fits=True) if len(shared.value) else (np.full((len(n), shared.value.shape[1]), alpha), np.zeros(len(n)))
+            out = told(n, np.bincount(doc, weights=cnt, minlength=len(n)), mixes, fit)
+            yield pa.RecordBatch.from_arrays([*kept, *out], names=names)
+
+    names = [part.split()[0].strip("`") for part in schema.split(", ")]
+    return vectors.select(*columns, "features").mapInArrow(run, schema)
+
+
+def lda_topics(model: LdaModel, vectors: DataFrame, id_col: str = "email_id") -> DataFrame:
     """(id, probs): topic mix of every document; one without vocabulary terms has the symmetric prior's even mix."""
-    probs = vector_to_array("topicDistribution")
-    k = len(model.getDocConcentration())
-    even = F.array_repeat(F.lit(1.0 / k), k)
-    return model.transform(vectors).select(id_col, F.when(F.array_max(probs) > 0, probs).otherwise(even).alias("probs"))
+    def told(n, total, mixes, fit):
+        probs = mixes / mixes.sum(axis=1, keepdims=True)
+        return [pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * mixes.shape[1]), pa.array(probs.ravel()))]
+
+    return _per_text(model, vectors, [id_col], f"`{id_col}` {dict(vectors.dtypes)[id_col]}, probs array<double>", told)
+
+
+def lda_quality(model: LdaModel, vectors: DataFrame) -> DataFrame:
+    """(log_likelihood, log_perplexity, perplexity): the variational bound over the texts with terms, as MLlib has it."""
+    alpha, topics, width = model.alpha, model.topics, model.topics.shape[1]
 
+    def told(n, total, mixes, fit):
+        log_mix = digamma(mixes) - digamma(mixes.sum(axis=1, keepdims=True))
+        prior = ((alpha - mixes) * log_mix + log_gamma(mixes)).sum(axis=1) - log_gamma(mixes.sum(axis=1)) + float(
+            log_gamma(np.array(alpha * mixes.shape[1])) - mixes.shape[1] * log_gamma(np.array(alpha)))
+        return [pa.array(np.where(n > 0, fit + prior, 0.0)), pa.array(total)]
 
-def lda_quality(model, vectors: DataFrame) -> DataFrame:
-    """(log_likelihood, log_perplexity, perplexity): MLlib's variational bounds over the texts with terms."""
-    seen = vectors.filter(F.array_max(vector_to_array("features")) > 0)
-    bound, per_term = model.logLikelihood(seen), seen.agg(Summarizer.sum(F.col("features"))).first()[0]
-    rate = -bound / float(per_term.toArray().sum())  # as ``logPerplexity``, which would take the bound once more
+    texts = _per_text(model, vectors, [], "bound double, n double", told).agg(F.sum("bound").alias("bound"), F.sum("n").alias("n")).first()
+    bound, n = texts["bound"] or 0.0, texts["n"] or 0.0
+    log_topics = digamma(topics) - digamma(topics.sum(axis=1, keepdims=True))
+    bound += float(((model.eta - topics) * log_topics + log_gamma(topics) - log_gamma(np.array(model.eta))).sum()
+                   + (log_gamma(np.array(model.eta * max(width, 1))) - log_gamma(topics.sum(axis=1))).sum()) if width else 0.0
+    rate = -bound / n if n else float("nan")
     return vectors.sparkSession.createDataFrame([(bound, rate, float(np.exp(rate)))], "log_likelihood double, log_perplexity double, perplexity double")
 
 
